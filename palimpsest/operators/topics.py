@@ -26,7 +26,10 @@ def _blocks(topics: DataFrame, block: int) -> list[DataFrame]:
 def similarities(rows: DataFrame, vector: str, topics: DataFrame, name: str = "scores") -> DataFrame:
     """Cosine similarity of each row to each topic, as one array per row in topic order."""
     listed = topics.agg(F.sort_array(F.collect_list(F.struct("ord", "vector")))).scalar()
-    return rows.withColumn(name, F.transform(listed, lambda t: cosine(F.col(vector), t["vector"])))
+    with_list = rows.withColumn("_topics", listed)
+    return with_list.withColumn(
+        name, F.transform("_topics", lambda t: cosine(F.col(vector), t["vector"]))
+    ).drop("_topics")
 
 
 def nearest_topic(
@@ -45,14 +48,18 @@ def nearest_topic(
     """
     if method not in ("matrix", "columns"):
         raise ValueError(f"unknown method: {method}")
-    best = None
-    for part in _blocks(topics, block):
-        found = _best_by_matrix(vector, part) if method == "matrix" else _best_by_columns(vector, part)
-        best = found if best is None else F.greatest(best, found)
+    blocks = _blocks(topics, block)
+    if method == "matrix":
+        best = [_best_by_matrix(vector, part) for part in blocks]
+    else:
+        listed = {f"_topics{i}": _listed(part) for i, part in enumerate(blocks)}
+        rows = rows.withColumns(listed)
+        best = [_best_by_columns(vector, name) for name in listed]
+    winner = F.greatest(*best) if len(best) > 1 else best[0]
     return (
-        rows.withColumn("_best", F.when(F.col(vector).isNotNull(), best))
+        rows.withColumn("_best", F.when(F.col(vector).isNotNull(), winner))
         .withColumns({label: F.col("_best.topic"), score: F.col("_best.score")})
-        .drop("_best")
+        .drop("_best", *[c for c in rows.columns if c.startswith("_topics")])
     )
 
 
@@ -61,8 +68,12 @@ def _ranked(score: Column, order: Column, topic: Column) -> Column:
     return F.struct(score.alias("score"), (-order).alias("earlier"), topic.alias("topic"))
 
 
-def _best_by_columns(vector: str, topics: DataFrame) -> Column:
-    listed = topics.agg(F.collect_list(F.struct("ord", "topic", "vector"))).scalar()
+def _listed(topics: DataFrame) -> Column:
+    """The topics of a block as one array: a scalar subquery, evaluated once."""
+    return topics.agg(F.collect_list(F.struct("ord", "topic", "vector"))).scalar()
+
+
+def _best_by_columns(vector: str, listed: str) -> Column:
     return F.array_max(
         F.transform(listed, lambda t: _ranked(cosine(F.col(vector), t["vector"]), t["ord"], t["topic"]))
     )

@@ -14,8 +14,12 @@ from palimpsest.plans.entities import TOPICS
 from palimpsest.sources.landing import BATCH, read_or_empty
 
 TOPIC, SCORE, SUMMARY = "tema_classificado", "tema_score", "resumo_executivo"
-TOPIC_TABLE = T.StructType.fromDDL(f"id bigint, batch string, {TOPIC} string, {SCORE} double, enriched_at timestamp")
-SUMMARY_TABLE = T.StructType.fromDDL(f"id bigint, batch string, {SUMMARY} string, enriched_at timestamp")
+_KEY = [T.StructField("id", T.LongType()), T.StructField("batch", T.StringType())]
+_AT = [T.StructField("enriched_at", T.TimestampType())]
+TOPIC_TABLE = T.StructType(
+    _KEY + [T.StructField(TOPIC, T.StringType()), T.StructField(SCORE, T.DoubleType())] + _AT
+)
+SUMMARY_TABLE = T.StructType(_KEY + [T.StructField(SUMMARY, T.StringType())] + _AT)
 VECTOR = T.ArrayType(T.FloatType())
 
 

@@ -16,6 +16,7 @@ from palimpsest.plans import bronze
 from palimpsest.sources import landing
 
 EPOCH = "epoch"
+BLOCK = "_block"
 
 
 def stream_files(
@@ -26,23 +27,29 @@ def stream_files(
     files_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
-    """Records of the files under ``path`` as they appear, with file name and position."""
+    """Records of the files under ``path`` as they appear, with file name and offset of their split."""
     reader = spark.readStream.schema(schema).format(file_format)
     for key, value in options.items():
         reader = reader.option(key, value)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path).select(
-        "*", F.col("_metadata.file_name").alias(landing.SOURCE_FILE), landing.file_ordinal().alias(landing.ORDINAL)
+        "*", F.col("_metadata.file_name").alias(landing.SOURCE_FILE), F.col("_metadata.file_block_start").alias(BLOCK)
     )
 
 
+def with_ordinal(batch: DataFrame) -> DataFrame:
+    """Position of each record in its file, for a micro-batch of ``stream_files``."""
+    position = F.struct(F.col(BLOCK).alias("block"), F.monotonically_increasing_id().alias("row"))
+    return batch.withColumn(landing.ORDINAL, position).drop(BLOCK)
+
+
 def log_versions(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append each micro-batch to a version log, stamped with its load time, until the source is drained."""
 
     def keep(batch: DataFrame, epoch: int) -> None:
         now = datetime.now(timezone.utc)
-        stamped = batch.withColumn(history.LOADED_AT, F.lit(now).cast("timestamp"))
+        stamped = with_ordinal(batch).withColumn(history.LOADED_AT, F.lit(now).cast("timestamp"))
         stamped.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
 
     return (

@@ -49,7 +49,7 @@ def project_rename(spark, sf_dir):
     return project(table(spark, sf_dir, "customer"), list(column_list(lines)))
 
 
-_STAMP_SQL = """CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y/%d/%m')
+_STAMP_SQL = """CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%d.%m.%Y')
   WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M') ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') END"""
 
 
@@ -57,7 +57,7 @@ def _stamps(spark, sf_dir):
     """Order dates as text in two good forms and one that does not parse."""
     status, day = F.col("o_orderstatus"), F.col("o_orderdate")
     text = (
-        F.when(status == "P", F.date_format(day, "yyyy/dd/MM"))
+        F.when(status == "P", F.date_format(day, "dd.MM.yyyy"))
         .when(status == "F", F.date_format(day, "yyyy-MM-dd'T'HH:mm"))
         .otherwise(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss"))
     )

@@ -40,20 +40,21 @@ def salted_join(
     hot_rows: int = HOT_ROWS,
     hot_keys: int = HOT_KEYS,
     salts: int = SALTS,
+    frequencies: DataFrame | None = None,
 ) -> DataFrame:
     """Inner or left join whose hottest left keys, and NULL keys, are spread over ``salts`` tasks each.
 
     The ``hot_keys`` most frequent keys with at least ``hot_rows`` rows are found by a narrow aggregate; only
     their rows on the right are repeated. A key outside that list holds less than 1/``hot_keys`` of the rows.
-    The salt comes from the row's own values, so a recomputed task gives the same salt.
+    The salt comes from the row's own values, so a recomputed task gives the same salt. A caller that has
+    counted the left keys already passes ``frequencies`` (``key``, ``_rows``).
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
+    if frequencies is None:
+        frequencies = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     hot = (
-        left.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") >= hot_rows)
+        frequencies.filter(F.col("_rows") >= hot_rows)
         .orderBy(F.desc("_rows"), key)
         .limit(hot_keys)
         .select(key, F.lit(True).alias("_hot"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from palimpsest.operators.joins import salted_join
+from palimpsest.session import stored
 
 # Fixed value: lines of a summary.
 LINES = 3
@@ -29,26 +30,26 @@ def extractive_summary(
 
     A sentence scores, over its distinct words, the word's count in the text times floor(log2(texts / texts
     with the word)): whole numbers, so the result does not depend on the order of addition. A text without
-    words gets its first sentences, one without sentences empty text. Common words are hot join keys and are
-    salted.
+    words gets its first sentences, one without sentences empty text.
+
+    The words of a text are counted once and stored, one row per text and word with the sentences it is in.
+    Words in more than half of the texts weigh nothing and drop out before the join; the most common of the
+    others are salted.
     """
     split = sentences(rows, key, text)
     words = F.explode(F.regexp_extract_all(F.lower("sentence"), F.lit(WORD), F.lit(0)))
-    uses = split.select(key, "position", words.alias("word")).groupBy(key, "position", "word").agg(
-        F.count(F.lit(1)).alias("uses")
-    )
-    in_text = Window.partitionBy(key, "word")
-    counted = uses.withColumn("in_text", F.sum("uses").over(in_text))
-    spread = uses.groupBy("word").agg(F.count_distinct(key).alias("texts"))
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    rarity = spread.withColumn("_total", total).select(
-        "word", (F.length(F.bin(F.expr("_total div texts"))) - 1).alias("rarity")
-    )
-    scored = (
-        salted_join(counted, rarity, "word", "inner", spread_by=[key, "position"], **skew)
-        .groupBy(key, "position")
-        .agg(F.sum(F.col("in_text") * F.col("rarity")).alias("score"))
+    used = split.select(key, "position", words.alias("word")).groupBy(key, "word").agg(
+        F.count(F.lit(1)).alias("uses"), F.collect_set("position").alias("positions")
     )
+    counted = stored(used, "words")
+    total = rows.agg(F.count(F.lit(1)).alias("_total")).first()["_total"]
+    spread = stored(counted.groupBy("word").agg(F.count(F.lit(1)).alias("_rows")), "word-counts")
+    rarity = spread.select("word", (F.length(F.bin(F.expr(f"{total} div _rows"))) - 1).alias("rarity"))
+    telling = rarity.filter("rarity > 0")
+    weighted = salted_join(
+        counted, telling, "word", "inner", spread_by=[key], frequencies=spread, **skew
+    ).select(key, F.explode("positions").alias("position"), (F.col("uses") * F.col("rarity")).alias("weight"))
+    scored = weighted.groupBy(key, "position").agg(F.sum("weight").alias("score"))
     ranked = split.join(scored, [key, "position"], "left")
     best_first = Window.partitionBy(key).orderBy(F.desc(F.coalesce("score", F.lit(0))), "position")
     best = ranked.withColumn("_rank", F.row_number().over(best_first)).filter(F.col("_rank") <= lines)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own_folders: dict[str, str] = {}
 
@@ -50,3 +50,13 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """``rows`` written once to the shared folder and read back: later uses start from the table.
+
+    Unlike cached blocks the table outlives the executor that wrote it.
+    """
+    path = scratch_path(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

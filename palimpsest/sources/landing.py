@@ -84,9 +84,13 @@ def write_batch(records: DataFrame, root: str, batch: str, file_format: str = "p
 
 
 def append_batches(records: DataFrame, root: str) -> None:
-    """Write all batches of ``records`` in one job. Batches written again are replaced, others stay."""
+    """Write all batches of ``records`` in one job. Batches written again are replaced, others stay.
+
+    The rebalance gives each batch few, evenly sized files and splits a batch that is much larger than others.
+    """
     (
-        records.write.mode("overwrite")
+        records.hint("rebalance", F.col(BATCH))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH)
         .parquet(root)

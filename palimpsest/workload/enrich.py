@@ -12,9 +12,9 @@ from palimpsest.operators.models import apply_model
 from palimpsest.operators.summaries import extractive_summary
 from palimpsest.operators.topics import nearest_topic, similarities
 from palimpsest.plans import enrichment, silver
-from palimpsest.plans.entities import TOPICS
+from palimpsest.plans.entities import SPECS, TOPICS
 from palimpsest.session import scratch_path
-from palimpsest.workload.history import versions
+from palimpsest.workload.history import version_table
 from palimpsest.workload.registry import VERSIONS_SQL, millionths, query, table
 from palimpsest.workload.silver import PROPOSITIONS_SQL, proposition_records
 
@@ -32,7 +32,7 @@ latest AS (
 
 
 def _labelled(spark, sf_dir):
-    flagged = history.flag_current(versions(spark, sf_dir), "user_id", "batch", "delta")
+    flagged = history.flag_current(version_table(spark, sf_dir), "user_id", "batch", "delta")
     label = F.concat(F.lit("k"), F.get_json_object("props", "$.k"))
     return flagged.select(
         F.col("user_id").alias("id"),
@@ -65,7 +65,7 @@ def inherit_unchanged(spark, sf_dir):
 _TEXTS_SQL = """
 texts AS (
   SELECT doc_id, CASE WHEN source = 'src1' THEN NULL WHEN source = 'src2' THEN '' ELSE text END AS ementa,
-         CASE WHEN lang = 'fr' THEN upper(text) WHEN source = 'src3' THEN '' END AS detailed,
+         CASE WHEN lang = 'fr' THEN '- ' || text WHEN source = 'src3' THEN '' END AS detailed,
          CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END AS tema
   FROM documents LEFT JOIN labels USING (doc_id))"""
 
@@ -77,7 +77,7 @@ def _texts(spark, sf_dir):
     return joined.select(
         "doc_id",
         F.when(source == "src1", None).when(source == "src2", "").otherwise(F.col("text")).alias("ementa"),
-        F.when(F.col("lang") == "fr", F.upper("text")).when(source == "src3", "").alias("detailed"),
+        F.when(F.col("lang") == "fr", F.concat(F.lit("- "), "text")).when(source == "src3", "").alias("detailed"),
         F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor").alias("tema"),
     )
 
@@ -205,10 +205,13 @@ def classify_documents(spark, sf_dir):
 
 
 def _proposition_log(spark, sf_dir):
-    """Version log of the propositions with its flags: first the labelled documents, then all."""
+    """Stored version log of the propositions and its flags: first the labelled documents, then all."""
+    root, spec = scratch_path(spark, "silver"), SPECS["propositions"]
     rows = silver.transform_propositions(proposition_records(spark, sf_dir))
-    at = F.when(F.col("source_file") == "delta_1.json", "2024-01-01").otherwise("2024-01-02").cast("timestamp")
-    log = history.stamp(rows, F.col("source_file"), at).withColumn("batch", F.col("source_file"))
+    for day in (1, 2):
+        batch = rows.filter(F.col("source_file") == f"delta_{day}.json")
+        silver.load(batch, spec, root, datetime(2024, 1, day, tzinfo=timezone.utc))
+    log = silver.versions(spark, spec, root)
     return log, history.flag_current(log, "id", "batch", "delta")
 
 

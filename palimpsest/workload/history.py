@@ -10,7 +10,7 @@ from palimpsest.operators import history
 from palimpsest.operators.dedup import keep_first
 from palimpsest.plans import silver
 from palimpsest.plans.entities import SPECS
-from palimpsest.session import scratch_path
+from palimpsest.session import scratch_path, stored
 from palimpsest.sources import landing
 from palimpsest.workload.registry import VERSIONS_SQL, cents, day_text, query, table, time_text
 from palimpsest.workload.silver import VOTINGS_SQL, deputy_records, voting_columns, voting_records
@@ -35,6 +35,11 @@ def versions(spark, sf_dir, grain="day"):
     return history.stamp(first.drop("ts"), F.col("batch").cast("string"), loaded)
 
 
+def version_table(spark, sf_dir, grain="day"):
+    """The same as a table, for what reads the log more than once."""
+    return stored(versions(spark, sf_dir, grain), "versions")
+
+
 def shown(rows, *more):
     return rows.select("event_id", "user_id", F.col("batch").cast("string").alias("batch"), "event_type", *more)
 
@@ -49,7 +54,7 @@ def load_metadata(spark, sf_dir):
 @query(f"WITH {WEEKS_SQL} SELECT {SHOWN_SQL} FROM weeks WHERE batch = (SELECT max(batch) FROM weeks)")
 def scd2_snapshot_current(spark, sf_dir):
     """Weekly snapshots: only the last one is current."""
-    return shown(history.current_snapshot(versions(spark, sf_dir, "week"), "batch"))
+    return shown(history.current_snapshot(version_table(spark, sf_dir, "week"), "batch"))
 
 
 @query(f"""WITH {WEEKS_SQL}, loads AS (
@@ -59,7 +64,7 @@ SELECT {SHOWN_SQL.replace('batch AS', 'weeks.batch AS')}, strftime(loaded_at, '%
 FROM weeks JOIN loads ON weeks.batch = loads.batch""")
 def scd2_snapshot_history(spark, sf_dir):
     """Weekly snapshots with validity: each ends at the next load, whether or not the key is in it."""
-    rows = history.with_validity(versions(spark, sf_dir, "week"), "user_id", "batch", "snapshot")
+    rows = history.with_validity(version_table(spark, sf_dir, "week"), "user_id", "batch", "snapshot")
     return shown(
         rows,
         time_text("valid_from").alias("valid_from"),
@@ -72,7 +77,7 @@ WHERE batch = (SELECT max(batch) FROM weeks WHERE loaded_at <= TIMESTAMP '2024-0
 def scd2_snapshot_asof(spark, sf_dir):
     """The snapshot that was current at an instant."""
     at = F.lit("2024-01-16 12:00:00").cast("timestamp")
-    return shown(history.as_of(versions(spark, sf_dir, "week"), "user_id", "batch", "snapshot", at))
+    return shown(history.as_of(version_table(spark, sf_dir, "week"), "user_id", "batch", "snapshot", at))
 
 
 @query(f"""WITH {VERSIONS_SQL} SELECT {SHOWN_SQL} FROM versions
@@ -85,13 +90,13 @@ def scd2_delta_current(spark, sf_dir):
 @query(f"""WITH {VERSIONS_SQL} SELECT {SHOWN_SQL}, batch = max(batch) OVER (PARTITION BY user_id) AS is_current FROM versions""")
 def scd2_delta_flags(spark, sf_dir):
     """Daily deltas: all versions with their flag."""
-    return shown(history.flag_current(versions(spark, sf_dir), "user_id", "batch", "delta"), "is_current")
+    return shown(history.flag_current(version_table(spark, sf_dir), "user_id", "batch", "delta"), "is_current")
 
 
 @query(f"""WITH {WEEKS_SQL} SELECT {SHOWN_SQL}, batch = (SELECT max(batch) FROM weeks) AS is_current FROM weeks""")
 def scd2_snapshot_flags(spark, sf_dir):
     """Weekly snapshots: all versions with their flag."""
-    return shown(history.flag_current(versions(spark, sf_dir, "week"), "user_id", "batch", "snapshot"), "is_current")
+    return shown(history.flag_current(version_table(spark, sf_dir, "week"), "user_id", "batch", "snapshot"), "is_current")
 
 
 @query(f"""WITH {VERSIONS_SQL} SELECT {SHOWN_SQL}, strftime(loaded_at, '%Y-%m-%d %H:%M:%S') AS valid_from,
@@ -99,7 +104,7 @@ def scd2_snapshot_flags(spark, sf_dir):
 FROM versions""")
 def scd2_delta_history(spark, sf_dir):
     """Daily deltas with validity: a version ends when its key's next one loads."""
-    rows = history.with_validity(versions(spark, sf_dir), "user_id", "batch", "delta")
+    rows = history.with_validity(version_table(spark, sf_dir), "user_id", "batch", "delta")
     return shown(
         rows,
         time_text("valid_from").alias("valid_from"),
@@ -118,7 +123,7 @@ def scd2_delta_asof(spark, sf_dir):
 @query(f"""WITH {VERSIONS_SQL} SELECT {SHOWN_SQL} FROM versions QUALIFY batch = max(batch) OVER (PARTITION BY user_id)""")
 def delta_merge(spark, sf_dir):
     """A compacted current table, advanced by the rows of later batches."""
-    log = versions(spark, sf_dir)
+    log = version_table(spark, sf_dir)
     split = F.lit("2024-01-20").cast("date")
     before = history.current_delta(log.filter(F.col("batch") < split), "user_id", "batch")
     after = history.current_delta(log.filter(F.col("batch") >= split), "user_id", "batch")
@@ -208,7 +213,7 @@ SELECT event_id, CAST(batch AS VARCHAR) AS batch, event_type,
        pk IS NULL OR batch = max(batch) OVER (PARTITION BY pk) AS is_current FROM keyed""")
 def keyless_versions(spark, sf_dir):
     """Versions without a key never expire under the delta strategy."""
-    keyed = versions(spark, sf_dir).withColumn("pk", F.when(F.col("event_type") != "error", F.col("user_id")))
+    keyed = version_table(spark, sf_dir).withColumn("pk", F.when(F.col("event_type") != "error", F.col("user_id")))
     rows = history.flag_current(keyed, "pk", "batch", "delta")
     return rows.select("event_id", F.col("batch").cast("string").alias("batch"), "event_type", "is_current")
 

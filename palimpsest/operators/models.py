@@ -18,12 +18,14 @@ def apply_model(
     value: str,
     value_type: T.DataType,
     call_rows: int = CALL_ROWS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``rows`` without ``text``, plus the model's ``value`` and an ``error``.
 
     The model maps a list of texts to a list of values and is called on at most ``call_rows`` of them. If a
     call fails its rows are tried one by one; a row that still fails gets a NULL value and the error, and so
-    stays in the queue. Arrow batches go through unconverted but for the text column.
+    stays in the queue. Arrow batches go through unconverted but for the text column. With ``tasks`` the
+    queue is dealt out evenly first, which pays when a call costs more than moving its texts.
     """
     kept = [f for f in rows.schema.fields if f.name != text]
     schema = T.StructType(kept + [T.StructField(value, value_type), T.StructField("error", T.StringType())])
@@ -54,4 +56,5 @@ def apply_model(
                 columns.append(pa.array([e for _, e in results], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=kept_names + [value, "error"])
 
-    return rows.select(*kept_names, text).mapInArrow(run, schema)
+    queue = rows.select(*kept_names, text)
+    return (queue.repartition(tasks) if tasks else queue).mapInArrow(run, schema)

@@ -28,28 +28,23 @@ def extractive_summary(
 ) -> DataFrame:
     """The ``lines`` highest-scoring sentences of each text, in text order, one per line.
 
-    A sentence scores, over its distinct words, the word's count in the text times floor(log2(texts / texts
-    with the word)): whole numbers, so the result does not depend on the order of addition. A text without
-    words gets its first sentences, one without sentences empty text.
+    A sentence scores, over its distinct words, floor(log2(sentences / sentences with the word)): whole
+    numbers, so the result does not depend on the order of addition. A text without words gets its first
+    sentences, one without sentences empty text.
 
-    The words of a text are counted once and stored, one row per text and word with the sentences it is in.
-    Words in more than half of the texts weigh nothing and drop out before the join; the most common of the
-    others are salted.
+    Words are made distinct inside the sentence, before any shuffle. Words in more than half of the sentences
+    weigh nothing and drop out before the join; the most common of the others are salted.
     """
-    split = sentences(rows, key, text)
-    words = F.explode(F.regexp_extract_all(F.lower("sentence"), F.lit(WORD), F.lit(0)))
-    used = split.select(key, "position", words.alias("word")).groupBy(key, "word").agg(
-        F.count(F.lit(1)).alias("uses"), F.collect_set("position").alias("positions")
-    )
-    counted = stored(used, "words")
-    total = rows.agg(F.count(F.lit(1)).alias("_total")).first()["_total"]
-    spread = stored(counted.groupBy("word").agg(F.count(F.lit(1)).alias("_rows")), "word-counts")
+    split = stored(sentences(rows, key, text), "sentences")
+    words = F.array_distinct(F.regexp_extract_all(F.lower("sentence"), F.lit(WORD), F.lit(0)))
+    used = stored(split.select(key, "position", F.explode(words).alias("word")), "words")
+    total = split.count()
+    spread = stored(used.groupBy("word").agg(F.count(F.lit(1)).alias("_rows")), "word-counts")
     rarity = spread.select("word", (F.length(F.bin(F.expr(f"{total} div _rows"))) - 1).alias("rarity"))
-    telling = rarity.filter("rarity > 0")
     weighted = salted_join(
-        counted, telling, "word", "inner", spread_by=[key], frequencies=spread, **skew
-    ).select(key, F.explode("positions").alias("position"), (F.col("uses") * F.col("rarity")).alias("weight"))
-    scored = weighted.groupBy(key, "position").agg(F.sum("weight").alias("score"))
+        used, rarity.filter("rarity > 0"), "word", "inner", spread_by=[key, "position"], frequencies=spread, **skew
+    )
+    scored = weighted.groupBy(key, "position").agg(F.sum("rarity").alias("score"))
     ranked = split.join(scored, [key, "position"], "left")
     best_first = Window.partitionBy(key).orderBy(F.desc(F.coalesce("score", F.lit(0))), "position")
     best = ranked.withColumn("_rank", F.row_number().over(best_first)).filter(F.col("_rank") <= lines)

@@ -30,16 +30,21 @@ def topic_dimension(spark: SparkSession, embed: Callable[[list[str]], list]) ->
     return spark.createDataFrame(rows, "ord int, topic string, vector array<float>")
 
 
+def _tasks(queue: DataFrame) -> int:
+    """One task per core: the model is the costly part, and a queue may sit in a few files."""
+    return queue.sparkSession.sparkContext.defaultParallelism
+
+
 def classify(queue: DataFrame, text: str, embed: Callable[[list[str]], list], topics: DataFrame) -> DataFrame:
     """Queue rows with topic, score and error; rows whose model call failed keep NULLs."""
-    vectors = apply_model(queue, text, embed, "_vector", VECTOR)
+    vectors = apply_model(queue, text, embed, "_vector", VECTOR, tasks=_tasks(queue))
     return nearest_topic(vectors, "_vector", topics, TOPIC, SCORE).drop("_vector")
 
 
 def summarize(queue: DataFrame, model: Callable[[list[str]], list], short: str = "ementa", long: str = "ementaDetalhada") -> DataFrame:
     """Queue rows with summary and error. Surrounding blanks of a summary are removed."""
     texts = queue.withColumn("_text", carry.summary_input(short, long)).drop(short, long)
-    made = apply_model(texts, "_text", model, SUMMARY, T.StringType())
+    made = apply_model(texts, "_text", model, SUMMARY, T.StringType(), tasks=_tasks(queue))
     return made.withColumn(SUMMARY, F.regexp_replace(SUMMARY, r"(?U)^\s+|\s+$", ""))
 
 

@@ -113,3 +113,12 @@ def unnest_pages(pages: DataFrame, records: str = "dados", page: str = "page") -
 def preview(records: DataFrame, rows: int = 3) -> DataFrame:
     """Dry run: a few transformed rows. Nothing is loaded and no ledger is touched."""
     return records.limit(rows)
+
+
+def spread_input(rows: DataFrame) -> DataFrame:
+    """For costly work per row: a table in fewer files than there are cores is dealt out over all of them.
+
+    A table of many files is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.sqlguard import BLOCKED
 from palimpsest.plans import adhoc
+from palimpsest.sources.landing import spread_input
 from palimpsest.workload.registry import query, table
 
 
@@ -20,7 +21,7 @@ SELECT doc_id, CASE WHEN NOT starts_with(upper(body), 'SELECT') THEN 'not_select
 FROM bodies""")
 def audit_sql(spark, sf_dir):
     """Verdicts on statements made from the texts."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread_input(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     text, lang = F.col("text"), F.col("lang")
     made = documents.select(
         "doc_id",

@@ -14,6 +14,7 @@ from palimpsest.operators.topics import nearest_topic, similarities
 from palimpsest.plans import enrichment, silver
 from palimpsest.plans.entities import SPECS, TOPICS
 from palimpsest.session import scratch_path
+from palimpsest.sources.landing import spread_input
 from palimpsest.workload.history import version_table
 from palimpsest.workload.registry import VERSIONS_SQL, millionths, query, table
 from palimpsest.workload.silver import PROPOSITIONS_SQL, proposition_records
@@ -263,14 +264,14 @@ WITH split AS (
          generate_subscripts(regexp_extract_all(text, '[^.!?\n]+[.!?]*'), 1) AS position FROM documents),
 sentences AS (SELECT doc_id, position, trim(sentence, ' ') AS sentence FROM split WHERE trim(sentence, ' ') <> ''),
 words AS (SELECT doc_id, position, unnest(regexp_extract_all(lower(sentence), '[\p{L}\p{N}]+')) AS word FROM sentences),
-in_text AS (SELECT doc_id, word, count(*) AS uses FROM words GROUP BY 1, 2),
-rarity AS (SELECT word, length(bin((SELECT count(*) FROM documents) // count(*))) - 1 AS rarity FROM in_text GROUP BY 1),
-scores AS (SELECT doc_id, position, sum(uses * rarity) AS score
-           FROM (SELECT DISTINCT * FROM words) JOIN in_text USING (doc_id, word) JOIN rarity USING (word) GROUP BY 1, 2),
+used AS (SELECT DISTINCT * FROM words),
+rarity AS (SELECT word, length(bin((SELECT count(*) FROM sentences) // count(*))) - 1 AS rarity FROM used GROUP BY 1),
+scores AS (SELECT doc_id, position, sum(rarity) AS score FROM used JOIN rarity USING (word) GROUP BY 1, 2),
 best AS (SELECT doc_id, position, sentence FROM sentences LEFT JOIN scores USING (doc_id, position)
          QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(score, 0) DESC, position) <= 3)
 SELECT doc_id, coalesce(string_agg(sentence, chr(10) ORDER BY position), '') AS summary
 FROM documents LEFT JOIN best USING (doc_id) GROUP BY doc_id""")
 def extractive_summaries(spark, sf_dir):
     """Three most telling sentences of each whole text."""
-    return extractive_summary(table(spark, sf_dir, "documents"), "doc_id", "text")
+    documents = spread_input(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return extractive_summary(documents, "doc_id", "text")

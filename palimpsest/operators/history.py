@@ -13,9 +13,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from palimpsest.operators.joins import dimension_join
+from palimpsest.operators.joins import dimension_join, join_spreading_nulls, spread_columns
 
 LOADED_AT = "loaded_at"
 
@@ -43,8 +43,7 @@ def current_delta(versions: DataFrame, pk: str, batch: str, ordinal: str | None
     if ordinal:
         order = Window.partitionBy(*groups).orderBy(F.desc(batch), F.asc(ordinal))
         return versions.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
-    hashable = [f.name for f in versions.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    groups.append(F.when(keyless, F.xxhash64(*hashable)))
+    groups.append(F.when(keyless, F.xxhash64(*spread_columns(versions))))
     order = Window.partitionBy(*groups).orderBy(F.desc(batch))
     return versions.withColumn("_rank", F.rank().over(order)).filter("_rank = 1").drop("_rank")
 
@@ -58,9 +57,8 @@ def flag_current(versions: DataFrame, pk: str, batch: str, strategy: str) -> Dat
     keyed = versions.filter(F.col(pk).isNotNull())
     heads = keyed.groupBy(pk).agg(F.max(batch).alias(batch)).withColumn("_head", F.lit(True))
     # Joining on key and batch, not on the key alone, spreads a hot key over its batches.
-    flagged = keyed.join(heads, [pk, batch], "left").withColumn("is_current", F.col("_head").isNotNull())
-    keyless = versions.filter(F.col(pk).isNull()).withColumn("is_current", F.lit(True))
-    return flagged.drop("_head").unionByName(keyless)
+    flagged = join_spreading_nulls(versions, heads, [pk, batch])
+    return flagged.withColumn("is_current", F.col("_head").isNotNull() | F.col(pk).isNull()).drop("_head")
 
 
 def with_validity(versions: DataFrame, pk: str, batch: str, strategy: str) -> DataFrame:
@@ -82,9 +80,8 @@ def with_validity(versions: DataFrame, pk: str, batch: str, strategy: str) -> Da
     following = loads.select(
         pk, batch, F.lead("_loaded").over(Window.partitionBy(pk).orderBy(batch)).alias("valid_to")
     )
-    closed = opened.filter(F.col(pk).isNotNull()).join(following, [pk, batch], "left")
-    keyless = opened.filter(F.col(pk).isNull()).withColumn("valid_to", F.lit(None).cast("timestamp"))
-    return closed.unionByName(keyless).withColumn("is_current", F.col("valid_to").isNull())
+    closed = join_spreading_nulls(opened, following, [pk, batch])
+    return closed.withColumn("is_current", F.col("valid_to").isNull())
 
 
 def as_of(versions: DataFrame, pk: str, batch: str, strategy: str, instant: Column) -> DataFrame:
@@ -99,9 +96,8 @@ def advance_current(current: DataFrame, batch: DataFrame, pk: str) -> DataFrame:
     Cost follows the current table and the batch, not the log. NULL keys match nothing and stay.
     """
     touched = batch.filter(F.col(pk).isNotNull()).select(pk).distinct()
-    untouched = current.filter(F.col(pk).isNotNull()).join(touched, pk, "left_anti")
-    keyless = current.filter(F.col(pk).isNull())
-    return untouched.unionByName(keyless).unionByName(batch, allowMissingColumns=True)
+    untouched = join_spreading_nulls(current, touched, [pk], "left_anti")
+    return untouched.unionByName(batch, allowMissingColumns=True)
 
 
 def extend_schema(older: DataFrame, newer: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from palimpsest.operators.dedup import keep_first
 from palimpsest.operators.history import LOADED_AT
-from palimpsest.operators.joins import left_join_known
+from palimpsest.operators.joins import join_spreading_nulls
 
 
 def latest_labelled(versions: DataFrame, pk: str, labels: list[str], batch: str) -> DataFrame:
@@ -23,7 +23,7 @@ def inherit(versions: DataFrame, pk: str, text: str, labels: list[str], batch: s
     """
     renamed = [F.col(c).alias(f"_old_{c}") for c in (text, *labels)]
     known = latest_labelled(versions, pk, labels, batch).filter(F.col(pk).isNotNull()).select(pk, *renamed)
-    joined = left_join_known(versions.filter("is_current"), known, pk)
+    joined = join_spreading_nulls(versions.filter("is_current"), known, [pk])
     fill = F.col(labels[0]).isNull() & F.coalesce(F.col(text) == F.col(f"_old_{text}"), F.lit(False))
     fill = fill & F.col(f"_old_{labels[0]}").isNotNull()
     filled = {c: F.when(F.col("inherited"), F.col(f"_old_{c}")).otherwise(F.col(c)) for c in labels}
@@ -54,6 +54,4 @@ def with_enrichment(versions: DataFrame, enrichment: DataFrame, pk: str, batch:
     twice the later record counts.
     """
     latest = keep_first(enrichment, [pk, batch], [F.desc("enriched_at")]).drop("enriched_at")
-    keyed = versions.filter(F.col(pk).isNotNull()).join(latest, [pk, batch], "left")
-    keyless = versions.filter(F.col(pk).isNull())
-    return keyed.unionByName(keyless, allowMissingColumns=True)
+    return join_spreading_nulls(versions, latest, [pk, batch])

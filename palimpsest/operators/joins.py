@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -70,11 +70,25 @@ def salted_join(
     return joined.drop("_salt")
 
 
-def left_join_known(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join on a key unique on the right. Rows with a NULL key match nothing and skip the shuffle."""
-    added = [f for f in right.schema.fields if f.name != key]
-    known = left.filter(F.col(key).isNotNull()).join(right, key, "left")
-    unknown = left.filter(F.col(key).isNull()).withColumns(
-        {f.name: F.lit(None).cast(f.dataType) for f in added}
+def spread_columns(rows: DataFrame) -> list[str]:
+    """Columns whose hash tells rows apart at little cost: the whole numbers, or all if there are none."""
+    whole = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.IntegralType)]
+    plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return whole if len(whole) > 1 else plain
+
+
+def join_spreading_nulls(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", salts: int = SALTS
+) -> DataFrame:
+    """Left or anti join in which left rows with a NULL first key match nothing but still spread over tasks.
+
+    They would all hash to one partition otherwise. Rows with a key have salt 0 on both sides; on the right it
+    is computed, as a literal would be folded out of the join keys.
+    """
+    missing = F.col(keys[0]).isNull()
+    spread = F.when(missing, F.pmod(F.xxhash64(*spread_columns(left)), F.lit(salts))).otherwise(
+        F.lit(0).cast("bigint")
     )
-    return known.unionByName(unknown)
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
+    joined = left.withColumn("_salt", spread).join(right.withColumn("_salt", zero), [*keys, "_salt"], how)
+    return joined.drop("_salt")

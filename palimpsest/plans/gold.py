@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from palimpsest.operators.joins import left_join_known
+from palimpsest.operators.joins import join_spreading_nulls
 from palimpsest.operators.pivot import SOCIAL, json_strings, pivot_arrays
 
 # Columns of the serving relations.
@@ -35,7 +35,7 @@ def gold_deputies(current: DataFrame) -> DataFrame:
     """Current deputies with one link per social network; personal identifiers stay in silver."""
     links = F.col("redeSocial") if "array" in dict(current.dtypes)["redeSocial"] else json_strings("redeSocial")
     social = pivot_arrays(current, "id", links, SOCIAL)
-    return left_join_known(current.select(*DEPUTIES, "loaded_at"), social, "id").select(
+    return join_spreading_nulls(current.select(*DEPUTIES, "loaded_at"), social, ["id"]).select(
         *DEPUTIES, *SOCIAL, "loaded_at"
     )
 

@@ -73,7 +73,7 @@ texts AS (
 
 def _texts(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    joined = carry.left_join_known(table(spark, sf_dir, "documents"), labels, "doc_id")
+    joined = table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
     source = F.col("source")
     return joined.select(
         "doc_id",

@@ -24,10 +24,14 @@ def new_records(
 
 
 def current_mark(spark: SparkSession, ledger_path: str, endpoint: str, before: str | None = None) -> str | None:
-    """High-water mark of an endpoint: one value. ``before`` leaves out the run that is being repeated."""
+    """High-water mark of an endpoint: one value.
+
+    ``before`` is the name of the run that asks. Only runs that sort before it count, so a run repeated after
+    later ones takes the same records again.
+    """
     runs = ledger.read_runs(spark, ledger_path).filter(F.col("endpoint") == endpoint)
     if before:
-        runs = runs.filter(F.col("file") != before)
+        runs = runs.filter(F.col("file") < before)
     return runs.agg(F.max("hwm")).first()[0]
 
 
@@ -49,7 +53,8 @@ def ingest_delta(
 ) -> Row:
     """One incremental run: window, mark, optional detail merge, batch, ledger row.
 
-    Running it again under the same ``file`` replaces the batch and the row. The new mark and the count are
+    ``file`` names the run; names sort in run order, as timestamps do. Running it again under the same name
+    replaces the batch and the row. The new mark and the count are
     read from the written batch, two narrow columns.
     """
     months = months or wm.FIRST_RUN_MONTHS[endpoint]

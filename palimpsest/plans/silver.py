@@ -93,7 +93,6 @@ def run(
         again = {r["file_name"] for r in listed if r["again"]}
     if not names:
         return spark.createDataFrame([], "batch string, rows long")
-    loaded = found.filter(F.col("file_name").isin(names))
     rows = transform(_scan(spark, spec, bronze, names), spec)
     if dry_run:
         return landing.preview(rows)
@@ -105,7 +104,44 @@ def run(
         replaced = history.stamp(transform(_scan(spark, spec, bronze, [name]), spec), name, loaded_at)
         landing.write_batch(replaced, f"{root}/{spec.table}", name)
     if spec.strategy != "overwrite":
-        ledger.record_files(ledger.file_rows(loaded, spec.endpoint, loaded_at), ledger_path)
+        # ``fresh`` holds the times and lengths listed before the read: a file rewritten since loads again.
+        ledger.record_files(ledger.file_rows(fresh, spec.endpoint, loaded_at), ledger_path)
+    counts = versions(spark, spec, root).filter(F.col(BATCH).isin(names)).groupBy(BATCH)
+    return counts.agg(F.count(F.lit(1)).alias("rows"))
+
+
+def run_batches(
+    spark: SparkSession,
+    spec: TableSpec,
+    bronze: str,
+    runs_path: str,
+    root: str,
+    ledger_path: str,
+    loaded_at: datetime,
+) -> DataFrame:
+    """Load the Parquet batches that the run ledger lists and the file ledger does not, in one job.
+
+    The form for large feeds: batches are folders of any number of files, and the scan reads only the new
+    ones. A run without new records is marked as loaded and expires nothing.
+    """
+    landed = ledger.read_runs(spark, runs_path).filter(F.col("endpoint") == spec.endpoint)
+    found = landed.select(
+        F.col("file").alias("file_name"), F.col("ran_at").alias("modified_at"), F.col("new_records").alias("length")
+    )
+    seen = ledger.read_files(spark, ledger_path).filter(F.col("endpoint") == spec.endpoint)
+    fresh = ledger.pending_files(found, seen)
+    names = [r["file_name"] for r in fresh.select("file_name").orderBy("file_name").collect()]
+    if not names:
+        return spark.createDataFrame([], "batch string, rows long")
+    schema = spec.bronze_schema()
+    stored = spark.read.parquet(bronze).schema
+    if ORDINAL in stored.fieldNames():
+        schema = schema.add(stored[ORDINAL])
+    records = landing.read_batches(spark, bronze, schema).filter(F.col(BATCH).isin(names))
+    if ORDINAL not in schema.fieldNames():
+        records = records.withColumn(ORDINAL, F.struct("_metadata.file_path", "_metadata.row_index"))
+    load(transform(records, spec, BATCH), spec, root, loaded_at, BATCH)
+    ledger.record_files(ledger.file_rows(fresh, spec.endpoint, loaded_at), ledger_path)
     counts = versions(spark, spec, root).filter(F.col(BATCH).isin(names)).groupBy(BATCH)
     return counts.agg(F.count(F.lit(1)).alias("rows"))
 

@@ -78,8 +78,13 @@ def ingest_deltas(
     checkpoint: str,
     today: date,
     months: int,
+    name: str = "delta",
 ) -> StreamingQuery:
-    """Run ``bronze.ingest_delta`` on each micro-batch; a repeated one replaces its batch and ledger row."""
+    """Run ``bronze.ingest_delta`` on each micro-batch; a repeated one replaces its batch and ledger row.
+
+    Micro-batches count from 0 in every checkpoint: a new checkpoint on the same tables needs a ``name`` that
+    sorts after the last one.
+    """
 
     def take(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
@@ -90,7 +95,7 @@ def ingest_deltas(
             stamp,
             root,
             ledger_path,
-            f"delta_{epoch:012d}",
+            f"{name}_{epoch:012d}",
             datetime.now(timezone.utc),
             today,
             months,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime, timezone
+
 from pyspark.sql import functions as F
 
 from palimpsest.operators import history, pivot
 from palimpsest.operators.joins import dimension_join
-from palimpsest.plans import gold, silver
+from palimpsest.plans import bronze, gold, silver
+from palimpsest.plans.entities import SPECS
 from palimpsest.session import scratch_path
 from palimpsest.sources import landing
 from palimpsest.workload.registry import query, table, time_text
@@ -142,3 +145,24 @@ def dimension_lookup(spark, sf_dir):
     return dimension_join(table(spark, sf_dir, "customer"), nations, "c_nationkey").select(
         "c_custkey", "c_name", "n_name"
     )
+
+
+@query("""
+WITH stamped AS (SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS stamp FROM events),
+run1 AS (SELECT * FROM stamped WHERE day <= '2024-01-12'),
+run2 AS (SELECT * FROM stamped WHERE stamp > (SELECT max(stamp) FROM run1)),
+landed AS (SELECT 'delta_1' AS batch, * FROM run1 UNION ALL SELECT 'delta_2', * FROM run2),
+versions AS (SELECT * FROM landed QUALIFY row_number() OVER (PARTITION BY batch, user_id ORDER BY event_id) = 1)
+SELECT CAST(user_id AS VARCHAR) AS id, day AS data, replace(stamp, 'T', ' ') AS registered, upper(event_type) AS "siglaOrgao",
+       props AS descricao, CASE WHEN event_type = 'error' THEN 'open' WHEN value > 10 THEN '1' ELSE '0' END AS aprovacao
+FROM versions QUALIFY batch = max(batch) OVER (PARTITION BY user_id)""")
+def bronze_to_gold_votings(spark, sf_dir):
+    """Two incremental runs landed as Parquet, loaded to history together, and the serving relation."""
+    spec = SPECS["votings"]
+    landed, runs, root, files = (scratch_path(spark, p) for p in ("landed", "runs", "silver", "files"))
+    records = voting_records(spark, sf_dir).drop("source_file")
+    for file, day in (("delta_1", date(2024, 1, 12)), ("delta_2", date(2024, 2, 10))):
+        at = datetime(day.year, day.month, day.day, tzinfo=timezone.utc)
+        bronze.ingest_delta(spark, records, "votings", spec.mark, landed, runs, file, at, day)
+    silver.run_batches(spark, spec, landed, runs, root, files, datetime(2024, 2, 11, tzinfo=timezone.utc))
+    return voting_columns(gold.gold_votings(silver.current(spark, spec, root)))

@@ -1,0 +1,171 @@
+"""Fixture batches through the transforms, the loader and its ledger."""
+
+import json
+import shutil
+from datetime import date, datetime, timezone
+
+import pytest
+
+from palimpsest.operators import history
+from palimpsest.plans import gold, silver
+from palimpsest.plans.entities import SPECS
+from palimpsest.sources import landing, ledger
+from tests.conftest import tuples
+
+AT = datetime(2024, 2, 1, 12, tzinfo=timezone.utc)
+
+
+def read(spark, fixtures, endpoint, name="*.json"):
+    spec = SPECS[endpoint]
+    pattern = spec.file_pattern if name == "*.json" else name
+    return landing.read_json_batches(spark, f"{fixtures}/{endpoint}", spec.bronze_schema(), pattern)
+
+
+@pytest.mark.parametrize(
+    "endpoint, width", [("deputies", 42), ("parties", 21), ("propositions", 32), ("votings", 11)]
+)
+def test_column_counts(spark, endpoint, width):
+    assert len(SPECS[endpoint].columns) == width
+    assert len(SPECS[endpoint].silver_schema()) == width + 2
+
+
+def test_pattern_selects_files(spark, fixtures):
+    files = landing.discover_files(spark, f"{fixtures}/deputies", "snapshot_*.json")
+    assert [r[0] for r in tuples(files, "file_name")] == [f"snapshot_2024-01-0{d}.json" for d in (1, 2, 3)]
+
+
+def test_deputies_first_copy_wins_and_missing_detail_keeps_its_row(spark, fixtures):
+    rows = silver.transform_deputies(read(spark, fixtures, "deputies", "snapshot_2024-01-01.json"))
+    assert tuples(rows, "deputado_id", "id", "nomeCivil", "gabineteSala", "resumoNome") == [
+        (1, 1, "Ana Souza", "10", "Ana Souza"),
+        (2, 2, "Bento", None, "Bento"),
+        (3, 3, "Célia", "10", "Célia"),
+        (4, None, None, None, "Davi"),
+    ]
+
+
+def test_propositions_parse_or_null(spark, fixtures):
+    rows = silver.transform_propositions(read(spark, fixtures, "propositions"))
+    shown = rows.filter("source_file = 'delta_20240101T000000Z.json'")
+    assert tuples(shown, "id", "dataApresentacao", "statusDataHora", "statusCodTipoTramitacao") == [
+        (1, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 30), 502),
+        (2, None, datetime(2024, 1, 1, 10, 0, 30), None),
+        (3, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 30), 502),
+        (4, None, datetime(2024, 1, 1, 10, 0, 30), 502),
+        (5, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 30), 502),
+    ]
+
+
+def test_votings_types(spark, fixtures):
+    rows = silver.transform_votings(read(spark, fixtures, "votings", "delta_20240101T000000Z.json"))
+    assert tuples(rows, "id", "data", "dataHoraRegistro", "aprovacao") == [
+        ("10-1", date(2024, 1, 1), datetime(2024, 1, 1, 10), 1),
+        ("10-2", date(2024, 1, 1), datetime(2024, 1, 1, 11, 30), 0),
+        ("10-3", None, None, None),
+    ]
+
+
+def test_empty_batch_is_typed(spark, fixtures):
+    rows = silver.transform_propositions(read(spark, fixtures, "propositions", "delta_20240103T000000Z.json"))
+    assert rows.count() == 0
+    assert len(rows.columns) == 33
+
+
+def test_malformed_file_stops_the_load(spark, tmp_path):
+    (tmp_path / "delta_1.json").write_text('[{"id": "1", ')
+    rows = silver.transform_votings(
+        landing.read_json_batches(spark, str(tmp_path), SPECS["votings"].bronze_schema(), "delta_*.json")
+    )
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
+        rows.collect()
+
+
+def paths(tmp_path):
+    return str(tmp_path / "silver"), str(tmp_path / "files")
+
+
+def test_snapshot_run_and_gold(spark, fixtures, tmp_path):
+    root, book = paths(tmp_path)
+    spec = SPECS["deputies"]
+    counts = silver.run(spark, spec, f"{fixtures}/deputies", root, book, AT)
+    assert tuples(counts) == [(f"snapshot_2024-01-0{d}.json", n) for d, n in ((1, 4), (2, 2), (3, 2))]
+    current = silver.current(spark, spec, root)
+    assert tuples(current, "id", "nomeCivil") == [(1, "Ana Souza"), (2, "Bento")]
+    relation = gold.gold_deputies(current)
+    assert "cpf" not in relation.columns and len(relation.columns) == 18
+    assert tuples(relation, "id", "twitter", "facebook", "instagram") == [
+        (1, "https://x.com/b", None, None),
+        (2, "https://netflix.com/b", None, None),
+    ]
+    assert silver.run(spark, spec, f"{fixtures}/deputies", root, book, AT).count() == 0
+
+
+def test_snapshot_key_that_leaves_and_returns_shows_the_gap(spark, fixtures, tmp_path):
+    root, book = paths(tmp_path)
+    spec = SPECS["deputies"]
+    for day in (1, 2, 3):
+        bronze = tmp_path / f"bronze{day}"
+        bronze.mkdir()
+        shutil.copy(f"{fixtures}/deputies/snapshot_2024-01-0{day}.json", bronze)
+        silver.run(spark, spec, str(bronze), root, book, datetime(2024, 2, day, tzinfo=timezone.utc))
+    rows = history.with_validity(silver.versions(spark, spec, root), "id", "batch", "snapshot").filter("id = 2")
+    shown = rows.selectExpr("date_format(valid_from, 'd')", "date_format(valid_to, 'd')", "is_current")
+    assert tuples(shown) == [("1", "2", False), ("3", None, True)]
+
+
+def test_delta_run_matches_replay(spark, fixtures, tmp_path):
+    root, book = paths(tmp_path)
+    spec = SPECS["propositions"]
+    silver.run(spark, spec, f"{fixtures}/propositions", root, book, AT)
+    assert tuples(silver.current(spark, spec, root), "id", "ementa", "batch") == [
+        (1, "Texto A", "delta_20240102T000000Z.json"),
+        (2, "Texto B", "delta_20240104T000000Z.json"),
+        (3, None, "delta_20240102T000000Z.json"),
+        (4, "", "delta_20240101T000000Z.json"),
+        (5, "Texto E", "delta_20240101T000000Z.json"),
+        (6, "Novo", "delta_20240104T000000Z.json"),
+    ]
+    assert ledger.read_files(spark, book).count() == 4
+    relation = gold.gold_propositions(silver.current(spark, spec, root))
+    assert relation.filter("tema_classificado is null and tema_score is null").count() == 6
+
+
+def test_overwrite_run_keeps_the_last_file_only(spark, fixtures, tmp_path):
+    root, book = paths(tmp_path)
+    spec = SPECS["parties"]
+    silver.run(spark, spec, f"{fixtures}/parties", root, book, AT)
+    silver.run(spark, spec, f"{fixtures}/parties", root, book, AT)
+    relation = gold.gold_parties(silver.current(spark, spec, root))
+    assert tuples(relation, "id", "sigla", "statusTotalMembros", "liderNome") == [(2, "BB", 7, None)]
+
+
+def test_dry_run_has_no_effect(spark, fixtures, tmp_path):
+    root, book = paths(tmp_path)
+    spec = SPECS["votings"]
+    assert silver.run(spark, spec, f"{fixtures}/votings", root, book, AT, dry_run=True).count() == 3
+    assert not (tmp_path / "silver").exists() and not (tmp_path / "files").exists()
+    assert silver.run(spark, spec, f"{fixtures}/votings", root, book, AT).count() == 2
+
+
+def test_rewritten_file_replaces_its_batch_even_by_nothing(spark, tmp_path):
+    root, book = paths(tmp_path)
+    spec = SPECS["votings"]
+    bronze = tmp_path / "bronze"
+    bronze.mkdir()
+    one, two = bronze / "delta_1.json", bronze / "delta_2.json"
+    one.write_text(json.dumps([{"id": "a", "descricao": "old"}, {"id": "b", "descricao": "old"}]))
+    two.write_text(json.dumps([{"id": "a", "descricao": "new"}]))
+    silver.run(spark, spec, str(bronze), root, book, AT)
+    one.write_text(json.dumps([{"id": "b", "descricao": "corrected"}]))
+    silver.run(spark, spec, str(bronze), root, book, AT)
+    assert tuples(silver.current(spark, spec, root), "id", "descricao") == [("a", "new"), ("b", "corrected")]
+    two.write_text("[]")
+    silver.run(spark, spec, str(bronze), root, book, AT)
+    assert tuples(silver.versions(spark, spec, root), "id", "descricao") == [("b", "corrected")]
+
+
+def test_json_text_keeps_other_scripts(spark):
+    from palimpsest.operators.shaping import json_text
+
+    rows = spark.createDataFrame([(1, ["é", None], ("x", None))], "id int, a array<string>, s struct<p:string,q:int>")
+    assert tuples(json_text(rows)) == [(1, '["é",null]', '{"p":"x","q":null}')]

@@ -24,11 +24,24 @@ def fits_broadcast(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROA
     return measured["rows"] <= rows and measured["size"] <= size
 
 
-def dimension_join(facts: DataFrame, dimension: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def dimension_join(
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    how: str = "inner",
+    rows: int = BROADCAST_ROWS,
+    **skew,
+) -> DataFrame:
     """Join to a dimension on a shared column: broadcast once its size is checked, salted otherwise."""
-    if fits_broadcast(dimension):
+    if fits_broadcast(dimension, rows):
         return facts.join(F.broadcast(dimension), key, how)
-    return salted_join(facts, dimension, key, how)
+    return salted_join(facts, dimension, key, how, **skew)
+
+
+def hot_keys_of(frequencies: DataFrame, key: str, hot_rows: int, hot_keys: int) -> list:
+    """The most frequent keys, at most ``hot_keys`` of them, with at least ``hot_rows`` rows each."""
+    top = frequencies.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), key).limit(hot_keys)
+    return [row[key] for row in top.select(key).collect()]
 
 
 def salted_join(
@@ -44,30 +57,24 @@ def salted_join(
 ) -> DataFrame:
     """Inner or left join whose hottest left keys, and NULL keys, are spread over ``salts`` tasks each.
 
-    The ``hot_keys`` most frequent keys with at least ``hot_rows`` rows are found by a narrow aggregate; only
-    their rows on the right are repeated. A key outside that list holds less than 1/``hot_keys`` of the rows.
-    The salt comes from the row's own values, so a recomputed task gives the same salt. A caller that has
-    counted the left keys already passes ``frequencies`` (``key``, ``_rows``).
+    The hot keys, a short list, are found first by a narrow aggregate; only their rows on the right are
+    repeated, and without any of them nothing is. A key off the list has fewer than ``hot_rows`` rows or less
+    than 1/``hot_keys`` of them all. The salt comes from the row's own values, so a recomputed task gives the
+    same salt. A caller that has counted the left keys already passes ``frequencies`` (``key``, ``_rows``).
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
     if frequencies is None:
         frequencies = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = (
-        frequencies.filter(F.col("_rows") >= hot_rows)
-        .orderBy(F.desc("_rows"), key)
-        .limit(hot_keys)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    spread = F.pmod(F.xxhash64(*(spread_by or left.columns)), F.lit(salts)).cast("int")
-    salted = left.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(0)
-    )
-    repeated = right.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
-    )
-    joined = salted.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how)
-    return joined.drop("_salt")
+    hot = hot_keys_of(frequencies, key, hot_rows, hot_keys)
+    if not hot:
+        return left.join(right, key) if how == "inner" else join_spreading_nulls(left, right, [key], how, salts)
+    spread = F.pmod(F.xxhash64(*(spread_by or spread_columns(left))), F.lit(salts)).cast("int")
+    is_hot = F.col(key).isin(hot)
+    salted = left.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), spread).otherwise(0))
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    repeated = right.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
 def spread_columns(rows: DataFrame) -> list[str]:

@@ -2,53 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from palimpsest.operators.joins import salted_join
+from palimpsest.operators.joins import dimension_join
 from palimpsest.session import stored
 
 # Fixed value: lines of a summary.
 LINES = 3
 SENTENCE = r"[^.!?\n]+[.!?]*"
 WORD = r"[\p{L}\p{N}]+"
+# Words whose weights are sent to every task, if they also pass the size check of a broadcast.
+VOCABULARY_ROWS = 2_000_000
 
 
-def sentences(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """Sentences of the whole text with their position; blank ones are left out."""
+def sentences(text: str) -> Column:
+    """Sentences of the whole text in order; blank ones are left out."""
     found = F.regexp_extract_all(F.col(text), F.lit(SENTENCE), F.lit(0))
-    return (
-        rows.select(key, F.posexplode(found).alias("position", "sentence"))
-        .withColumn("sentence", F.trim("sentence"))
-        .filter("sentence != ''")
-    )
+    return F.filter(F.transform(found, lambda s: F.trim(s)), lambda s: s != "")
 
 
 def extractive_summary(
-    rows: DataFrame, key: str, text: str, value: str = "summary", lines: int = LINES, **skew: int
+    rows: DataFrame, key: str, text: str, value: str = "summary", lines: int = LINES, **skew
 ) -> DataFrame:
-    """The ``lines`` highest-scoring sentences of each text, in text order, one per line.
+    """The ``lines`` highest-scoring sentences of each text, in text order, one per line; ``key`` is unique.
 
     A sentence scores, over its distinct words, floor(log2(sentences / sentences with the word)): whole
     numbers, so the result does not depend on the order of addition. A text without words gets its first
     sentences, one without sentences empty text.
 
     Words are made distinct inside the sentence, before any shuffle. Words in more than half of the sentences
-    weigh nothing and drop out before the join; the most common of the others are salted.
+    weigh nothing and drop out. The weights of the others are broadcast if they are few enough, so a sentence
+    is summed up where it was split; a larger vocabulary is joined with its common words salted. Texts move
+    once, to meet the positions picked for them.
     """
-    split = stored(sentences(rows, key, text), "sentences")
+    split = rows.select(key, F.posexplode(sentences(text)).alias("position", "sentence"))
     words = F.array_distinct(F.regexp_extract_all(F.lower("sentence"), F.lit(WORD), F.lit(0)))
     used = stored(split.select(key, "position", F.explode(words).alias("word")), "words")
-    total = split.count()
+    total = rows.agg(F.coalesce(F.sum(F.size(sentences(text))), F.lit(0)).alias("total")).first()["total"]
     spread = stored(used.groupBy("word").agg(F.count(F.lit(1)).alias("_rows")), "word-counts")
-    rarity = spread.select("word", (F.length(F.bin(F.expr(f"{total} div _rows"))) - 1).alias("rarity"))
-    weighted = salted_join(
-        used, rarity.filter("rarity > 0"), "word", "inner", spread_by=[key, "position"], frequencies=spread, **skew
+    weight = F.length(F.bin(F.expr(f"{total} div _rows"))) - 1
+    weights = spread.select("word", weight.alias("weight")).filter("weight > 0")
+    weighted = dimension_join(
+        used, weights, "word", rows=VOCABULARY_ROWS, spread_by=[key, "position"], frequencies=spread, **skew
     )
-    scored = weighted.groupBy(key, "position").agg(F.sum("rarity").alias("score"))
-    ranked = split.join(scored, [key, "position"], "left")
-    best_first = Window.partitionBy(key).orderBy(F.desc(F.coalesce("score", F.lit(0))), "position")
-    best = ranked.withColumn("_rank", F.row_number().over(best_first)).filter(F.col("_rank") <= lines)
-    picked = best.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("position", "sentence"))).alias("picked"))
-    return rows.select(key).join(picked, key, "left").select(
-        key, F.coalesce(F.array_join("picked.sentence", "\n"), F.lit("")).alias(value)
+    scored = weighted.groupBy(key, "position").agg(F.sum("weight").alias("score"))
+    best_first = Window.partitionBy(key).orderBy(F.desc("score"), "position")
+    best = scored.withColumn("_rank", F.row_number().over(best_first)).filter(F.col("_rank") <= lines)
+    picked = best.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_rank", "position"))).alias("_picked"))
+    # Sentences of score 0 fill up in text order.
+    every = F.transform("_sentences", lambda s, i: i)
+    order = F.array_union(F.coalesce("_picked.position", F.array().cast("array<int>")), every)
+    chosen = F.array_sort(F.slice(order, 1, lines))
+    return (
+        rows.join(picked, key, "left")
+        .withColumn("_sentences", F.coalesce(sentences(text), F.array().cast("array<string>")))
+        .withColumn("_chosen", chosen)
+        .select(key, F.array_join(F.transform("_chosen", lambda i: F.get("_sentences", i)), "\n").alias(value))
     )

@@ -209,9 +209,7 @@ def _proposition_log(spark, sf_dir):
     """Stored version log of the propositions and its flags: first the labelled documents, then all."""
     root, spec = scratch_path(spark, "silver"), SPECS["propositions"]
     rows = silver.transform_propositions(proposition_records(spark, sf_dir))
-    for day in (1, 2):
-        batch = rows.filter(F.col("source_file") == f"delta_{day}.json")
-        silver.load(batch, spec, root, datetime(2024, 1, day, tzinfo=timezone.utc))
+    silver.load(rows, spec, root, datetime(2024, 1, 2, tzinfo=timezone.utc))
     log = silver.versions(spark, spec, root)
     return log, history.flag_current(log, "id", "batch", "delta")
 

@@ -6,6 +6,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from palimpsest.operators.joins import spread_columns
+
 # First-run window in 30-day months per feed, and the days after its start that a chunk spans.
 FIRST_RUN_MONTHS = {"votings": 3, "propositions": 12}
 DAYS_PER_MONTH = 30
@@ -90,5 +92,5 @@ def oldest(records: DataFrame, stamp: str, rows: int, tie_breaker: str) -> DataF
 
 
 def listing(records: DataFrame, *order: str) -> DataFrame:
-    """Ordered source list, ascending."""
-    return records.orderBy(*[F.asc(c) for c in order])
+    """Ordered source list, ascending. A last key without meaning lets rows of one frequent value be split."""
+    return records.orderBy(*[F.asc(c) for c in order], F.xxhash64(*spread_columns(records)))

@@ -51,6 +51,10 @@ def load(rows: DataFrame, spec: TableSpec, root: str, loaded_at: datetime, batch
         landing.append_batches(stamped, target)
 
 
+# Array files up to this size are parsed whole, one task per file; larger ones are split at record boundaries.
+WHOLE_FILE_BYTES = 128 * 1024 * 1024
+
+
 def versions(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     """The table's version log."""
     return landing.read_batches(spark, f"{root}/{spec.table}", spec.silver_schema())
@@ -78,34 +82,34 @@ def run(
     """Load what is new under ``bronze`` and return the rows per batch; a dry run returns a preview only.
 
     All new files load in one job, in name order by the derivation of currency. Overwrite tables take the
-    last file and need no ledger. The list of new file names is as long as the scan's own file list.
+    last file and need no ledger. The list of new files is as long as the scan's own file list.
     """
     found = landing.discover_files(spark, bronze, spec.file_pattern)
     seen = ledger.read_files(spark, ledger_path).filter(F.col("endpoint") == spec.endpoint)
     if spec.strategy == "overwrite":
-        newest = found.agg(F.max("file_name")).first()[0]
-        names, again = ([newest] if newest else []), set()
+        fresh = landing.latest_batch(found, "file_name")
     else:
         fresh = ledger.pending_files(found, seen)
-        marked = fresh.join(seen.select("file_name").distinct().withColumn("again", F.lit(True)), "file_name", "left")
-        listed = marked.select("file_name", "again").orderBy("file_name").collect()
-        names = [r["file_name"] for r in listed]
-        again = {r["file_name"] for r in listed if r["again"]}
-    if not names:
+    known = seen.select("file_name").distinct().withColumn("again", F.lit(spec.strategy != "overwrite"))
+    listed = fresh.join(known, "file_name", "left").orderBy("file_name").collect()
+    if not listed:
         return spark.createDataFrame([], "batch string, rows long")
-    rows = transform(_scan(spark, spec, bronze, names), spec)
     if dry_run:
-        return landing.preview(rows)
-    new = [n for n in names if n not in again]
+        return landing.preview(transform(_scan(spark, spec, bronze, listed), spec))
+    new = [r for r in listed if not r["again"]]
     if new:
         load(transform(_scan(spark, spec, bronze, new), spec), spec, root, loaded_at)
-    for name in sorted(again):
+    for file in (r for r in listed if r["again"]):
         # A batch delivered again may now be empty: its folder is replaced on its own.
-        replaced = history.stamp(transform(_scan(spark, spec, bronze, [name]), spec), name, loaded_at)
-        landing.write_batch(replaced, f"{root}/{spec.table}", name)
+        rows = transform(_scan(spark, spec, bronze, [file]), spec)
+        replaced = history.stamp(rows, F.lit(file["file_name"]), loaded_at)
+        landing.write_batch(replaced, f"{root}/{spec.table}", file["file_name"])
     if spec.strategy != "overwrite":
-        # ``fresh`` holds the times and lengths listed before the read: a file rewritten since loads again.
-        ledger.record_files(ledger.file_rows(fresh, spec.endpoint, loaded_at), ledger_path)
+        # Times and lengths are those listed before the read: a file rewritten since loads again.
+        rows = [(r["file_name"], r["modified_at"], r["length"]) for r in listed]
+        done = spark.createDataFrame(rows, "file_name string, modified_at timestamp, length long")
+        ledger.record_files(ledger.file_rows(done, spec.endpoint, loaded_at), ledger_path)
+    names = [r["file_name"] for r in listed]
     counts = versions(spark, spec, root).filter(F.col(BATCH).isin(names)).groupBy(BATCH)
     return counts.agg(F.count(F.lit(1)).alias("rows"))
 
@@ -146,6 +150,11 @@ def run_batches(
     return counts.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _scan(spark: SparkSession, spec: TableSpec, bronze: str, names: list[str]) -> DataFrame:
-    paths = [f"{bronze}/{name}" for name in names]
-    return landing.read_json_batches(spark, paths, spec.bronze_schema())
+def _scan(spark: SparkSession, spec: TableSpec, bronze: str, files: list) -> DataFrame:
+    """Records of the listed files, each read in the way its size asks for."""
+    whole = [f"{bronze}/{f['file_name']}" for f in files if f["length"] <= WHOLE_FILE_BYTES]
+    large = [f"{bronze}/{f['file_name']}" for f in files if f["length"] > WHOLE_FILE_BYTES]
+    schema = spec.bronze_schema()
+    parts = [landing.read_json_batches(spark, whole, schema)] if whole else []
+    parts += [landing.read_indented_batches(spark, large, schema)] if large else []
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

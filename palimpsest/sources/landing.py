@@ -46,6 +46,33 @@ def read_json_batches(
     )
 
 
+def read_indented_batches(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """The same for large array files in the layout of the batch writer: one array, indented by two blanks.
+
+    In it a record ends and the next begins with the same characters, which occur nowhere else, as line breaks
+    inside values are escaped. Used as separator they let one file split over many tasks. A file in another
+    layout or with a malformed record stops the read. So does a file that was cut off, found by a first pass
+    for its closing bracket.
+    """
+    pieces = spark.read.option("lineSep", "\n  },\n  {").text(path).select(
+        "value", F.col("_metadata.file_name").alias(SOURCE_FILE), file_ordinal().alias(ORDINAL)
+    )
+    text = F.col("value")
+    closed = F.max(text.rlike(r"\]\s*$"))
+    cut = pieces.groupBy(SOURCE_FILE).agg(closed.alias("closed")).filter("not closed").first()
+    if cut:
+        raise ValueError(f"array without an end: {cut[SOURCE_FILE]}")
+    empty = text.rlike(r"^\s*(\[\s*\]\s*)?$")
+    checked = F.when(text.rlike(r"^(\[\n  \{)?\n"), text).otherwise(
+        F.raise_error(F.concat(F.lit("not an array indented by two: "), SOURCE_FILE))
+    )
+    body = F.regexp_replace(F.regexp_replace(checked, r"^\[\n  \{", ""), r"\n  \}\n\]\s*$", "")
+    record = F.from_json(F.concat(F.lit("{"), body, F.lit("}")), schema, {"mode": "FAILFAST"})
+    return pieces.filter(~empty).select(record.alias("_record"), SOURCE_FILE, ORDINAL).select(
+        "_record.*", SOURCE_FILE, ORDINAL
+    )
+
+
 def discover_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """File name, modification time and length of the files matching ``pattern``; contents are not read."""
     return (

@@ -169,3 +169,60 @@ def test_json_text_keeps_other_scripts(spark):
 
     rows = spark.createDataFrame([(1, ["é", None], ("x", None))], "id int, a array<string>, s struct<p:string,q:int>")
     assert tuples(json_text(rows)) == [(1, '["é",null]', '{"p":"x","q":null}')]
+
+
+@pytest.mark.parametrize("endpoint", list(SPECS))
+def test_indented_files_split_like_whole_ones(spark, fixtures, endpoint):
+    spec = SPECS[endpoint]
+    names = [r[0] for r in tuples(landing.discover_files(spark, f"{fixtures}/{endpoint}", spec.file_pattern), "file_name")]
+    paths = [f"{fixtures}/{endpoint}/{n}" for n in names]
+    whole = landing.read_json_batches(spark, paths, spec.bronze_schema())
+    split = landing.read_indented_batches(spark, paths, spec.bronze_schema())
+    assert tuples(split.drop(landing.ORDINAL)) == tuples(whole.drop(landing.ORDINAL))
+    assert tuples(silver.transform(split, spec)) == tuples(silver.transform(whole, spec))
+
+
+def test_large_array_file_splits_and_keeps_its_order(spark, tmp_path):
+    tricky = "a\n  },\n  {b ] [ é"
+    records = [{"id": str(i % 500), "descricao": f"{i} {tricky}", "aprovacao": i} for i in range(4000)]
+    (tmp_path / "delta_1.json").write_text(json.dumps(records, ensure_ascii=False, indent=2))
+    (tmp_path / "delta_2.json").write_text(json.dumps([], indent=2))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = landing.read_indented_batches(spark, str(tmp_path), SPECS["votings"].bronze_schema())
+        assert rows.rdd.getNumPartitions() > 10
+        assert rows.count() == 4000
+        first = silver.transform_votings(rows)
+        assert tuples(first, "id", "aprovacao", "descricao") == sorted(
+            ((str(i), i, f"{i} {tricky}") for i in range(500)), key=repr
+        )
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("indent", [None, 4])
+def test_other_layouts_are_refused_rather_than_cut(spark, tmp_path, indent):
+    (tmp_path / "delta_1.json").write_text(json.dumps([{"id": "1"}, {"id": "2"}], indent=indent))
+    rows = landing.read_indented_batches(spark, str(tmp_path), SPECS["votings"].bronze_schema())
+    with pytest.raises(Exception, match="indented by two"):
+        rows.collect()
+
+
+def test_run_routes_large_files_to_the_split_reader(spark, fixtures, tmp_path, monkeypatch):
+    spec = SPECS["propositions"]
+    silver.run(spark, spec, f"{fixtures}/propositions", str(tmp_path / "a"), str(tmp_path / "fa"), AT)
+    monkeypatch.setattr(silver, "WHOLE_FILE_BYTES", 1000)
+    silver.run(spark, spec, f"{fixtures}/propositions", str(tmp_path / "b"), str(tmp_path / "fb"), AT)
+    assert tuples(silver.versions(spark, spec, str(tmp_path / "b"))) == tuples(silver.versions(spark, spec, str(tmp_path / "a")))
+
+
+def test_empty_records_and_cut_files_are_refused(spark, tmp_path):
+    schema = SPECS["votings"].bronze_schema()
+    whole = json.dumps([{"id": "1"}, {"id": "2", "aprovacao": 12}, {"id": "3"}], indent=2)
+    (tmp_path / "odd.json").write_text(json.dumps([{"id": "1"}, {}, {"id": "2"}], indent=2))
+    with pytest.raises(Exception, match="indented by two"):
+        landing.read_indented_batches(spark, str(tmp_path / "odd.json"), schema).collect()
+    for end in (1, 5, whole.index("12") + 1):
+        (tmp_path / "cut.json").write_text(whole[: end if end > 9 else -end])
+        with pytest.raises(ValueError, match="without an end"):
+            landing.read_indented_batches(spark, str(tmp_path / "cut.json"), schema)

@@ -58,7 +58,7 @@ def read_indented_batches(spark: SparkSession, path: str | list[str], schema: T.
         "value", F.col("_metadata.file_name").alias(SOURCE_FILE), file_ordinal().alias(ORDINAL)
     )
     text = F.col("value")
-    closed = F.max(text.rlike(r"\]\s*$"))
+    closed = F.max(text.rlike(r"(^\s*\[\s*|\n  \}\n)\]\s*$"))
     cut = pieces.groupBy(SOURCE_FILE).agg(closed.alias("closed")).filter("not closed").first()
     if cut:
         raise ValueError(f"array without an end: {cut[SOURCE_FILE]}")

@@ -218,7 +218,7 @@ def test_run_routes_large_files_to_the_split_reader(spark, fixtures, tmp_path, m
 
 def test_empty_records_and_cut_files_are_refused(spark, tmp_path):
     schema = SPECS["votings"].bronze_schema()
-    whole = json.dumps([{"id": "1"}, {"id": "2", "aprovacao": 12}, {"id": "3"}], indent=2)
+    whole = json.dumps([{"id": "1", "more": [1]}, {"id": "2", "aprovacao": 12}, {"id": "3"}], indent=2)
     (tmp_path / "odd.json").write_text(json.dumps([{"id": "1"}, {}, {"id": "2"}], indent=2))
     with pytest.raises(Exception, match="indented by two"):
         landing.read_indented_batches(spark, str(tmp_path / "odd.json"), schema).collect()

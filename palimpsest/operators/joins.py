@@ -38,10 +38,15 @@ def dimension_join(
     return salted_join(facts, dimension, key, how, **skew)
 
 
-def hot_keys_of(frequencies: DataFrame, key: str, hot_rows: int, hot_keys: int) -> list:
-    """The most frequent keys, at most ``hot_keys`` of them, with at least ``hot_rows`` rows each."""
-    top = frequencies.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), key).limit(hot_keys)
-    return [row[key] for row in top.select(key).collect()]
+def hot_keys_of(rows: DataFrame, key: str, hot_rows: int, hot_keys: int) -> list:
+    """The most frequent keys, at most ``hot_keys`` of them, with about ``hot_rows`` rows or more each.
+
+    A frequent-items sketch per input task, merged: no shuffle of the keys. It finds every key above 1/2,500
+    of the rows, and what it finds only steers how rows are spread.
+    """
+    sketch = F.call_function("approx_top_k", F.col(key), F.lit(hot_keys + 1), F.lit(10_000))
+    top = rows.agg(sketch.alias("top")).first()["top"]
+    return [t["item"] for t in top if t["item"] is not None and t["count"] >= hot_rows][:hot_keys]
 
 
 def salted_join(
@@ -53,20 +58,16 @@ def salted_join(
     hot_rows: int = HOT_ROWS,
     hot_keys: int = HOT_KEYS,
     salts: int = SALTS,
-    frequencies: DataFrame | None = None,
 ) -> DataFrame:
     """Inner or left join whose hottest left keys, and NULL keys, are spread over ``salts`` tasks each.
 
-    The hot keys, a short list, are found first by a narrow aggregate; only their rows on the right are
-    repeated, and without any of them nothing is. A key off the list has fewer than ``hot_rows`` rows or less
-    than 1/``hot_keys`` of them all. The salt comes from the row's own values, so a recomputed task gives the
-    same salt. A caller that has counted the left keys already passes ``frequencies`` (``key``, ``_rows``).
+    The hot keys, a short list, are found first by one narrow pass; only their rows on the right are repeated,
+    and without any of them nothing is. A key off the list has fewer than ``hot_rows`` rows or less than
+    1/``hot_keys`` of them all. The salt comes from the row's own values, so a recomputed task gives the same.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    if frequencies is None:
-        frequencies = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = hot_keys_of(frequencies, key, hot_rows, hot_keys)
+    hot = hot_keys_of(left, key, hot_rows, hot_keys)
     if not hot:
         return left.join(right, key) if how == "inner" else join_spreading_nulls(left, right, [key], how, salts)
     spread = F.pmod(F.xxhash64(*(spread_by or spread_columns(left))), F.lit(salts)).cast("int")

@@ -43,7 +43,7 @@ def extractive_summary(
     weight = F.length(F.bin(F.expr(f"{total} div _rows"))) - 1
     weights = spread.select("word", weight.alias("weight")).filter("weight > 0")
     weighted = dimension_join(
-        used, weights, "word", rows=VOCABULARY_ROWS, spread_by=[key, "position"], frequencies=spread, **skew
+        used, weights, "word", rows=VOCABULARY_ROWS, spread_by=[key, "position"], **skew
     )
     scored = weighted.groupBy(key, "position").agg(F.sum("weight").alias("score"))
     best_first = Window.partitionBy(key).orderBy(F.desc("score"), "position")

@@ -11,6 +11,7 @@ from palimpsest.operators import inherit as carry
 from palimpsest.operators.models import apply_model
 from palimpsest.operators.topics import nearest_topic
 from palimpsest.plans.entities import TOPICS
+from palimpsest.session import stored
 from palimpsest.sources.landing import BATCH, read_or_empty
 
 TOPIC, SCORE, SUMMARY = "tema_classificado", "tema_score", "resumo_executivo"
@@ -20,6 +21,8 @@ TOPIC_TABLE = T.StructType(
     _KEY + [T.StructField(TOPIC, T.StringType()), T.StructField(SCORE, T.DoubleType())] + _AT
 )
 SUMMARY_TABLE = T.StructType(_KEY + [T.StructField(SUMMARY, T.StringType())] + _AT)
+# Rows of a model task, of which there are then enough for all cores and no long ones.
+TASK_ROWS = 10_000
 VECTOR = T.ArrayType(T.FloatType())
 
 
@@ -31,20 +34,36 @@ def topic_dimension(spark: SparkSession, embed: Callable[[list[str]], list]) ->
 
 
 def _tasks(queue: DataFrame) -> int:
-    """One task per core: the model is the costly part, and a queue may sit in a few files."""
-    return queue.sparkSession.sparkContext.defaultParallelism
+    """Tasks for a queue: one per core, or more where a task would get over ``TASK_ROWS`` rows.
+
+    The model is the costly part: little work is lost with an executor, and no core idles because the queue
+    sits in a few files.
+    """
+    return max(queue.sparkSession.sparkContext.defaultParallelism, -(-queue.count() // TASK_ROWS))
 
 
-def classify(queue: DataFrame, text: str, embed: Callable[[list[str]], list], topics: DataFrame) -> DataFrame:
+def classify(
+    queue: DataFrame,
+    text: str,
+    embed: Callable[[list[str]], list],
+    topics: DataFrame,
+    tasks: int | None = None,
+) -> DataFrame:
     """Queue rows with topic, score and error; rows whose model call failed keep NULLs."""
-    vectors = apply_model(queue, text, embed, "_vector", VECTOR, tasks=_tasks(queue))
+    vectors = apply_model(queue, text, embed, "_vector", VECTOR, tasks=tasks)
     return nearest_topic(vectors, "_vector", topics, TOPIC, SCORE).drop("_vector")
 
 
-def summarize(queue: DataFrame, model: Callable[[list[str]], list], short: str = "ementa", long: str = "ementaDetalhada") -> DataFrame:
+def summarize(
+    queue: DataFrame,
+    model: Callable[[list[str]], list],
+    short: str = "ementa",
+    long: str = "ementaDetalhada",
+    tasks: int | None = None,
+) -> DataFrame:
     """Queue rows with summary and error. Surrounding blanks of a summary are removed."""
     texts = queue.withColumn("_text", carry.summary_input(short, long)).drop(short, long)
-    made = apply_model(texts, "_text", model, SUMMARY, T.StringType(), tasks=_tasks(queue))
+    made = apply_model(texts, "_text", model, SUMMARY, T.StringType(), tasks=tasks)
     return made.withColumn(SUMMARY, F.regexp_replace(SUMMARY, r"(?U)^\s+|\s+$", ""))
 
 
@@ -64,7 +83,7 @@ def _enrich(
     table: T.StructType,
     labels: list[str],
     queue_of: Callable[[DataFrame], DataFrame],
-    apply: Callable[[DataFrame], DataFrame],
+    apply: Callable[[DataFrame, int], DataFrame],
     at: datetime,
     slices: int,
 ) -> None:
@@ -82,7 +101,9 @@ def _enrich(
         queue = queue_of(labelled().filter("is_current")).filter(F.col("id").isNotNull())
         if slices > 1:
             queue = queue.filter(F.pmod(F.xxhash64("id"), F.lit(slices)) == part)
-        _keep(apply(queue), table, path, at)
+        # Stored, so that a lost model task is repeated without the joins that found its texts.
+        queue = stored(queue, "queue")
+        _keep(apply(queue, _tasks(queue)), table, path, at)
 
 
 def classify_propositions(
@@ -102,7 +123,7 @@ def classify_propositions(
         TOPIC_TABLE,
         [TOPIC, SCORE],
         lambda rows: carry.pending_classification(rows, "ementa", TOPIC).select("id", BATCH, "ementa"),
-        lambda queue: classify(queue, "ementa", embed, topics),
+        lambda queue, tasks: classify(queue, "ementa", embed, topics, tasks),
         at,
         slices,
     )
@@ -125,7 +146,7 @@ def summarize_propositions(
         SUMMARY_TABLE,
         [SUMMARY],
         lambda rows: carry.pending_summary(rows, SUMMARY).select("id", BATCH, "ementa", "ementaDetalhada"),
-        lambda queue: summarize(queue, model),
+        lambda queue, tasks: summarize(queue, model, tasks=tasks),
         at,
         slices,
     )

@@ -198,7 +198,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, ord) = 1""")
 def classify_documents(spark, sf_dir):
     """Texts through the model hook, and each vector to its nearest topic."""
     topics = enrichment.topic_dimension(spark, letter_counts)
-    queue = table(spark, sf_dir, "documents").select("doc_id", "text")
+    queue = spread_input(table(spark, sf_dir, "documents").select("doc_id", "text"))
     rows = enrichment.classify(queue, "text", letter_counts, topics)
     return rows.select(
         "doc_id", F.col(enrichment.TOPIC).alias("topic"), millionths(F.col(enrichment.SCORE)).alias("score")

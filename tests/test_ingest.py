@@ -215,3 +215,23 @@ def test_snapshot_of_the_same_day_replaces_the_first(spark, tmp_path):
         assert row["new_records"] == size
     assert spark.read.parquet(str(tmp_path / "b")).count() == 2
     assert ledger.read_runs(spark, str(tmp_path / "r")).count() == 1
+
+
+def test_hot_keys_are_found_without_a_shuffle_of_keys(spark):
+    from palimpsest.operators.joins import hot_keys_of
+
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
+    assert hot_keys_of(rows, "k", 1000, 5) == ["hot"]
+    assert hot_keys_of(rows, "k", 5000, 5) == []
+    assert hot_keys_of(rows.limit(0), "k", 1, 5) == []
+
+
+def test_shuffle_width_follows_the_bytes(spark):
+    from palimpsest.session import fit_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert fit_shuffles(spark, 100 * 2**40) == 409600
+        assert fit_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -37,8 +37,9 @@ def extractive_summary(
     """
     split = rows.select(key, F.posexplode(sentences(text)).alias("position", "sentence"))
     words = F.array_distinct(F.regexp_extract_all(F.lower("sentence"), F.lit(WORD), F.lit(0)))
-    used = stored(split.select(key, "position", F.explode(words).alias("word")), "words")
-    total = rows.agg(F.coalesce(F.sum(F.size(sentences(text))), F.lit(0)).alias("total")).first()["total"]
+    split = stored(split.select(key, "position", words.alias("words")), "sentences")
+    used = split.select(key, "position", F.explode("words").alias("word"))
+    total = split.count()
     spread = stored(used.groupBy("word").agg(F.count(F.lit(1)).alias("_rows")), "word-counts")
     weight = F.length(F.bin(F.expr(f"{total} div _rows"))) - 1
     weights = spread.select("word", weight.alias("weight")).filter("weight > 0")

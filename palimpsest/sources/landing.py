@@ -61,7 +61,7 @@ def read_indented_batches(spark: SparkSession, path: str | list[str], schema: T.
     closed = F.max(text.rlike(r"(^\s*\[\s*|\n  \}\n)\]\s*$"))
     cut = pieces.groupBy(SOURCE_FILE).agg(closed.alias("closed")).filter("not closed").first()
     if cut:
-        raise ValueError(f"array without an end: {cut[SOURCE_FILE]}")
+        raise ValueError(f"not a whole array indented by two: {cut[SOURCE_FILE]}")
     empty = text.rlike(r"^\s*(\[\s*\]\s*)?$")
     checked = F.when(text.rlike(r"^(\[\n  \{)?\n"), text).otherwise(
         F.raise_error(F.concat(F.lit("not an array indented by two: "), SOURCE_FILE))

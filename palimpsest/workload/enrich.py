@@ -174,9 +174,16 @@ def model_hook(spark, sf_dir):
     )
 
 
-def letter_counts(texts):
+def _letter_model():
     """Deterministic stand-in for an embedding model: occurrences of each letter a to z."""
-    return [[float(t.count(c) + t.count(c.upper())) for c in "abcdefghijklmnopqrstuvwxyz"] for t in texts]
+
+    def count(texts):
+        return [[float(t.count(c) + t.count(c.upper())) for c in "abcdefghijklmnopqrstuvwxyz"] for t in texts]
+
+    return count
+
+
+letter_counts = _letter_model()
 
 
 def _letters_sql(text: str) -> str:

@@ -15,7 +15,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from palimpsest.operators.joins import dimension_join, join_spreading_nulls, spread_columns
+from palimpsest.operators.joins import dimension_join, join_spreading_nulls, salted_join, spread_columns
 
 LOADED_AT = "loaded_at"
 
@@ -56,8 +56,9 @@ def flag_current(versions: DataFrame, pk: str, batch: str, strategy: str) -> Dat
         raise ValueError(f"no history under strategy {strategy}")
     keyed = versions.filter(F.col(pk).isNotNull())
     heads = keyed.groupBy(pk).agg(F.max(batch).alias(batch)).withColumn("_head", F.lit(True))
-    # Joining on key and batch, not on the key alone, spreads a hot key over its batches.
-    flagged = join_spreading_nulls(versions, heads, [pk, batch])
+    # Joining on key and batch, not on the key alone, spreads a hot key over its batches. A key repeated within
+    # one batch, which transformed rows do not have, is salted.
+    flagged = salted_join(versions, heads, [pk, batch])
     return flagged.withColumn("is_current", F.col("_head").isNotNull() | F.col(pk).isNull()).drop("_head")
 
 
@@ -80,7 +81,7 @@ def with_validity(versions: DataFrame, pk: str, batch: str, strategy: str) -> Da
     following = loads.select(
         pk, batch, F.lead("_loaded").over(Window.partitionBy(pk).orderBy(batch)).alias("valid_to")
     )
-    closed = join_spreading_nulls(opened, following, [pk, batch])
+    closed = salted_join(opened, following, [pk, batch])
     return closed.withColumn("is_current", F.col("valid_to").isNull())
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -38,13 +38,14 @@ def dimension_join(
     return salted_join(facts, dimension, key, how, **skew)
 
 
-def hot_keys_of(rows: DataFrame, key: str, hot_rows: int, hot_keys: int) -> list:
+def hot_keys_of(rows: DataFrame, key: str | Column, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> list:
     """The most frequent keys, at most ``hot_keys`` of them, with about ``hot_rows`` rows or more each.
 
     A frequent-items sketch per input task, merged: no shuffle of the keys. It finds every key above 1/2,500
     of the rows, and what it finds only steers how rows are spread.
     """
-    sketch = F.call_function("approx_top_k", F.col(key), F.lit(hot_keys + 1), F.lit(10_000))
+    column = F.col(key) if isinstance(key, str) else key
+    sketch = F.call_function("approx_top_k", column, F.lit(hot_keys + 1), F.lit(10_000))
     top = rows.agg(sketch.alias("top")).first()["top"]
     return [t["item"] for t in top if t["item"] is not None and t["count"] >= hot_rows][:hot_keys]
 
@@ -52,7 +53,7 @@ def hot_keys_of(rows: DataFrame, key: str, hot_rows: int, hot_keys: int) -> list
 def salted_join(
     left: DataFrame,
     right: DataFrame,
-    key: str,
+    key: str | list[str],
     how: str = "left",
     spread_by: list[str] | None = None,
     hot_rows: int = HOT_ROWS,
@@ -64,18 +65,22 @@ def salted_join(
     The hot keys, a short list, are found first by one narrow pass; only their rows on the right are repeated,
     and without any of them nothing is. A key off the list has fewer than ``hot_rows`` rows or less than
     1/``hot_keys`` of them all. The salt comes from the row's own values, so a recomputed task gives the same.
+    Several key columns are looked up by their hash; the join itself is on the columns.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    hot = hot_keys_of(left, key, hot_rows, hot_keys)
+    keys = [key] if isinstance(key, str) else key
+    missing = F.col(keys[0]).isNull()
+    identity = F.col(keys[0]) if len(keys) == 1 else F.when(~missing, F.xxhash64(*keys))
+    hot = hot_keys_of(left, identity, hot_rows, hot_keys)
     if not hot:
-        return left.join(right, key) if how == "inner" else join_spreading_nulls(left, right, [key], how, salts)
+        return left.join(right, keys) if how == "inner" else join_spreading_nulls(left, right, keys, how, salts)
     spread = F.pmod(F.xxhash64(*(spread_by or spread_columns(left))), F.lit(salts)).cast("int")
-    is_hot = F.col(key).isin(hot)
-    salted = left.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), spread).otherwise(0))
+    is_hot = F.coalesce(identity.isin(hot), F.lit(False))
+    salted = left.withColumn("_salt", F.when(is_hot | missing, spread).otherwise(0))
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     repeated = right.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
 def spread_columns(rows: DataFrame) -> list[str]:

@@ -121,6 +121,16 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 2000
 
 
+def test_salted_join_on_two_columns(spark):
+    left = spark.range(3000).select(
+        "id", F.when(F.col("id") % 5 > 0, F.col("id") % 3).alias("k"), (F.col("id") % 2).alias("b")
+    )
+    right = left.filter("k < 2").groupBy("k", "b").agg(F.max("id").alias("v"))
+    for how in ("left", "inner"):
+        salted = salted_join(left, right, ["k", "b"], how, hot_rows=100, salts=4)
+        assert tuples(salted, "id", "v") == tuples(left.join(right, ["k", "b"], how), "id", "v")
+
+
 def test_null_keys_spread_and_match_nothing(spark):
     left = spark.range(1000).select("id", F.when(F.col("id") < 10, F.col("id")).alias("k"))
     right = spark.createDataFrame([(1, "a"), (None, "b")], "k bigint, v string")

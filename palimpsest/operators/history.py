@@ -37,6 +37,8 @@ def current_delta(versions: DataFrame, pk: str, batch: str, ordinal: str | None
 
     One shuffle. Both rankings are cut to their first rank before it, so superseded versions of a hot key are
     dropped where they are read. Rows without a key never expire and are spread instead of sharing one group.
+    Without ``ordinal`` a key should occur once per batch, as it does after the transforms: all its rows of the
+    last batch are kept, and meet in one task.
     """
     keyless = F.col(pk).isNull()
     groups = [F.col(pk), F.when(keyless, F.col(batch))]
@@ -70,6 +72,7 @@ def with_validity(versions: DataFrame, pk: str, batch: str, strategy: str) -> Da
     """
     opened = versions.withColumn("valid_from", F.col(LOADED_AT))
     if strategy == "snapshot":
+        # One row per load run, so the window over all of them stays small.
         loads = versions.groupBy(batch).agg(F.min(LOADED_AT).alias("_loaded"))
         following = loads.select(batch, F.lead("_loaded").over(Window.orderBy(batch)).alias("valid_to"))
         closed = dimension_join(opened, following, batch, "left")

@@ -43,14 +43,15 @@ def nearest_topic(
 ) -> DataFrame:
     """Best topic and its score per row; of equal scores the topic with the lower ``ord`` wins.
 
-    ``topics`` has ``ord``, ``topic`` and ``vector``, with dense ``ord``. ``matrix`` multiplies Arrow batches
+    ``topics`` has ``ord``, ``topic`` and ``vector``. ``matrix`` multiplies Arrow batches
     with the normalised topics; ``columns`` stays in the JVM, row by row.
     """
     if method not in ("matrix", "columns"):
         raise ValueError(f"unknown method: {method}")
     blocks = _blocks(topics, block)
     if method == "matrix":
-        best = [_best_by_matrix(vector, part) for part in blocks]
+        lists = [part.orderBy("ord").collect() for part in blocks]
+        best = [_best_by_matrix(vector, listed) for listed in lists if listed]
     else:
         listed = {f"_topics{i}": _listed(part) for i, part in enumerate(blocks)}
         rows = rows.withColumns(listed)
@@ -79,8 +80,7 @@ def _best_by_columns(vector: str, listed: str) -> Column:
     )
 
 
-def _best_by_matrix(vector: str, topics: DataFrame) -> Column:
-    listed = topics.orderBy("ord").collect()
+def _best_by_matrix(vector: str, listed: list) -> Column:
     distinct: dict[tuple, int] = {}
     for position, row in enumerate(listed):
         # An equal vector further down the list can never win.

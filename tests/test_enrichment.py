@@ -83,6 +83,13 @@ def test_ties_zero_and_missing_vectors(spark, method, block):
     assert got[5] == (None, None)
 
 
+@pytest.mark.parametrize("method", ["matrix", "columns"])
+def test_gaps_in_the_topic_order(spark, method):
+    dimension = topics(spark, ("a", (1, 0)), ("b", (0, 1))).withColumn("ord", F.col("ord") * 7)
+    best = nearest_topic(vectors(spark, (1, (0, 2)), (2, (1, 1))), "v", dimension, method=method, block=2)
+    assert tuples(best, "id", "topic") == [(1, "b"), (2, "a")]
+
+
 @pytest.mark.parametrize("method", ["matrix", "columns"])
 def test_nearest_topic_against_numpy(spark, method):
     rng = np.random.default_rng(7)

@@ -11,8 +11,8 @@ from palimpsest.operators.dedup import keep_first
 from palimpsest.plans import silver
 from palimpsest.plans.entities import SPECS
 from palimpsest.session import scratch_path, stored
-from palimpsest.sources import landing
-from palimpsest.workload.registry import VERSIONS_SQL, cents, day_text, query, table, time_text
+from palimpsest.sources import landing, ledger
+from palimpsest.workload.registry import VERSIONS_SQL, cents, query, table, time_text
 from palimpsest.workload.silver import VOTINGS_SQL, deputy_records, voting_columns, voting_records
 
 SHOWN = ["event_id", "user_id", "batch", "event_type"]
@@ -177,8 +177,6 @@ SELECT CAST(batch AS VARCHAR) AS batch, count(*) AS records,
 FROM (SELECT *, min(batch) OVER (PARTITION BY user_id) AS first FROM versions) GROUP BY batch""")
 def replay_counts(spark, sf_dir):
     """Rows, new keys and running total per loaded batch."""
-    from palimpsest.sources import ledger
-
     rows = versions(spark, sf_dir).select("user_id", F.col("batch").cast("string").alias("file"))
     runs = rows.groupBy("file").agg(F.count(F.lit(1)).alias("new_records"))
     firsts = rows.groupBy("user_id").agg(F.min("file").alias("file"))

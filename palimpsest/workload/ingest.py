@@ -11,7 +11,7 @@ from palimpsest.operators.shaping import merge_detail
 from palimpsest.plans import bronze
 from palimpsest.session import scratch_path
 from palimpsest.sources import landing, ledger
-from palimpsest.workload.registry import cents, day_text, iso, query, table, time_text
+from palimpsest.workload.registry import cents, day_text, iso, query, table
 
 MARK = "2024-01-15T00:00:00"
 

@@ -3,7 +3,6 @@
 import json
 from datetime import date
 
-from pyspark.sql import functions as F
 
 from palimpsest.operators import history
 from palimpsest.operators.dedup import keep_first

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from palimpsest.llm import exact_dedup, simhash, url_filter  # noqa: F401
+from palimpsest.llm import exact_dedup, simhash, url_filter, warc  # noqa: F401
 from palimpsest.llm.common import ORACLES, QUERIES  # noqa: F401

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from palimpsest.llm import decontaminate, exact_dedup, langid, line_dedup, quality, simhash, url_filter, warc  # noqa: F401
+from palimpsest.llm import decontaminate, exact_dedup, langid, lattice, line_dedup, quality, simhash, url_filter, warc  # noqa: F401
 from palimpsest.llm.common import ORACLES, QUERIES  # noqa: F401

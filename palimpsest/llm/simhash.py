@@ -80,17 +80,23 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(set_bits.view("<i8")[0])
 
 
+def text_hash(text):
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash")
+
+
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    schema = docs.select(F.col(id_col).alias("doc_id")).schema.add("fp", "long")
+    """doc_id, text_hash, fp."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_hash(text), text.alias("text"))
 
     def run(batches):
         for batch in batches:
-            prints = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+            prints = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(prints, pa.int64())], ["doc_id", "text_hash", "fp"]
+            )
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, schema
-    )
+    return rows.mapInArrow(run, rows.drop("text").schema.add("fp", "long"))
 
 
 def forest(owners: np.ndarray, others: np.ndarray, max_bits: int):
@@ -183,7 +189,7 @@ def simhash_groups(
     max_bits: int = MAX_BITS,
     block: int = BLOCK,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fp (a long) and component_id.
+    """One row per row of ``docs``: doc_id, text_hash, fp (a long), component (a fingerprint) and component_id.
 
     Fingerprints that differ in ``max_bits`` bits or fewer are linked; component_id is the smallest id that can be
     reached, null only if no row reached has an id. Null and empty texts have fingerprint zero, which links like any
@@ -200,29 +206,34 @@ def simhash_groups(
         "fingerprint-groups",
     )
     smallest = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return prints.join(member.join(smallest, "component").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id"
-    )
+    named = member.join(smallest, "component").select("fp", "component", "component_id")
+    return prints.join(named, "fp").select("doc_id", "text_hash", "fp", "component", "component_id")
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each group the one with the smallest id.
 
-    Of rows that repeat id and text one stays. In a group without ids one row for each text stays.
+    Rows without an id stay only where their group has none with one. Of rows that repeat the staying id, the one
+    with the smallest text hash stays, and of those that repeat the text as well, one.
     """
     groups = simhash_groups(docs, id_col, text_col, **options)
-    key = lambda i, t: F.concat_ws("/", F.coalesce(F.col(i).cast("string"), F.lit("null")), t)
-    winners = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).cast("string")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first")
+    kept = groups.groupBy("component").agg(first).select(row_key(F.col("first.doc_id"), F.col("first.text_hash")))
     own = [F.col(f"doc.`{c}`") for c in docs.columns]
+    keyed = row_key(F.col(id_col), text_hash(F.col(text_col).cast("string")))
     return (
-        docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("row_id"), key(id_col, text_hash).alias("row_key"))
-        .join(winners, F.col("row_id").eqNullSafe(F.col("kept_id")), "left_semi")
+        docs.select(F.struct("*").alias("doc"), keyed)
+        .join(kept, "row_key", "left_semi")
         .dropDuplicates(["row_key"])
         .select(*own)
     )
 
 
+def row_key(doc_id, hashed):
+    """One string for id and text hash, never null."""
+    return F.concat_ws("/", F.coalesce(doc_id.cast("string"), F.lit("")), hashed.cast("string")).alias("row_key")
+
+
 @query()
 def op7_simhash_near_dedup(spark, sf_dir):
     groups = simhash_groups(table(spark, sf_dir, "documents"))

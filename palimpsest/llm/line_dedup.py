@@ -19,7 +19,9 @@ from palimpsest.llm.common import query, table
 from palimpsest.session import stored
 
 MIN_WORDS = 50
-BLANK = " \t\r\x0b\x0c"
+BLANK = " \t\n\r\x0b\x0c"
+#: Line ends before a line with words: lines without words belong to the line before them.
+BREAK = r"\n(?=[ \t\r\x0B\f]*[^ \t\n\r\x0B\f])"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -29,34 +31,28 @@ def doc_key(id_col: str, text_col: str) -> Column:
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, seq (place among the lines with words), line (place among all lines), id and words of each line."""
-    with_words = F.filter(
-        F.transform(
-            F.split(F.col(text_col), "\n"),
-            lambda x, i: F.struct(i.alias("line"), F.trim(x, F.lit(BLANK)).alias("body")),
-        ),
-        lambda x: x["body"] != "",
-    )
-    return docs.select(doc_key(id_col, text_col).alias("doc"), F.posexplode(with_words).alias("seq", "at")).select(
-        "doc",
-        "seq",
-        "at.line",
-        F.unhex(F.md5("at.body")).alias("id"),
-        F.regexp_count("at.body", F.lit(WORD)).alias("words"),
+    """doc, line (place in the text), id and words of each line."""
+    bodies = F.transform(F.split(F.col(text_col), BREAK), lambda x: F.trim(x, F.lit(BLANK)))
+    return (
+        docs.select(doc_key(id_col, text_col).alias("doc"), F.posexplode(bodies).alias("line", "body"))
+        .where("body <> ''")
+        .select(
+            "doc", "line", F.unhex(F.md5("body")).alias("id"), F.regexp_count("body", F.lit(WORD)).alias("words")
+        )
     )
 
 
 def stretches_of(lines: DataFrame, min_words: int) -> DataFrame:
     """Longest stretches of repeated lines, in document order: sid, doc and an array of their lines."""
     repeated = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
-    places = Window.partitionBy("doc").orderBy("seq")
+    places = Window.partitionBy("doc").orderBy("line")
     return (
         lines.join(repeated, "id")
         .distinct()
-        .withColumn("stretch", F.col("seq") - F.row_number().over(places))
+        .withColumn("stretch", F.col("line") - F.row_number().over(places))
         .groupBy("doc", "stretch")
         .agg(
-            F.sort_array(F.collect_list(F.struct("seq", "line", "words", "id"))).alias("lines"),
+            F.sort_array(F.collect_list(F.struct("line", "words", "id"))).alias("lines"),
             F.sum("words").alias("words"),
         )
         .where(F.col("words") >= min_words)
@@ -170,59 +166,60 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """All rows and columns of ``docs``, the text without later copies of line runs, and ``n_dropped`` lines.
 
     A run is a sequence of lines of one document with ``min_words`` words or more; lines without words stand in no
-    run's way and go with the run around them. Lines are equal when identical but for white space at their ends. Of
+    run's way, go with the line before them and do not count. Lines are equal when identical but for white space at their ends. Of
     a run's copies the first in the order of (id, text digest, line) stays, null being the smallest id. Rows that
     repeat both id and text are one document and keep or lose the same lines. A null text stays null, an empty text
     empty; an empty table gives an empty result. A text that loses no line stays as it is.
     """
-    own = [F.col(f"row.`{c}`") for c in docs.columns if c != text_col]
+    own = [F.col(f"row.`{c}`") for c in docs.columns]
     text = F.col(f"row.`{text_col}`")
     drops = copied_lines(docs, id_col, text_col, min_words)
-    lines = F.split(text, "\n")
+    lines = F.split(text, BREAK)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drops"))
     kept = F.array_join(F.transform(left, lambda i: F.get(F.col("lines"), i)), "\n")
-    joined = docs.select(F.struct("*").alias("row"), doc_key(id_col, text_col).alias("key")).join(
-        drops.withColumnRenamed("doc", "copied"), F.col("key").eqNullSafe(F.col("copied")), "left"
-    )
-    cleaned = joined.select(
-        "row", "drops", F.when(F.col("drops").isNotNull(), lines).alias("lines")
-    ).select(
-        *own,
-        F.when(F.col("drops").isNull(), text).otherwise(kept).alias(text_col),
-        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
+    return (
+        docs.select(F.struct("*").alias("row"), doc_key(id_col, text_col).alias("key"))
+        .join(drops.withColumnRenamed("doc", "copied"), F.col("key").eqNullSafe(F.col("copied")), "left")
+        .select("row", "drops", F.when(F.col("drops").isNotNull(), lines).alias("lines"))
+        .select(
+            "row",
+            F.when(F.col("drops").isNull(), text).otherwise(kept).alias("cleaned"),
+            F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
+        )
+        .select(*[F.col("cleaned").alias(c) if c == text_col else own[i] for i, c in enumerate(docs.columns)], "n_dropped")
     )
-    return cleaned.select(*docs.columns, "n_dropped")
 
 
 @query(
     r"""
-WITH raw AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS body, generate_subscripts(string_split(text, chr(10)), 1) AS line
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS body, generate_subscripts(string_split(text, chr(10)), 1) AS place
   FROM documents
 ),
+raw AS (
+  SELECT *, sum(regexp_matches(body, '[^\x20\x09-\x0D]')::INT) OVER (PARTITION BY doc_id ORDER BY place) AS line FROM split
+),
 lines AS (
   SELECT doc_id, line, trim(body, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS body,
-         row_number() OVER (PARTITION BY doc_id ORDER BY line) AS seq,
          len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) AS words
   FROM raw WHERE regexp_matches(body, '[^\x20\x09-\x0D]')
 ),
-sums AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY seq) AS upto FROM lines),
+sums AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY line) AS upto FROM lines),
 runs AS (
-  SELECT a.doc_id, a.seq, a.line AS first_line, b.line AS last_line, b.seq - a.seq + 1 AS m
-  FROM sums a JOIN sums b ON a.doc_id = b.doc_id AND b.seq BETWEEN a.seq AND a.seq + 49
+  SELECT a.doc_id, a.line, b.line - a.line + 1 AS m
+  FROM sums a JOIN sums b ON a.doc_id = b.doc_id AND b.line BETWEEN a.line AND a.line + 49
   WHERE b.upto - a.upto + a.words >= 50 AND (b.upto - a.upto < 50 OR b.upto - b.words - a.upto + a.words < 50)
 ),
 bodies AS (
-  SELECT r.doc_id, r.seq, r.m, any_value(r.first_line) AS first_line, any_value(r.last_line) AS last_line,
-         md5(string_agg(l.body, chr(10) ORDER BY l.seq)) AS body
-  FROM runs r JOIN lines l ON l.doc_id = r.doc_id AND l.seq BETWEEN r.seq AND r.seq + r.m - 1
-  GROUP BY r.doc_id, r.seq, r.m
+  SELECT r.doc_id, r.line, r.m, md5(string_agg(l.body, chr(10) ORDER BY l.line)) AS body
+  FROM runs r JOIN lines l ON l.doc_id = r.doc_id AND l.line BETWEEN r.line AND r.line + r.m - 1
+  GROUP BY r.doc_id, r.line, r.m
 ),
-later AS (SELECT * FROM bodies QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, seq) > 1),
-drops AS (SELECT DISTINCT doc_id, unnest(range(first_line, last_line + 1)) AS line FROM later),
+later AS (SELECT * FROM bodies QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, line) > 1),
+drops AS (SELECT DISTINCT doc_id, unnest(range(line, line + m)) AS line FROM later),
 kept AS (
-  SELECT r.doc_id, string_agg(r.body, chr(10) ORDER BY r.line) FILTER (WHERE d.line IS NULL) AS text,
-         count(d.line) AS n_dropped
+  SELECT r.doc_id, string_agg(r.body, chr(10) ORDER BY r.place) FILTER (WHERE d.line IS NULL) AS text,
+         count(DISTINCT d.line) AS n_dropped
   FROM raw r LEFT JOIN drops d USING (doc_id, line) GROUP BY r.doc_id
 )
 SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text, coalesce(n_dropped, 0) AS n_dropped

@@ -197,7 +197,9 @@ WITH split AS (
   FROM documents
 ),
 raw AS (
-  SELECT *, sum(regexp_matches(body, '[^\x20\x09-\x0D]')::INT) OVER (PARTITION BY doc_id ORDER BY place) AS line FROM split
+  SELECT *, count(CASE WHEN regexp_matches(body, '[^\x20\x09-\x0D]') THEN 1 END)
+         OVER (PARTITION BY doc_id ORDER BY place) AS line
+  FROM split
 ),
 lines AS (
   SELECT doc_id, line, trim(body, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS body,

@@ -203,6 +203,8 @@ class Models:
 
     def entropy(self, text: str | None) -> tuple[np.ndarray, int]:
         """Nats per symbol in each language, and the number of symbols; 0 for a text without letters."""
+        if not self.langs:
+            return np.zeros(0), 0
         total, n, seen = np.zeros(len(self.langs)), 0, False
         for row in symbols(text):
             seen = seen or bool((row[2:] != 32).any())
@@ -292,9 +294,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         m = models.value
         for batch in batches:
             langs, scores, entropies = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 entropy, n = m.entropy(text.as_py())
-                if not n or not m.langs:
+                if not n:
                     langs.append(UNKNOWN)
                     scores.append(0.0)
                     entropies.append(None)
@@ -304,17 +306,27 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                 scores.append(float(1 / np.exp(-SHARPNESS * (entropy - entropy[best])).sum()))
                 entropies.append(float(entropy[best]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(entropies, pa.float64())],
-                ["doc_id", "lang_pred", "score", "cross_entropy"],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(langs, pa.string()),
+                    pa.array(scores, pa.float64()),
+                    pa.array(entropies, pa.float64()),
+                ],
+                ["doc_id", "lang", "lang_pred", "score", "cross_entropy"],
             )
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = rows.select("doc_id").schema.add("lang_pred", "string").add("score", "double").add("cross_entropy", "double")
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(lang_col).cast("string").alias("lang"),
+        F.col(text_col).cast("string").alias("text"),
+    )
+    schema = rows.drop("text").schema.add("lang_pred", "string").add("score", "double").add("cross_entropy", "double")
     scored = stored(
         rows.mapInArrow(run, schema).withColumn("held_out", fold_of(F.col("doc_id"), FOLDS) == HELD_OUT), "languages"
     )
     limits = (
-        scored.where("not held_out and cross_entropy is not null")
+        scored.where("not held_out and lang = lang_pred and cross_entropy is not null")
         .groupBy("lang_pred")
         .agg(F.percentile_approx("cross_entropy", REJECT, 10_000).alias("most"))
     )

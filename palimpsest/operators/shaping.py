@@ -57,10 +57,10 @@ def merge_detail(
     """One record ``id, summary, detail`` per summary; a summary without a detail payload keeps its row.
 
     The two payloads stay apart, so equal field names do not collide. ``details`` holds ``key`` and a struct
-    ``detail``; with ``order`` only its first payload per key counts.
+    ``detail``; only the first payload of a key counts, by ``order``, by place in its file or by its own text.
     """
-    if order:
-        details = keep_first(details, [key], order)
+    place = [ORDINAL] if ORDINAL in details.columns else [F.to_json("detail")]
+    details = keep_first(details, [key], order or place)
     extra = [c for c in (ORDINAL,) if c in summaries.columns]
     payload = F.struct(*[c for c in summaries.columns if c not in extra])
     left = summaries.select(F.col(identity), F.col(key).alias("_key"), payload.alias("summary"), *extra)

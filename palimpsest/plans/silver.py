@@ -51,7 +51,8 @@ def load(rows: DataFrame, spec: TableSpec, root: str, loaded_at: datetime, batch
         landing.append_batches(stamped, target)
 
 
-# Array files up to this size are parsed whole, one task per file; larger ones are split at record boundaries.
+# Array files up to this size are parsed whole, one task per file. Larger ones are split at record boundaries if
+# they are laid out for it, else parsed whole as well: the size decides the plan, never the rows.
 WHOLE_FILE_BYTES = 128 * 1024 * 1024
 
 
@@ -81,8 +82,9 @@ def run(
 ) -> DataFrame:
     """Load what is new under ``bronze`` and return the rows per batch; a dry run returns a preview only.
 
-    All new files load in one job, in name order by the derivation of currency. Overwrite tables take the
-    last file and need no ledger. The list of new files is as long as the scan's own file list.
+    All new files load in one job, in name order by the derivation of currency. A file with malformed JSON is set
+    aside (``quarantined``) and stays pending, the others load. Overwrite tables take the last file and need no
+    ledger; an empty one leaves the table as it is. The list of new files is as long as the scan's own file list.
     """
     found = landing.discover_files(spark, bronze, spec.file_pattern)
     seen = ledger.read_files(spark, ledger_path).filter(F.col("endpoint") == spec.endpoint)
@@ -90,28 +92,48 @@ def run(
         fresh = landing.latest_batch(found, "file_name")
     else:
         fresh = ledger.pending_files(found, seen)
-    known = seen.select("file_name").distinct().withColumn("again", F.lit(spec.strategy != "overwrite"))
+    known = seen.select("file_name").distinct().withColumn("again", F.lit(True))
     listed = fresh.join(known, "file_name", "left").orderBy("file_name").collect()
+    nothing = spark.createDataFrame([], "batch string, rows long")
     if not listed:
-        return spark.createDataFrame([], "batch string, rows long")
+        return nothing
+    bad = landing.malformed_files(spark, [f"{bronze}/{r['file_name']}" for r in listed], spec.bronze_schema())
+    if bad:
+        aside = [(r["file_name"], r["modified_at"], r["length"]) for r in listed if r["file_name"] in bad]
+        rows = spark.createDataFrame(aside, "file_name string, modified_at timestamp, length long")
+        ledger.record_files(ledger.file_rows(rows, spec.endpoint, loaded_at), quarantine_path(ledger_path))
+    good = [r for r in listed if r["file_name"] not in bad]
+    if not good:
+        return nothing
+    rows = transform(_scan(spark, spec, bronze, good), spec)
     if dry_run:
-        return landing.preview(transform(_scan(spark, spec, bronze, listed), spec))
-    new = [r for r in listed if not r["again"]]
-    if new:
-        load(transform(_scan(spark, spec, bronze, new), spec), spec, root, loaded_at)
-    for file in (r for r in listed if r["again"]):
-        # A batch delivered again may now be empty: its folder is replaced on its own.
-        rows = transform(_scan(spark, spec, bronze, [file]), spec)
-        replaced = history.stamp(rows, F.lit(file["file_name"]), loaded_at)
-        landing.write_batch(replaced, f"{root}/{spec.table}", file["file_name"])
+        return landing.preview(rows)
+    if spec.strategy == "overwrite" and rows.isEmpty():
+        return nothing
+    again = [r for r in good if r["again"] and spec.strategy != "overwrite"]
+    if again:
+        # A batch delivered again may now be empty: what an earlier load left of it goes.
+        filled = {r[0] for r in _scan(spark, spec, bronze, again).select(SOURCE_FILE).distinct().collect()}
+        emptied = [r["file_name"] for r in again if r["file_name"] not in filled]
+        landing.remove_batches(spark, f"{root}/{spec.table}", emptied)
+    load(rows, spec, root, loaded_at)
+    names = [r["file_name"] for r in good]
     if spec.strategy != "overwrite":
         # Times and lengths are those listed before the read: a file rewritten since loads again.
-        rows = [(r["file_name"], r["modified_at"], r["length"]) for r in listed]
+        rows = [(r["file_name"], r["modified_at"], r["length"]) for r in good]
         done = spark.createDataFrame(rows, "file_name string, modified_at timestamp, length long")
         ledger.record_files(ledger.file_rows(done, spec.endpoint, loaded_at), ledger_path)
-    names = [r["file_name"] for r in listed]
-    counts = versions(spark, spec, root).filter(F.col(BATCH).isin(names)).groupBy(BATCH)
-    return counts.agg(F.count(F.lit(1)).alias("rows"))
+    log = versions(spark, spec, root).filter(F.col(BATCH).isin(names))
+    return log.groupBy(BATCH).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def quarantine_path(ledger_path: str) -> str:
+    return f"{ledger_path.rstrip('/')}_quarantine"
+
+
+def quarantined(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """Files that were set aside as malformed, one row for each attempt; a mended file loads like a new one."""
+    return ledger.read_files(spark, quarantine_path(ledger_path))
 
 
 def run_batches(
@@ -151,10 +173,12 @@ def run_batches(
 
 
 def _scan(spark: SparkSession, spec: TableSpec, bronze: str, files: list) -> DataFrame:
-    """Records of the listed files, each read in the way its size asks for."""
-    whole = [f"{bronze}/{f['file_name']}" for f in files if f["length"] <= WHOLE_FILE_BYTES]
-    large = [f"{bronze}/{f['file_name']}" for f in files if f["length"] > WHOLE_FILE_BYTES]
+    """Records of the listed files. Large ones are split if their layout allows, whatever they are the rows are the same."""
+    paths = {f["file_name"]: f"{bronze}/{f['file_name']}" for f in files}
+    large = [paths[f["file_name"]] for f in files if f["length"] > WHOLE_FILE_BYTES]
+    split = landing.indented_files(spark, large) if large else set()
+    whole = [path for name, path in paths.items() if name not in split]
     schema = spec.bronze_schema()
     parts = [landing.read_json_batches(spark, whole, schema)] if whole else []
-    parts += [landing.read_indented_batches(spark, large, schema)] if large else []
+    parts += [landing.read_indented_batches(spark, [paths[n] for n in sorted(split)], schema)] if split else []
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

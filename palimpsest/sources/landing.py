@@ -73,6 +73,63 @@ def read_indented_batches(spark: SparkSession, path: str | list[str], schema: T.
     )
 
 
+# Longest line of an array file that the layout check looks at; longer ones stand inside a record.
+LAYOUT_LINE_BYTES = 64 * 1024 * 1024
+
+
+def indented_files(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Names of the array files in the layout that ``read_indented_batches`` can split.
+
+    One pass over the lines, which splits any file and skips the overlong lines of another layout unread: the
+    array's brackets stand alone, and at two blanks there are only the braces of its records, all closed.
+    """
+    lines = (
+        spark.read.option("mapreduce.input.linerecordreader.line.maxlength", str(LAYOUT_LINE_BYTES))
+        .option("lineSep", "\n")
+        .text(paths)
+        .select("value", F.col("_metadata.file_name").alias("file"))
+    )
+    outer = lines.filter(F.col("value").rlike(r"^ {0,2}[^ ]"))
+
+    def times(*wanted: str):
+        return F.count(F.when(F.col("value").isin(*wanted), 1))
+
+    laid_out = (
+        (times("[") == 1)
+        & (times("]") == 1)
+        & (times("  }") == 1)
+        & (times("  {") == times("  }", "  },"))
+        & (F.count(F.lit(1)) == times("[", "]", "  {", "  }", "  },"))
+    )
+    return {r["file"] for r in outer.groupBy("file").agg(laid_out.alias("laid_out")).filter("laid_out").collect()}
+
+
+def malformed_files(
+    spark: SparkSession, paths: list[str], schema: T.StructType, array_files: bool = True
+) -> set[str]:
+    """Names of the files with a record that does not parse."""
+    corrupt = "_malformed"
+    records = (
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]))
+        .option("multiLine", array_files)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", corrupt)
+        .json(paths)
+    )
+    # All columns are asked for: those left out would not be parsed.
+    parsed = records.select(F.xxhash64(F.to_json(F.struct("*"))).alias("row"), corrupt, "_metadata.file_name")
+    bad = parsed.groupBy("file_name").agg(F.max(F.col(corrupt).isNotNull()).alias("bad"), F.max("row").alias("row"))
+    return {r["file_name"] for r in bad.filter("bad").select("file_name", "row").collect()}
+
+
+def remove_batches(spark: SparkSession, root: str, names: list[str]) -> None:
+    """Drop whole batches of a table; a file operation for each, no job."""
+    jvm = spark.sparkContext._jvm
+    for name in names:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{root}/{BATCH}={name}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discover_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """File name, modification time and length of the files matching ``pattern``; contents are not read."""
     return (

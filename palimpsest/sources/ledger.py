@@ -13,7 +13,9 @@ RUNS = (
     "window_start date, window_end date, new_records long, hwm string"
 )
 FILES = "endpoint string, file_name string, modified_at timestamp, length long, loaded_at timestamp"
-KNOWN_IDS = "endpoint string, file string, id string"
+KNOWN_IDS = "id string, endpoint string, file string"
+# A run of a drain that has not ended: its records count, its mark does not.
+PART = "part"
 
 
 def _schema(spark: SparkSession, ddl: str):
@@ -39,6 +41,34 @@ def record_run(row: DataFrame, path: str) -> None:
     )
 
 
+def ended(runs: DataFrame) -> DataFrame:
+    """Runs whose mark counts."""
+    return runs.filter(F.col("kind") != PART)
+
+
+def close_parts(spark: SparkSession, path: str, endpoint: str) -> None:
+    """End a drain: its parts, one row a micro-batch, become runs like others."""
+    parts = read_runs(spark, path).filter((F.col("endpoint") == endpoint) & (F.col("kind") == PART))
+    rows = parts.withColumn("kind", F.lit("delta")).collect()
+    if rows:
+        record_run(spark.createDataFrame(rows, parts.schema), path)
+
+
+def ids_path(path: str) -> str:
+    return f"{path.rstrip('/')}_ids"
+
+
+def record_ids(ids: DataFrame, endpoint: str, file: str, path: str) -> None:
+    """Keep a run's ids beside the run ledger at ``path``; recording the run again replaces them."""
+    named = ids.select(F.col(ids.columns[0]).cast("string").alias("id"))
+    named.write.mode("overwrite").parquet(f"{ids_path(path)}/endpoint={endpoint}/file={file}")
+
+
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Ids of all recorded runs, by endpoint and file."""
+    return read_or_empty(spark, ids_path(path), _schema(spark, KNOWN_IDS))
+
+
 def record_files(rows: DataFrame, path: str) -> None:
     """Add loaded files. The ledger is only ever anti-joined, so a row recorded twice does no harm."""
     rows.coalesce(1).write.mode("append").parquet(path)
@@ -53,12 +83,13 @@ def delta_run(
     window_end: date,
     hwm_column: str,
     previous_hwm: str | None,
+    part: bool = False,
 ) -> DataFrame:
     """Ledger row of an incremental run; an empty batch gives a row with no new records, for the audit."""
     candidate = F.max(F.nullif(F.col(hwm_column), F.lit("")))
     return batch.agg(F.count(F.lit(1)).alias("new_records"), candidate.alias("candidate")).select(
         F.lit(endpoint).alias("endpoint"),
-        F.lit("delta").alias("kind"),
+        F.lit(PART if part else "delta").alias("kind"),
         F.lit(file).alias("file"),
         F.lit(ran_at).cast("timestamp").alias("ran_at"),
         F.lit(window_start).cast("date").alias("window_start"),
@@ -95,7 +126,7 @@ def latest_snapshot(runs: DataFrame) -> DataFrame:
 
 def high_water_mark(runs: DataFrame, endpoint: str) -> Column:
     """Mark of an endpoint as a scalar subquery. Marks never go back, so the largest is the latest."""
-    return runs.filter(F.col("endpoint") == endpoint).agg(F.max("hwm")).scalar()
+    return ended(runs).filter(F.col("endpoint") == endpoint).agg(F.max("hwm")).scalar()
 
 
 def running_totals(runs: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Streaming forms: file source to version log, and file source to incremental batches.
 
-Every micro-batch writes its own partition, named by its number, and overwrites it when repeated, so the
-tables hold each record once. Currency is derived from batch names, so the order of arrival does not matter.
+Every micro-batch writes its own partition, named by its stream and number, and overwrites it when repeated, so
+the tables hold each record once. Currency is derived from batch names, so the order of arrival does not matter.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from palimpsest.operators import history
 from palimpsest.plans import bronze
-from palimpsest.sources import landing
+from palimpsest.sources import landing, ledger
 
 EPOCH = "epoch"
 BLOCK = "_block"
@@ -44,13 +44,28 @@ def with_ordinal(batch: DataFrame) -> DataFrame:
     return batch.withColumn(landing.ORDINAL, position).drop(BLOCK)
 
 
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the stream that a checkpoint belongs to: when it was made, and its id.
+
+    Micro-batches count from 0 in every checkpoint; with this name before the number, one stream's batches never
+    replace another's, and names of later streams sort after those of earlier ones.
+    """
+    made = F.date_format("_metadata.file_modification_time", "yyyyMMddHHmmssSSS")
+    found = spark.read.text(f"{checkpoint}/metadata").select(made, F.get_json_object("value", "$.id")).first()
+    return f"{found[0]}-{found[1][:8]}"
+
+
 def log_versions(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append each micro-batch to a version log, stamped with its load time, until the source is drained."""
+    """Append each micro-batch to a version log, stamped with its load time, until the source is drained.
+
+    Several streams, each with its own checkpoint, may append to one log.
+    """
 
     def keep(batch: DataFrame, epoch: int) -> None:
         now = datetime.now(timezone.utc)
         stamped = with_ordinal(batch).withColumn(history.LOADED_AT, F.lit(now).cast("timestamp"))
-        stamped.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
+        stream = stream_name(batch.sparkSession, checkpoint)
+        stamped.write.mode("overwrite").parquet(f"{path}/{EPOCH}={stream}-{epoch:012d}")
 
     return (
         records.writeStream.foreachBatch(keep)
@@ -80,11 +95,13 @@ def ingest_deltas(
     months: int,
     name: str = "delta",
 ) -> StreamingQuery:
-    """Run ``bronze.ingest_delta`` on each micro-batch; a repeated one replaces its batch and ledger row.
+    """Drain the source through ``bronze.ingest_delta``, one run a micro-batch, and return the ended query.
 
-    Micro-batches count from 0 in every checkpoint: a new checkpoint on the same tables needs a ``name`` that
-    sorts after the last one.
+    All micro-batches of a drain start from the mark it began with, so neither their number nor the order of the
+    files decides what is taken. Their ledger rows count as parts until the drain ends, which advances the mark; a
+    drain that broke off goes on from the same mark. A repeated micro-batch replaces its batch and ledger row.
     """
+    mark = bronze.current_mark(summaries.sparkSession, ledger_path, endpoint)
 
     def take(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
@@ -95,15 +112,19 @@ def ingest_deltas(
             stamp,
             root,
             ledger_path,
-            f"{name}_{epoch:012d}",
+            f"{name}_{stream_name(spark, checkpoint)}_{epoch:012d}",
             datetime.now(timezone.utc),
             today,
             months,
+            part_of=bronze.Drain(mark),
         )
 
-    return (
+    query = (
         summaries.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    ledger.close_parts(summaries.sparkSession, ledger_path, endpoint)
+    return query

@@ -16,7 +16,9 @@ over ``SALTS`` tasks, each of which encodes them once.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import os
 import re
 
 import numpy as np
@@ -36,13 +38,14 @@ BUCKETS = 1 << 24
 HOT = 0.001
 SALTS = 256
 PIECE = 1 << 22
-HELD_WORDS = 300_000
+HELD_WORDS = 500_000
+HELD_DIGESTS = 100_000
 OUT_BYTES = 8 << 20
 
 #: ASCII white space; the vocabulary's word rule never looks across it.
 BLANK = re.compile(rb"[\t-\r ]")
 SPREAD = (np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-STEP = np.uint64(0x100000001B3)
+STEP = np.array([0x100000001B3], np.uint64)
 
 
 def default_model() -> str:
@@ -61,11 +64,12 @@ def whole_end(data: bytes, place: int) -> int:
 def places(data: bytes):
     """Where the rolling hash would cut, in order; the text is hashed in pieces."""
     for at in range(0, len(data) - HASHED + 1, PIECE):
-        mixed = SPREAD[np.frombuffer(data, np.uint8, min(PIECE + HASHED - 1, len(data) - at), at)]
-        rolling = np.zeros(len(mixed) - HASHED + 1, np.uint64)
-        for i in range(HASHED):
-            rolling *= STEP
-            rolling += mixed[i : i + len(rolling)]
+        rolling = SPREAD[np.frombuffer(data, np.uint8, min(PIECE + HASHED - 1, len(data) - at), at)]
+        width, step = 1, STEP
+        while width < HASHED:
+            # Two neighbouring windows make one of twice the width.
+            rolling = rolling[:-width] * step + rolling[width:]
+            width, step = 2 * width, step * step
         yield from (np.flatnonzero((rolling >> np.uint64(40)) & np.uint64(MASK) == 0) + at + HASHED).tolist()
 
 
@@ -103,9 +107,11 @@ def short(digest: bytes) -> int:
 
 
 class Coder:
-    """Encodes texts word by word and remembers words; a join at ASCII white space is exact."""
+    """Encodes texts word by word; a join at ASCII white space is exact. The first ``HELD_WORDS`` words are remembered."""
 
     def __init__(self, path: str):
+        # A task has one core.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -118,19 +124,38 @@ class Coder:
         self.tokens = None if self.tokenizer.decoder else [self.tokenizer.id_to_token(i) for i in range(size)]
         self.numbers = [str(i) for i in range(size)]
 
+    def encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of each word, from one encoding of them all with line ends between."""
+        coded = self.tokenizer.encode(b"\n".join(words).decode("utf-8"), add_special_tokens=False)
+        ids = np.array(coded.ids, self.kind)
+        starts = np.fromiter((start for start, _ in coded.offsets), np.int64, len(ids))
+        ends = np.cumsum([len(w.decode("utf-8")) + 1 for w in words])
+        cuts = [0, *np.searchsorted(starts, ends).tolist()]
+        return {w: ids[a:b].tobytes() for w, a, b in zip(words, cuts, cuts[1:])}
+
     def encode(self, data: bytes) -> bytes:
+        """Ids of a text."""
         words, known = data.split(), self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(new) > HELD_WORDS:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            coded = self.tokenizer.encode_batch([w.decode("utf-8") for w in some], add_special_tokens=False)
-            known.update((w, np.array(c.ids, self.kind).tobytes()) for w, c in zip(some, coded))
+        new = list({w for w in words if w not in known})
+        if not new:
+            return b"".join([known[w] for w in words])
+        found = {}
+        for at in range(0, len(new), 512):
+            found |= self.encode_words(new[at : at + 512])
+        if len(known) < HELD_WORDS:
+            known.update(found)
+        else:
+            found |= {w: known[w] for w in words if w in known}
+            known = found
         return b"".join([known[w] for w in words])
 
 
+@functools.lru_cache(1)
+def coder_of(path: str) -> Coder:
+    """One coder for all tasks of a Python worker."""
+    return Coder(path)
+
+
 class Assembly:
     """A text's ids put together chunk by chunk, with running digests of the ids and of what they decode to."""
 
@@ -249,7 +274,7 @@ def shared_digests(texts: DataFrame) -> Shared:
 
 def in_place_task(batches, path: str, shared, outputs: bool):
     """Results of the texts that share no chunk."""
-    coder, out = Coder(path), None
+    coder, out = coder_of(path), None
     for batch in batches:
         out = out or Table(RESULT | (OUTPUTS if outputs else {}), batch.column(0).type)
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -271,7 +296,7 @@ def moved_task(batches, path: str, shared):
     Of a digest's chunks in a task only the first has its text; the task's number is the salt of a frequent digest,
     so that text and digests without text go the same way.
     """
-    coder, packer, seen = Coder(path), zstandard.ZstdCompressor(level=3), set()
+    coder, packer, seen = coder_of(path), zstandard.ZstdCompressor(level=3), set()
     salt, out = TaskContext.get().partitionId() % SALTS, None
     for batch in batches:
         out = out or Table(MOVED, batch.column(0).type)
@@ -286,7 +311,7 @@ def moved_task(batches, path: str, shared):
                     key = short(digest)
                     if digest not in seen:
                         packed = packer.compress(body)
-                        if len(seen) < HELD_WORDS:
+                        if len(seen) < HELD_DIGESTS:
                             seen.add(digest)
                 elif digest is not None:
                     digest, ids = None, packer.compress(coder.encode(body))
@@ -299,7 +324,7 @@ def moved_task(batches, path: str, shared):
 
 def encode_task(batches, path: str):
     """Ids for the shared chunks; the rows of a digest come together, one with text first."""
-    coder, packer, unpacker = Coder(path), zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+    coder, packer, unpacker = coder_of(path), zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
     current, ids = None, None
     for batch in batches:
         columns = {name: batch.column(name) for name in ("digest", "body", "ids")}
@@ -319,7 +344,7 @@ def encode_task(batches, path: str):
 
 def join_task(batches, path: str, outputs: bool):
     """Results of the moved texts, whose chunks come in order."""
-    coder, unpacker, out, assembly = Coder(path), zstandard.ZstdDecompressor(), None, None
+    coder, unpacker, out, assembly = coder_of(path), zstandard.ZstdDecompressor(), None, None
     for batch in batches:
         out = out or Table(RESULT | (OUTPUTS if outputs else {}), batch.column(0).type)
         for doc_id, ids, head, tail, last in zip(*[batch.column(n) for n in ("doc_id", "ids", "head", "tail", "last")]):

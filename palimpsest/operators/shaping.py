@@ -52,7 +52,7 @@ def merge_detail(
     key: str = "uri",
     identity: str = "id",
     order: list[str] | None = None,
-    **skew: int,
+    hot: dict | None = None,
 ) -> DataFrame:
     """One record ``id, summary, detail`` per summary; a summary without a detail payload keeps its row.
 
@@ -65,4 +65,4 @@ def merge_detail(
     payload = F.struct(*[c for c in summaries.columns if c not in extra])
     left = summaries.select(F.col(identity), F.col(key).alias("_key"), payload.alias("summary"), *extra)
     right = details.select(F.col(key).alias("_key"), "detail")
-    return salted_join(left, right, "_key", "left", spread_by=[identity], **skew).drop("_key")
+    return salted_join(left, right, "_key", "left", hot, [identity]).drop("_key")

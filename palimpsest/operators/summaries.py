@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from palimpsest.operators.joins import dimension_join
+from palimpsest.operators.joins import fits_broadcast, salted_join
 from palimpsest.session import stored
 
 # Fixed value: lines of a summary.
@@ -22,7 +22,7 @@ def sentences(text: str) -> Column:
 
 
 def extractive_summary(
-    rows: DataFrame, key: str, text: str, value: str = "summary", lines: int = LINES, **skew
+    rows: DataFrame, key: str, text: str, value: str = "summary", lines: int = LINES, hot: dict | None = None
 ) -> DataFrame:
     """The ``lines`` highest-scoring sentences of each text, in text order, one per line; ``key`` is unique.
 
@@ -32,7 +32,7 @@ def extractive_summary(
 
     Words are made distinct inside the sentence, before any shuffle. Words in more than half of the sentences
     weigh nothing and drop out. The weights of the others are broadcast if they are few enough, so a sentence
-    is summed up where it was split; a larger vocabulary is joined with its common words salted. Texts move
+    is summed up where it was split; a larger vocabulary is joined, with the ``hot`` words salted. Texts move
     once, to meet the positions picked for them.
     """
     split = rows.select(key, F.posexplode(sentences(text)).alias("position", "sentence"))
@@ -43,9 +43,10 @@ def extractive_summary(
     spread = stored(used.groupBy("word").agg(F.count(F.lit(1)).alias("_rows")), "word-counts")
     weight = F.length(F.bin(F.expr(f"{total} div _rows"))) - 1
     weights = spread.select("word", weight.alias("weight")).filter("weight > 0")
-    weighted = dimension_join(
-        used, weights, "word", rows=VOCABULARY_ROWS, spread_by=[key, "position"], **skew
-    )
+    if fits_broadcast(weights, VOCABULARY_ROWS):
+        weighted = used.join(F.broadcast(weights), "word")
+    else:
+        weighted = salted_join(used, weights, "word", "inner", hot, [key, "position"])
     scored = weighted.groupBy(key, "position").agg(F.sum("weight").alias("score"))
     best_first = Window.partitionBy(key).orderBy(F.desc("score"), "position")
     best = scored.withColumn("_rank", F.row_number().over(best_first)).filter(F.col("_rank") <= lines)

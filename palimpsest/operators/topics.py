@@ -8,21 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from palimpsest.functions.vectors import NORM_FLOOR, cosine
+from palimpsest.session import stored
 
 # Topics per scalar subquery or matrix product; a longer list is taken in several blocks.
 BLOCK = 1024
 
 
-def _blocks(topics: DataFrame, block: int) -> list[DataFrame]:
-    """The topic list in pieces of at most ``block`` rows, by position."""
-    top = topics.agg(F.max("ord"), F.min("ord")).first()
-    if top[0] is None:
-        raise ValueError("no topics")
-    return [
-        topics.filter(F.col("ord").between(low, low + block - 1)) for low in range(top[1], top[0] + 1, block)
-    ]
-
-
 def similarities(rows: DataFrame, vector: str, topics: DataFrame, name: str = "scores") -> DataFrame:
     """Cosine similarity of each row to each topic, as one array per row in topic order."""
     listed = topics.agg(F.sort_array(F.collect_list(F.struct("ord", "vector")))).scalar()
@@ -43,19 +34,24 @@ def nearest_topic(
 ) -> DataFrame:
     """Best topic and its score per row; of equal scores the topic with the lower ``ord`` wins.
 
-    ``topics`` has ``ord``, ``topic`` and ``vector``. ``matrix`` multiplies Arrow batches
+    ``topics`` has ``ord``, ``topic`` and ``vector`` and is computed once. ``matrix`` multiplies Arrow batches
     with the normalised topics; ``columns`` stays in the JVM, row by row.
     """
     if method not in ("matrix", "columns"):
         raise ValueError(f"unknown method: {method}")
-    blocks = _blocks(topics, block)
     if method == "matrix":
-        lists = [part.orderBy("ord").collect() for part in blocks]
-        best = [_best_by_matrix(vector, listed) for listed in lists if listed]
+        listed = topics.orderBy("ord").collect()
+        parts = [listed[at : at + block] for at in range(0, len(listed), block)]
+        best = [_best_by_matrix(vector, part) for part in parts]
     else:
-        listed = {f"_topics{i}": _listed(part) for i, part in enumerate(blocks)}
-        rows = rows.withColumns(listed)
-        best = [_best_by_columns(vector, name) for name in listed]
+        kept = stored(topics.select("ord", "topic", "vector"), "topics")
+        span = kept.agg(F.min("ord"), F.max("ord")).first()
+        starts = range(span[0], span[1] + 1, block) if span[0] is not None else []
+        lists = {f"_topics{i}": _listed(kept.filter(F.col("ord").between(at, at + block - 1))) for i, at in enumerate(starts)}
+        rows = rows.withColumns(lists)
+        best = [_best_by_columns(vector, name) for name in lists]
+    if not best:
+        raise ValueError("no topics")
     winner = F.greatest(*best) if len(best) > 1 else best[0]
     return (
         rows.withColumn("_best", F.when(F.col(vector).isNotNull(), winner))
@@ -85,18 +81,20 @@ def _best_by_matrix(vector: str, listed: list) -> Column:
     for position, row in enumerate(listed):
         # An equal vector further down the list can never win.
         distinct.setdefault(tuple(row["vector"]), position)
-    positions = list(distinct.values())
+    winners = [listed[position] for position in distinct.values()]
     targets = [list(v) for v in distinct]
+    orders, names = [-row["ord"] for row in winners], [row["topic"] for row in winners]
     floor = NORM_FLOOR
 
     def search(vectors):
         import numpy as np
         import pyarrow as pa
 
+        kinds = {"score": pa.float64(), "earlier": pa.int32(), "topic": pa.string()}
         known = vectors.drop_null()
         wanted = np.asarray(targets, dtype=np.float64)
         if len(known) == 0:
-            return pa.nulls(len(vectors), pa.struct([("position", pa.int32()), ("score", pa.float64())]))
+            return pa.nulls(len(vectors), pa.struct(list(kinds.items())))
         values = known.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         matrix = values.reshape(len(known), wanted.shape[1])
         matrix = matrix / (np.linalg.norm(matrix, axis=1, keepdims=True) + floor)
@@ -104,15 +102,11 @@ def _best_by_matrix(vector: str, listed: list) -> Column:
         scores = matrix @ wanted.T
         winner = scores.argmax(axis=1)
         present = vectors.is_valid().to_numpy(zero_copy_only=False)
-        position = np.zeros(len(vectors), dtype=np.int32)
+        place = np.zeros(len(vectors), dtype=np.int64)
         score = np.zeros(len(vectors), dtype=np.float64)
-        position[present] = np.asarray(positions, dtype=np.int32)[winner]
+        place[present] = winner
         score[present] = scores[np.arange(len(known)), winner]
-        return pa.StructArray.from_arrays(
-            [pa.array(position), pa.array(score)], names=["position", "score"], mask=pa.array(~present)
-        )
-
-    found = F.arrow_udf(search, "position int, score double")(F.col(vector))
-    names = F.array(*[F.lit(r["topic"]) for r in listed])
-    order = F.array(*[F.lit(r["ord"]) for r in listed])
-    return _ranked(found["score"], F.get(order, found["position"]), F.get(names, found["position"]))
+        found = [pa.array(score), pa.array(orders, pa.int32()).take(place), pa.array(names, pa.string()).take(place)]
+        return pa.StructArray.from_arrays(found, names=list(kinds), mask=pa.array(~present))
+
+    return F.arrow_udf(search, "score double, earlier int, topic string")(F.col(vector))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,23 +24,33 @@ def audit_sql(statements: DataFrame, column: str, name: str = "verdict") -> Data
 def guarded_select(spark: SparkSession, sql: str, rows: int | None = None) -> DataFrame:
     """Result of a SELECT over the registered views; any other statement raises ValueError.
 
-    Double quotes mark identifiers while the statement is parsed, as its authors write mixed-case columns
-    that way; without it they would be text literals.
+    Double quotes mark identifiers, as its authors write mixed-case columns that way. They are rewritten before
+    the statement is parsed, so no setting of the session changes.
     """
     checked = spark.range(1).select(verdict(F.lit(sql)).alias("verdict"), statement_body(F.lit(sql)).alias("body"))
     row = checked.first()
     if row["verdict"] != OK:
         raise ValueError(f"statement refused: {row['verdict']}")
-    setting = "spark.sql.ansi.doubleQuotedIdentifiers"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "true")
-    try:
-        result = spark.sql(row["body"].rstrip().rstrip(";"))
-    finally:
-        spark.conf.set(setting, before)
+    result = spark.sql(backquoted(row["body"].rstrip().rstrip(";")))
     return result.limit(rows) if rows else result
 
 
+def backquoted(sql: str) -> str:
+    """The statement with double-quoted identifiers in backquotes; texts and comments stay as they are."""
+
+    def rewrite(found: re.Match) -> str:
+        if found[1] is None:
+            return found[0]
+        return "`" + found[1].replace('""', '"').replace("`", "``") + "`"
+
+    return re.sub(r"""'(?:[^'\\]|\\.)*'|`[^`]*`|--[^\n]*|/\*.*?\*/|"((?:[^"]|"")*)\"""", rewrite, sql, flags=re.S)
+
+
+def answer_rows(result: DataFrame, rows: int = ANSWER_ROWS) -> DataFrame:
+    """The rows of a result that an answer step is shown, each as JSON text with NULLs."""
+    return result.limit(rows).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
+
+
 def with_party(deputies: DataFrame, parties: DataFrame) -> DataFrame:
     """Deputies with their party, by acronym; other columns of the party are prefixed."""
     others = [F.col(c).alias(f"party_{c}") for c in parties.columns if c != "sigla"]

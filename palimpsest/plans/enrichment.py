@@ -11,7 +11,7 @@ from palimpsest.operators import inherit as carry
 from palimpsest.operators.models import apply_model
 from palimpsest.operators.topics import nearest_topic
 from palimpsest.plans.entities import TOPICS
-from palimpsest.session import stored
+from palimpsest.session import scratch_path
 from palimpsest.sources.landing import BATCH, read_or_empty
 
 TOPIC, SCORE, SUMMARY = "tema_classificado", "tema_score", "resumo_executivo"
@@ -21,6 +21,9 @@ TOPIC_TABLE = T.StructType(
     _KEY + [T.StructField(TOPIC, T.StringType()), T.StructField(SCORE, T.DoubleType())] + _AT
 )
 SUMMARY_TABLE = T.StructType(_KEY + [T.StructField(SUMMARY, T.StringType())] + _AT)
+# Jobs of a run, each of which keeps what it finished.
+SLICES = 8
+SLICE = "_slice"
 # Rows of a model task, of which there are then enough for all cores and no long ones.
 TASK_ROWS = 10_000
 VECTOR = T.ArrayType(T.FloatType())
@@ -33,13 +36,13 @@ def topic_dimension(spark: SparkSession, embed: Callable[[list[str]], list]) ->
     return spark.createDataFrame(rows, "ord int, topic string, vector array<float>")
 
 
-def _tasks(queue: DataFrame) -> int:
+def _tasks(spark: SparkSession, rows: int) -> int:
     """Tasks for a queue: one per core, or more where a task would get over ``TASK_ROWS`` rows.
 
     The model is the costly part: little work is lost with an executor, and no core idles because the queue
     sits in a few files.
     """
-    return max(queue.sparkSession.sparkContext.defaultParallelism, -(-queue.count() // TASK_ROWS))
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
 
 
 def classify(
@@ -89,7 +92,8 @@ def _enrich(
 ) -> None:
     """Inherit, then work off the queue in ``slices`` jobs.
 
-    Every job appends what it finished, so a run that is cut off resumes with what is left.
+    The log is read twice, once to inherit and once for the queue, which is stored by slice. Every job reads its
+    slice alone and appends what it finished, so a run that is cut off resumes with what is left.
     """
 
     def labelled() -> DataFrame:
@@ -97,13 +101,14 @@ def _enrich(
 
     known = carry.inherit(labelled(), "id", "ementa", labels, BATCH)
     _keep(known.filter("inherited"), table, path, at)
-    for part in range(slices):
-        queue = queue_of(labelled().filter("is_current")).filter(F.col("id").isNotNull())
-        if slices > 1:
-            queue = queue.filter(F.pmod(F.xxhash64("id"), F.lit(slices)) == part)
-        # Stored, so that a lost model task is repeated without the joins that found its texts.
-        queue = stored(queue, "queue")
-        _keep(apply(queue, _tasks(queue)), table, path, at)
+    queue = queue_of(labelled().filter("is_current")).filter(F.col("id").isNotNull())
+    sliced = queue.withColumn(SLICE, F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
+    folder = scratch_path(spark, "queue")
+    sliced.write.partitionBy(SLICE).parquet(folder)
+    kept = read_or_empty(spark, folder, sliced.schema)
+    sizes = {r[SLICE]: r["n"] for r in kept.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).collect()}
+    for part, rows in sorted(sizes.items()):
+        _keep(apply(kept.filter(F.col(SLICE) == part).drop(SLICE), _tasks(spark, rows)), table, path, at)
 
 
 def classify_propositions(
@@ -112,7 +117,7 @@ def classify_propositions(
     path: str,
     embed: Callable[[list[str]], list],
     at: datetime,
-    slices: int = 1,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Topic table after a run over versions with ``is_current``; only texts not seen before reach the model."""
     topics = topic_dimension(spark, embed)
@@ -136,7 +141,7 @@ def summarize_propositions(
     path: str,
     model: Callable[[list[str]], list],
     at: datetime,
-    slices: int = 1,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Summary table after a run over versions with ``is_current``; failed rows stay in the queue."""
     _enrich(

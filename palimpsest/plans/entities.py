@@ -6,125 +6,125 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-# Source path, silver column and type. A type ending in ? is read as text and parsed leniently,
-# so a value that does not parse becomes NULL. One column per line, in table order.
-DEPUTIES = """
-id -> deputado_id : bigint
-detail.id -> id : bigint
-detail.uri -> uri : string
-detail.nomeCivil -> nomeCivil : string
-detail.cpf -> cpf : string
-detail.sexo -> sexo : string
-detail.urlWebsite -> urlWebsite : string
-detail.redeSocial -> redeSocial : array<string>
-detail.dataNascimento -> dataNascimento : string
-detail.dataFalecimento -> dataFalecimento : string
-detail.ufNascimento -> ufNascimento : string
-detail.municipioNascimento -> municipioNascimento : string
-detail.escolaridade -> escolaridade : string
-detail.ultimoStatus.id -> ultimoStatusId : bigint
-detail.ultimoStatus.uri -> ultimoStatusUri : string
-detail.ultimoStatus.nome -> ultimoStatusNome : string
-detail.ultimoStatus.siglaPartido -> partido : string
-detail.ultimoStatus.uriPartido -> uriPartido : string
-detail.ultimoStatus.siglaUf -> estado : string
-detail.ultimoStatus.idLegislatura -> idLegislatura : bigint
-detail.ultimoStatus.urlFoto -> urlFoto : string
-detail.ultimoStatus.email -> email : string
-detail.ultimoStatus.data -> dataStatus : string
-detail.ultimoStatus.nomeEleitoral -> nomeEleitoral : string
-detail.ultimoStatus.gabinete.nome -> gabineteNome : string
-detail.ultimoStatus.gabinete.predio -> gabinetePredio : string
-detail.ultimoStatus.gabinete.sala -> gabineteSala : string
-detail.ultimoStatus.gabinete.andar -> gabineteAndar : string
-detail.ultimoStatus.gabinete.telefone -> gabineteTelefone : string
-detail.ultimoStatus.gabinete.email -> gabineteEmail : string
-detail.ultimoStatus.situacao -> situacao : string
-detail.ultimoStatus.condicaoEleitoral -> condicaoEleitoral : string
-detail.ultimoStatus.descricaoStatus -> descricaoStatus : string
-summary.id -> resumoId : bigint
-summary.uri -> resumoUri : string
-summary.nome -> resumoNome : string
-summary.siglaPartido -> resumoPartido : string
-summary.uriPartido -> resumoUriPartido : string
-summary.siglaUf -> resumoEstado : string
-summary.idLegislatura -> resumoIdLegislatura : bigint
-summary.urlFoto -> resumoUrlFoto : string
-summary.email -> resumoEmail : string
-"""
-
-PARTIES = """
-id -> id : bigint
-detail.sigla -> sigla : string
-detail.nome -> nome : string
-detail.uri -> uri : string
-detail.status.data -> statusData : string
-detail.status.idLegislatura -> statusIdLegislatura : bigint
-detail.status.situacao -> statusSituacao : string
-detail.status.totalPosse -> statusTotalPosse : bigint
-detail.status.totalMembros -> statusTotalMembros : bigint
-detail.status.uriMembros -> statusUriMembros : string
-detail.status.lider.uri -> liderUri : string
-detail.status.lider.nome -> liderNome : string
-detail.status.lider.siglaPartido -> liderSiglaPartido : string
-detail.status.lider.uriPartido -> liderUriPartido : string
-detail.status.lider.uf -> liderUf : string
-detail.status.lider.idLegislatura -> liderIdLegislatura : bigint
-detail.status.lider.urlFoto -> liderUrlFoto : string
-detail.numeroEleitoral -> numeroEleitoral : string
-detail.urlLogo -> urlLogo : string
-detail.urlWebSite -> urlWebSite : string
-detail.urlFacebook -> urlFacebook : string
-"""
-
-PROPOSITIONS = """
-id -> id : bigint
-detail.uri -> uri : string
-detail.siglaTipo -> siglaTipo : string
-detail.codTipo -> codTipo : bigint
-detail.numero -> numero : bigint
-detail.ano -> ano : bigint
-detail.ementa -> ementa : string
-detail.dataApresentacao -> dataApresentacao : timestamp_ntz?
-detail.uriOrgaoNumerador -> uriOrgaoNumerador : string
-detail.statusProposicao.dataHora -> statusDataHora : timestamp_ntz?
-detail.statusProposicao.sequencia -> statusSequencia : bigint
-detail.statusProposicao.siglaOrgao -> statusSiglaOrgao : string
-detail.statusProposicao.uriOrgao -> statusUriOrgao : string
-detail.statusProposicao.uriUltimoRelator -> statusUriUltimoRelator : string
-detail.statusProposicao.regime -> statusRegime : string
-detail.statusProposicao.descricaoTramitacao -> statusDescricaoTramitacao : string
-detail.statusProposicao.codTipoTramitacao -> statusCodTipoTramitacao : bigint?
-detail.statusProposicao.descricaoSituacao -> statusDescricaoSituacao : string
-detail.statusProposicao.codSituacao -> statusCodSituacao : bigint
-detail.statusProposicao.despacho -> statusDespacho : string
-detail.statusProposicao.url -> statusUrl : string
-detail.statusProposicao.ambito -> statusAmbito : string
-detail.statusProposicao.apreciacao -> statusApreciacao : string
-detail.uriAutores -> uriAutores : string
-detail.descricaoTipo -> descricaoTipo : string
-detail.ementaDetalhada -> ementaDetalhada : string
-detail.keywords -> keywords : string
-detail.uriPropPrincipal -> uriPropPrincipal : string
-detail.uriPropAnterior -> uriPropAnterior : string
-detail.uriPropPosterior -> uriPropPosterior : string
-detail.urlInteiroTeor -> urlInteiroTeor : string
-detail.urnFinal -> urnFinal : string
-"""
-
-VOTINGS = """
-id -> id : string
-uri -> uri : string
-data -> data : date?
-dataHoraRegistro -> dataHoraRegistro : timestamp_ntz?
-siglaOrgao -> siglaOrgao : string
-uriOrgao -> uriOrgao : string
-uriEvento -> uriEvento : string
-proposicaoObjeto -> proposicaoObjeto : string
-uriProposicaoObjeto -> uriProposicaoObjeto : string
-descricao -> descricao : string
-aprovacao -> aprovacao : int
-"""
+# Source path, silver column, type, and whether the value is read as text and parsed leniently, so
+# that one that does not parse becomes NULL. One column per line, in table order.
+DEPUTIES = (
+    ("id", "deputado_id", "bigint", False),
+    ("detail.id", "id", "bigint", False),
+    ("detail.uri", "uri", "string", False),
+    ("detail.nomeCivil", "nomeCivil", "string", False),
+    ("detail.cpf", "cpf", "string", False),
+    ("detail.sexo", "sexo", "string", False),
+    ("detail.urlWebsite", "urlWebsite", "string", False),
+    ("detail.redeSocial", "redeSocial", "array<string>", False),
+    ("detail.dataNascimento", "dataNascimento", "string", False),
+    ("detail.dataFalecimento", "dataFalecimento", "string", False),
+    ("detail.ufNascimento", "ufNascimento", "string", False),
+    ("detail.municipioNascimento", "municipioNascimento", "string", False),
+    ("detail.escolaridade", "escolaridade", "string", False),
+    ("detail.ultimoStatus.id", "ultimoStatusId", "bigint", False),
+    ("detail.ultimoStatus.uri", "ultimoStatusUri", "string", False),
+    ("detail.ultimoStatus.nome", "ultimoStatusNome", "string", False),
+    ("detail.ultimoStatus.siglaPartido", "partido", "string", False),
+    ("detail.ultimoStatus.uriPartido", "uriPartido", "string", False),
+    ("detail.ultimoStatus.siglaUf", "estado", "string", False),
+    ("detail.ultimoStatus.idLegislatura", "idLegislatura", "bigint", False),
+    ("detail.ultimoStatus.urlFoto", "urlFoto", "string", False),
+    ("detail.ultimoStatus.email", "email", "string", False),
+    ("detail.ultimoStatus.data", "dataStatus", "string", False),
+    ("detail.ultimoStatus.nomeEleitoral", "nomeEleitoral", "string", False),
+    ("detail.ultimoStatus.gabinete.nome", "gabineteNome", "string", False),
+    ("detail.ultimoStatus.gabinete.predio", "gabinetePredio", "string", False),
+    ("detail.ultimoStatus.gabinete.sala", "gabineteSala", "string", False),
+    ("detail.ultimoStatus.gabinete.andar", "gabineteAndar", "string", False),
+    ("detail.ultimoStatus.gabinete.telefone", "gabineteTelefone", "string", False),
+    ("detail.ultimoStatus.gabinete.email", "gabineteEmail", "string", False),
+    ("detail.ultimoStatus.situacao", "situacao", "string", False),
+    ("detail.ultimoStatus.condicaoEleitoral", "condicaoEleitoral", "string", False),
+    ("detail.ultimoStatus.descricaoStatus", "descricaoStatus", "string", False),
+    ("summary.id", "resumoId", "bigint", False),
+    ("summary.uri", "resumoUri", "string", False),
+    ("summary.nome", "resumoNome", "string", False),
+    ("summary.siglaPartido", "resumoPartido", "string", False),
+    ("summary.uriPartido", "resumoUriPartido", "string", False),
+    ("summary.siglaUf", "resumoEstado", "string", False),
+    ("summary.idLegislatura", "resumoIdLegislatura", "bigint", False),
+    ("summary.urlFoto", "resumoUrlFoto", "string", False),
+    ("summary.email", "resumoEmail", "string", False),
+)
+
+PARTIES = (
+    ("id", "id", "bigint", False),
+    ("detail.sigla", "sigla", "string", False),
+    ("detail.nome", "nome", "string", False),
+    ("detail.uri", "uri", "string", False),
+    ("detail.status.data", "statusData", "string", False),
+    ("detail.status.idLegislatura", "statusIdLegislatura", "bigint", False),
+    ("detail.status.situacao", "statusSituacao", "string", False),
+    ("detail.status.totalPosse", "statusTotalPosse", "bigint", False),
+    ("detail.status.totalMembros", "statusTotalMembros", "bigint", False),
+    ("detail.status.uriMembros", "statusUriMembros", "string", False),
+    ("detail.status.lider.uri", "liderUri", "string", False),
+    ("detail.status.lider.nome", "liderNome", "string", False),
+    ("detail.status.lider.siglaPartido", "liderSiglaPartido", "string", False),
+    ("detail.status.lider.uriPartido", "liderUriPartido", "string", False),
+    ("detail.status.lider.uf", "liderUf", "string", False),
+    ("detail.status.lider.idLegislatura", "liderIdLegislatura", "bigint", False),
+    ("detail.status.lider.urlFoto", "liderUrlFoto", "string", False),
+    ("detail.numeroEleitoral", "numeroEleitoral", "string", False),
+    ("detail.urlLogo", "urlLogo", "string", False),
+    ("detail.urlWebSite", "urlWebSite", "string", False),
+    ("detail.urlFacebook", "urlFacebook", "string", False),
+)
+
+PROPOSITIONS = (
+    ("id", "id", "bigint", False),
+    ("detail.uri", "uri", "string", False),
+    ("detail.siglaTipo", "siglaTipo", "string", False),
+    ("detail.codTipo", "codTipo", "bigint", False),
+    ("detail.numero", "numero", "bigint", False),
+    ("detail.ano", "ano", "bigint", False),
+    ("detail.ementa", "ementa", "string", False),
+    ("detail.dataApresentacao", "dataApresentacao", "timestamp_ntz", True),
+    ("detail.uriOrgaoNumerador", "uriOrgaoNumerador", "string", False),
+    ("detail.statusProposicao.dataHora", "statusDataHora", "timestamp_ntz", True),
+    ("detail.statusProposicao.sequencia", "statusSequencia", "bigint", False),
+    ("detail.statusProposicao.siglaOrgao", "statusSiglaOrgao", "string", False),
+    ("detail.statusProposicao.uriOrgao", "statusUriOrgao", "string", False),
+    ("detail.statusProposicao.uriUltimoRelator", "statusUriUltimoRelator", "string", False),
+    ("detail.statusProposicao.regime", "statusRegime", "string", False),
+    ("detail.statusProposicao.descricaoTramitacao", "statusDescricaoTramitacao", "string", False),
+    ("detail.statusProposicao.codTipoTramitacao", "statusCodTipoTramitacao", "string", False),
+    ("detail.statusProposicao.descricaoSituacao", "statusDescricaoSituacao", "string", False),
+    ("detail.statusProposicao.codSituacao", "statusCodSituacao", "bigint", False),
+    ("detail.statusProposicao.despacho", "statusDespacho", "string", False),
+    ("detail.statusProposicao.url", "statusUrl", "string", False),
+    ("detail.statusProposicao.ambito", "statusAmbito", "string", False),
+    ("detail.statusProposicao.apreciacao", "statusApreciacao", "string", False),
+    ("detail.uriAutores", "uriAutores", "string", False),
+    ("detail.descricaoTipo", "descricaoTipo", "string", False),
+    ("detail.ementaDetalhada", "ementaDetalhada", "string", False),
+    ("detail.keywords", "keywords", "string", False),
+    ("detail.uriPropPrincipal", "uriPropPrincipal", "string", False),
+    ("detail.uriPropAnterior", "uriPropAnterior", "string", False),
+    ("detail.uriPropPosterior", "uriPropPosterior", "string", False),
+    ("detail.urlInteiroTeor", "urlInteiroTeor", "string", False),
+    ("detail.urnFinal", "urnFinal", "string", False),
+)
+
+VOTINGS = (
+    ("id", "id", "string", False),
+    ("uri", "uri", "string", False),
+    ("data", "data", "date", True),
+    ("dataHoraRegistro", "dataHoraRegistro", "timestamp_ntz", True),
+    ("siglaOrgao", "siglaOrgao", "string", False),
+    ("uriOrgao", "uriOrgao", "string", False),
+    ("uriEvento", "uriEvento", "string", False),
+    ("proposicaoObjeto", "proposicaoObjeto", "string", False),
+    ("uriProposicaoObjeto", "uriProposicaoObjeto", "string", False),
+    ("descricao", "descricao", "string", False),
+    ("aprovacao", "aprovacao", "int", False),
+)
 
 
 @dataclass(frozen=True)
@@ -167,28 +167,18 @@ def _struct(tree: dict) -> T.StructType:
     return T.StructType(fields)
 
 
-def column_list(lines: str) -> tuple[tuple[str, str, str, bool], ...]:
-    """(path, name, type, lenient) per line of a column listing."""
-    columns = []
-    for line in lines.strip().splitlines():
-        path, rest = line.split(" -> ")
-        name, kind = rest.split(" : ")
-        columns.append((path, name, kind.rstrip("?"), kind.endswith("?")))
-    return tuple(columns)
-
-
 # Table names, load strategies and file patterns per feed.
 SPECS = {
     "deputies": TableSpec(
-        "deputies", "silver_deputies", column_list(DEPUTIES), "snapshot", "snapshot_*.json", order_by="nome"
+        "deputies", "silver_deputies", DEPUTIES, "snapshot", "snapshot_*.json", order_by="nome"
     ),
     "parties": TableSpec(
-        "parties", "silver_parties", column_list(PARTIES), "overwrite", "snapshot_*.json", order_by="sigla"
+        "parties", "silver_parties", PARTIES, "overwrite", "snapshot_*.json", order_by="sigla"
     ),
     "votings": TableSpec(
         "votings",
         "silver_votings",
-        column_list(VOTINGS),
+        VOTINGS,
         "delta",
         "delta_*.json",
         order_by="dataHoraRegistro",
@@ -197,7 +187,7 @@ SPECS = {
     "propositions": TableSpec(
         "propositions",
         "silver_propositions",
-        column_list(PROPOSITIONS),
+        PROPOSITIONS,
         "delta",
         "delta_*.json",
         mark="dataApresentacao",

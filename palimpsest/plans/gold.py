@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from palimpsest.operators.joins import join_spreading_nulls
-from palimpsest.operators.pivot import SOCIAL, json_strings, pivot_arrays
+from palimpsest.operators.joins import spread_columns
+from palimpsest.operators.pivot import SOCIAL, fold_max, json_strings
 
 # Columns of the serving relations.
 DEPUTIES = [
@@ -34,10 +34,12 @@ ENRICHED = {"tema_classificado": "string", "tema_score": "double", "resumo_execu
 def gold_deputies(current: DataFrame) -> DataFrame:
     """Current deputies with one link per social network; personal identifiers stay in silver."""
     links = F.col("redeSocial") if "array" in dict(current.dtypes)["redeSocial"] else json_strings("redeSocial")
-    social = pivot_arrays(current, "id", links, SOCIAL)
-    return join_spreading_nulls(current.select(*DEPUTIES, "loaded_at"), social, ["id"]).select(
-        *DEPUTIES, *SOCIAL, "loaded_at"
-    )
+    folded = current.select(*DEPUTIES, "loaded_at", *fold_max(links, SOCIAL))
+    # Rows of one id share their links; rows without an id have none, and are kept apart.
+    missing = F.col("id").isNull()
+    same = Window.partitionBy("id", F.when(missing, F.xxhash64(*spread_columns(folded))))
+    shared = {name: F.when(~missing, F.max(name).over(same)) for name in SOCIAL}
+    return folded.withColumns(shared).select(*DEPUTIES, *SOCIAL, "loaded_at")
 
 
 def gold_parties(latest: DataFrame) -> DataFrame:

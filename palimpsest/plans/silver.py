@@ -79,6 +79,7 @@ def run(
     ledger_path: str,
     loaded_at: datetime,
     dry_run: bool = False,
+    whole_bytes: int | None = None,
 ) -> DataFrame:
     """Load what is new under ``bronze`` and return the rows per batch; a dry run returns a preview only.
 
@@ -105,7 +106,7 @@ def run(
     good = [r for r in listed if r["file_name"] not in bad]
     if not good:
         return nothing
-    rows = transform(_scan(spark, spec, bronze, good), spec)
+    rows = transform(_scan(spark, spec, bronze, good, whole_bytes), spec)
     if dry_run:
         return landing.preview(rows)
     if spec.strategy == "overwrite" and rows.isEmpty():
@@ -113,7 +114,7 @@ def run(
     again = [r for r in good if r["again"] and spec.strategy != "overwrite"]
     if again:
         # A batch delivered again may now be empty: what an earlier load left of it goes.
-        filled = {r[0] for r in _scan(spark, spec, bronze, again).select(SOURCE_FILE).distinct().collect()}
+        filled = {r[0] for r in _scan(spark, spec, bronze, again, whole_bytes).select(SOURCE_FILE).distinct().collect()}
         emptied = [r["file_name"] for r in again if r["file_name"] not in filled]
         landing.remove_batches(spark, f"{root}/{spec.table}", emptied)
     load(rows, spec, root, loaded_at)
@@ -172,10 +173,13 @@ def run_batches(
     return counts.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _scan(spark: SparkSession, spec: TableSpec, bronze: str, files: list) -> DataFrame:
-    """Records of the listed files. Large ones are split if their layout allows, whatever they are the rows are the same."""
+def _scan(
+    spark: SparkSession, spec: TableSpec, bronze: str, files: list, whole_bytes: int | None = None
+) -> DataFrame:
+    """Records of the listed files, the large ones split if their layout allows it."""
+    most = WHOLE_FILE_BYTES if whole_bytes is None else whole_bytes
     paths = {f["file_name"]: f"{bronze}/{f['file_name']}" for f in files}
-    large = [paths[f["file_name"]] for f in files if f["length"] > WHOLE_FILE_BYTES]
+    large = [paths[f["file_name"]] for f in files if f["length"] > most]
     split = landing.indented_files(spark, large) if large else set()
     whole = [path for name, path in paths.items() if name not in split]
     schema = spec.bronze_schema()

@@ -32,16 +32,6 @@ def build_session(app: str = "palimpsest", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def fit_shuffles(spark: SparkSession, shuffled_bytes: int, task_bytes: int = 256 * 1024 * 1024) -> int:
-    """Set the shuffle width for a job: tasks of about ``task_bytes``, at least one per core.
-
-    Adaptive execution merges small partitions afterwards but never adds any beyond this number.
-    """
-    width = max(spark.sparkContext.defaultParallelism, -(-shuffled_bytes // task_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    return width
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir``, or an own one in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -200,9 +200,9 @@ def preview(records: DataFrame, rows: int = 3) -> DataFrame:
 
 
 def spread_input(rows: DataFrame) -> DataFrame:
-    """For costly work per row: a table in fewer files than there are cores is dealt out over all of them.
+    """For costly work per row: a scan of fewer splits than there are cores is dealt out over all of them.
 
-    A table of many files is left as it is.
+    A table of any size that the scan splits as finely is left as it is.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

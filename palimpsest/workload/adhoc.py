@@ -63,6 +63,14 @@ def capped_select(spark, sf_dir):
     return adhoc.guarded_select(spark, sql, adhoc.RESULT_ROWS)
 
 
+@query("""
+SELECT CAST(json_object('o_orderkey', o_orderkey, 'o_orderpriority', o_orderpriority) AS VARCHAR) AS "row"
+FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 20""")
+def answer_rows(spark, sf_dir):
+    """Of a checked and capped result, the rows that an answer step is shown."""
+    return adhoc.answer_rows(capped_select(spark, sf_dir))
+
+
 @query("""
 SELECT s_suppkey AS id, n_name AS partido, n_regionkey AS "party_regiao" FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
 def party_join(spark, sf_dir):

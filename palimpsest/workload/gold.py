@@ -132,7 +132,7 @@ def gold_propositions(spark, sf_dir):
         "numero",
         "ementa",
         F.coalesce(time_text("dataApresentacao"), F.lit("unparsed")).alias("presented"),
-        F.coalesce(F.col("statusCodTipoTramitacao").cast("string"), F.lit("unparsed")).alias("step"),
+        F.col("statusCodTipoTramitacao").alias("step"),
         "keywords",
     )
 

@@ -348,16 +348,18 @@ def ingest_propositions(spark, sf_dir):
 @query("""
 WITH detail AS (SELECT o_custkey, count(*) AS orders FROM orders GROUP BY 1)
 SELECT 'snapshot_2024-02-01' AS file, c_custkey AS id, c_name AS nome,
-       coalesce(CAST(orders AS VARCHAR), 'none') AS orders, (SELECT count(*) FROM customer) AS known
+       coalesce(CAST(orders AS VARCHAR), 'none') AS orders, (SELECT count(*) FROM customer) AS known,
+       (SELECT count(*) FROM customer) AS ids
 FROM customer LEFT JOIN detail ON c_custkey = o_custkey""")
 def ingest_snapshot(spark, sf_dir):
-    """A snapshot run over all customers with their detail record, run twice on one day."""
+    """A snapshot run over all customers, each with its detail record twice, run twice on one day."""
     root, book = scratch_path(spark, "deputies"), scratch_path(spark, "runs")
     listed = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.concat(F.lit("/c/"), "c_custkey").alias("uri"), F.col("c_name").alias("nome")
     )
     counted = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
-    details = counted.select(F.concat(F.lit("/c/"), "o_custkey").alias("uri"), F.struct("orders").alias("detail"))
+    once = counted.select(F.concat(F.lit("/c/"), "o_custkey").alias("uri"), F.struct("orders").alias("detail"))
+    details = once.union(once)
     day = date(2024, 2, 1)
     for hour in (8, 9):
         ran_at = datetime(2024, 2, 1, hour, tzinfo=timezone.utc)
@@ -369,4 +371,5 @@ def ingest_snapshot(spark, sf_dir):
         F.col("summary.nome").alias("nome"),
         F.coalesce(F.col("detail.orders").cast("string"), F.lit("none")).alias("orders"),
         F.lit(last["new_records"]).alias("known"),
+        F.lit(ledger.read_ids(spark, book).filter(F.col("file") == last["file"]).count()).alias("ids"),
     )

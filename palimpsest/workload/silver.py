@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from palimpsest.operators.dedup import keep_first
 from palimpsest.operators.shaping import flatten, json_text, project, typed
 from palimpsest.plans import silver
-from palimpsest.plans.entities import SPECS, column_list
+from palimpsest.plans.entities import SPECS
 from palimpsest.workload.registry import bronze_record, day_text, query, table, time_text
 
 
@@ -39,14 +39,13 @@ def flatten_json(spark, sf_dir):
 SELECT c_custkey AS id, c_name AS nome, CAST(c_nationkey AS BIGINT) AS estado, c_mktsegment AS partido FROM customer""")
 def project_rename(spark, sf_dir):
     """Columns chosen, renamed and typed from a listing."""
-    listing = """
-        c_custkey -> id : bigint
-        c_name -> nome : string
-        c_nationkey -> estado : bigint
-        c_mktsegment -> partido : string
-    """
-    lines = "\n".join(line.strip() for line in listing.strip().splitlines())
-    return project(table(spark, sf_dir, "customer"), list(column_list(lines)))
+    columns = [
+        ("c_custkey", "id", "bigint", False),
+        ("c_name", "nome", "string", False),
+        ("c_nationkey", "estado", "bigint", False),
+        ("c_mktsegment", "partido", "string", False),
+    ]
+    return project(table(spark, sf_dir, "customer"), columns)
 
 
 _STAMP_SQL = """CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%d.%m.%Y')
@@ -244,7 +243,7 @@ propositions AS (
   SELECT f AS source_file, d.doc_id AS id, upper(lang) AS "siglaTipo", n_chars AS numero,
          CASE WHEN f = 'delta_2.json' AND quality = 0 THEN '* ' || text ELSE text END AS ementa,
          CASE WHEN lang = 'en' THEN '2024-01-02 03:04:00' ELSE 'unparsed' END AS presented,
-         CASE WHEN lang = 'fr' THEN 'unparsed' ELSE CAST(n_chars AS VARCHAR) END AS step, source AS keywords, lang
+         CAST(n_chars AS VARCHAR) || CASE WHEN lang = 'fr' THEN 'x' ELSE '' END AS step, source AS keywords, lang
   FROM documents d LEFT JOIN labels l USING (doc_id), (SELECT unnest(['delta_1.json', 'delta_2.json']) AS f)
   WHERE f = 'delta_2.json' OR quality IS NOT NULL
 )"""
@@ -253,7 +252,7 @@ propositions AS (
 @query(f"""WITH {PROPOSITIONS_SQL}
 SELECT source_file, id, "siglaTipo", numero, ementa, presented, step, keywords FROM propositions""")
 def silver_propositions(spark, sf_dir):
-    """Nested records flattened to the propositions' columns, timestamps and codes parsed or NULL."""
+    """Nested records flattened to the propositions' columns, timestamps parsed or NULL, codes as text."""
     rows = silver.transform_propositions(proposition_records(spark, sf_dir))
     return rows.select(
         "source_file",
@@ -262,7 +261,7 @@ def silver_propositions(spark, sf_dir):
         "numero",
         "ementa",
         F.coalesce(time_text("dataApresentacao"), F.lit("unparsed")).alias("presented"),
-        F.coalesce(F.col("statusCodTipoTramitacao").cast("string"), F.lit("unparsed")).alias("step"),
+        F.col("statusCodTipoTramitacao").alias("step"),
         "keywords",
     )
 

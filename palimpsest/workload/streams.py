@@ -16,13 +16,16 @@ from palimpsest.workload.registry import day_text, iso, query, table
 SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS batch, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE) DESC, event_id) = 1""")
 def stream_delta_current(spark, sf_dir):
-    """Events landed by day, streamed to a version log in several micro-batches, and its current rows."""
-    landed, log = scratch_path(spark, "landed"), scratch_path(spark, "log")
+    """Events landed by day, streamed to one version log by two streams, and its current rows."""
+    log = scratch_path(spark, "log")
     events = table(spark, sf_dir, "events").withColumn("batch", day_text("ts"))
-    events.drop("ts").write.partitionBy("batch").parquet(landed)
     schema = events.drop("ts", "batch").schema.add("batch", "string")
-    files = runs.stream_files(spark, landed, schema, "parquet", files_per_trigger=64)
-    runs.log_versions(files, log, scratch_path(spark, "stream")).awaitTermination()
+    # Two sources with a checkpoint each append to one log, the later days first.
+    for days in (F.col("batch") >= "2024-01-15", F.col("batch") < "2024-01-15"):
+        landed = scratch_path(spark, "landed")
+        events.filter(days).drop("ts").write.partitionBy("batch").parquet(landed)
+        files = runs.stream_files(spark, landed, schema, "parquet", files_per_trigger=64)
+        runs.log_versions(files, log, scratch_path(spark, "stream")).awaitTermination()
     return runs.current_of_log(spark, log, "user_id", "batch", "event_id").select(
         "event_id", "user_id", "batch", "event_type"
     )
@@ -33,15 +36,23 @@ SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS stamp, (SELECT count(*)
        (SELECT max(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')) FROM events) AS hwm
 FROM events""")
 def stream_ingest(spark, sf_dir):
-    """Incremental runs driven by a file stream, with batches and ledger as in the batch form."""
+    """Six files, the latest records first, one a micro-batch: batches, ledger and mark as in the batch form."""
     root, book, landed = (scratch_path(spark, p) for p in ("batches", "runs", "landed"))
     stamped = table(spark, sf_dir, "events").select("event_id", iso("ts").alias("stamp"))
-    stamped.write.parquet(landed)
-    files = runs.stream_files(spark, landed, stamped.schema, "parquet").select("event_id", "stamp")
-    query_ = runs.ingest_deltas(
-        files, "votings", "stamp", root, book, scratch_path(spark, "stream"), date(2024, 2, 10), 3
+    part = F.floor(F.dayofmonth(F.to_date(F.substring("stamp", 1, 10))) / 6)
+    for k in range(5, -1, -1):
+        stamped.filter(part == k).coalesce(1).write.mode("append").parquet(landed)
+    files = runs.stream_files(spark, landed, stamped.schema, "parquet", files_per_trigger=1)
+    runs.ingest_deltas(
+        files.select("event_id", "stamp"),
+        "votings",
+        "stamp",
+        root,
+        book,
+        scratch_path(spark, "stream"),
+        date(2024, 2, 10),
+        3,
     )
-    query_.awaitTermination()
     totals = ledger.running_totals(ledger.read_runs(spark, book)).agg(
         F.max("total_records_known").alias("known"), F.max("hwm").alias("hwm")
     )

@@ -210,5 +210,5 @@ def test_extractive_summary_by_hand(spark):
     rows = spark.createDataFrame(list(texts.items()), "id bigint, text string")
     wanted = sorted(by_hand(texts).items())
     assert tuples(extractive_summary(rows, "id", "text")) == sorted(wanted, key=repr)
-    salted = extractive_summary(rows, "id", "text", hot_rows=10, hot_keys=4, salts=3)
+    salted = extractive_summary(rows, "id", "text", hot={"the": 3_000_000})
     assert tuples(salted) == sorted(wanted, key=repr)

@@ -6,7 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.operators import watermark as wm
-from palimpsest.operators.joins import dimension_join, join_spreading_nulls, salted_join
+from palimpsest.operators.joins import (
+    dimension_join,
+    hot_keys_of,
+    join_spreading_nulls,
+    key_identity,
+    salted_join,
+)
 from palimpsest.operators.shaping import merge_detail
 from palimpsest.plans import bronze
 from palimpsest.sources import landing, ledger
@@ -101,7 +107,7 @@ def test_salted_join_equals_plain_join(spark):
     right = spark.range(40).select(F.col("id").cast("bigint").alias("k"), (F.col("id") * 10).alias("v"))
     twice = right.union(right.filter("k = 7"))
     for how in ("left", "inner"):
-        salted = salted_join(left, twice, "k", how, spread_by=["id"], hot_rows=100, hot_keys=3, salts=5)
+        salted = salted_join(left, twice, "k", how, hot_keys_of(left, "k", 20), ["id"], task_rows=10)
         assert tuples(salted, "id", "k", "v") == tuples(left.join(twice, "k", how), "id", "k", "v")
     with pytest.raises(ValueError):
         salted_join(left, right, "k", "full")
@@ -113,7 +119,7 @@ def test_salted_join_spreads_a_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = salted_join(left, right, "k", spread_by=["id"], hot_rows=100, salts=16)
+        joined = salted_join(left, right, "k", hot={7: 2000}, spread_by=["id"], task_rows=100)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -127,7 +133,9 @@ def test_salted_join_on_two_columns(spark):
     )
     right = left.filter("k < 2").groupBy("k", "b").agg(F.max("id").alias("v"))
     for how in ("left", "inner"):
-        salted = salted_join(left, right, ["k", "b"], how, hot_rows=100, salts=4)
+        hot = hot_keys_of(left, key_identity(["k", "b"]), 100)
+        assert len(hot) == 6
+        salted = salted_join(left, right, ["k", "b"], how, hot, task_rows=50)
         assert tuples(salted, "id", "v") == tuples(left.join(right, ["k", "b"], how), "id", "v")
 
 
@@ -228,20 +236,40 @@ def test_snapshot_of_the_same_day_replaces_the_first(spark, tmp_path):
 
 
 def test_hot_keys_are_found_without_a_shuffle_of_keys(spark):
-    from palimpsest.operators.joins import hot_keys_of
-
     rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
-    assert hot_keys_of(rows, "k", 1000, 5) == ["hot"]
-    assert hot_keys_of(rows, "k", 5000, 5) == []
-    assert hot_keys_of(rows.limit(0), "k", 1, 5) == []
+    assert hot_keys_of(rows, "k", 1000) == {"hot": 3000}
+    assert hot_keys_of(rows, "k", 5000) == {}
+    assert hot_keys_of(rows.limit(0), "k", 1) == {}
 
 
-def test_shuffle_width_follows_the_bytes(spark):
-    from palimpsest.session import fit_shuffles
+def test_no_hot_key_is_left_out(spark):
+    rows = spark.range(40_000).select((F.col("id") % 400).alias("k"))
+    assert hot_keys_of(rows, "k", 100) == {k: 100 for k in range(400)}
 
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert fit_shuffles(spark, 100 * 2**40) == 409600
-        assert fit_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+def test_joins_run_nothing_while_they_are_built(spark):
+    rows = spark.range(100).select("id", F.col("id").cast("string").alias("word"))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    salted_join(rows, rows.withColumnRenamed("word", "w"), "id")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_mark_misses_nothing_with_known_ids(spark):
+    rows = votings(spark, (1, "2024-01-02T10:00"), (2, "2024-01-02T10:00"), (3, "2024-01-03T10:00"), (4, "2024-01-01T10:00"))
+    known = spark.createDataFrame([(1,)], "id long")
+    fresh = bronze.new_records(rows, "dataHoraRegistro", "2024-01-02T10:00", 3, date(2024, 1, 31), known=known)
+    assert tuples(fresh, "id") == [(2,), (3,)]
+
+
+def test_snapshot_has_one_record_per_summary_and_keeps_its_ids(spark, tmp_path):
+    listed = spark.createDataFrame([(1, "/1"), (2, "/2")], "id long, uri string")
+    details = spark.createDataFrame([("/1", (5,)), ("/1", (4,)), ("/1", (5,))], "uri string, detail struct<id:int>")
+    book = str(tmp_path / "r")
+    row = bronze.ingest_snapshot(
+        spark, listed, details, "deputies", str(tmp_path / "b"), book, date(2024, 1, 1), datetime(2024, 1, 1, tzinfo=timezone.utc)
+    )
+    assert row["new_records"] == 2
+    assert tuples(ledger.read_ids(spark, book), "endpoint", "file", "id") == [
+        ("deputies", "snapshot_2024-01-01", "1"),
+        ("deputies", "snapshot_2024-01-01", "2"),
+    ]

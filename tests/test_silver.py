@@ -48,11 +48,11 @@ def test_propositions_parse_or_null(spark, fixtures):
     rows = silver.transform_propositions(read(spark, fixtures, "propositions"))
     shown = rows.filter("source_file = 'delta_20240101T000000Z.json'")
     assert tuples(shown, "id", "dataApresentacao", "statusDataHora", "statusCodTipoTramitacao") == [
-        (1, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 30), 502),
-        (2, None, datetime(2024, 1, 1, 10, 0, 30), None),
-        (3, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 30), 502),
-        (4, None, datetime(2024, 1, 1, 10, 0, 30), 502),
-        (5, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 30), 502),
+        (1, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 30), "502"),
+        (2, None, datetime(2024, 1, 1, 10, 0, 30), "none"),
+        (3, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 30), "502"),
+        (4, None, datetime(2024, 1, 1, 10, 0, 30), "502"),
+        (5, datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 30), "502"),
     ]
 
 
@@ -225,3 +225,46 @@ def test_empty_records_and_cut_files_are_refused(spark, tmp_path):
         (tmp_path / "cut.json").write_text(whole[: end if end > 9 else -end])
         with pytest.raises(ValueError, match="not a whole array"):
             landing.read_indented_batches(spark, str(tmp_path / "cut.json"), schema)
+
+
+def test_layout_decides_the_reader_and_no_size_the_rows(spark, tmp_path):
+    spec, bronze = SPECS["votings"], tmp_path / "bronze"
+    bronze.mkdir()
+    records = [{"id": f"r{i}", "descricao": 'a "[" }, { \n  } text'} for i in range(30)]
+    layouts = {"indented": dict(indent=2), "compact": {}, "wide": dict(indent=4), "tabs": dict(indent="\t")}
+    for k, options in enumerate(layouts.values()):
+        (bronze / f"delta_{k}.json").write_text(json.dumps(records, **options))
+    (bronze / "delta_8.json").write_text("[]")
+    (bronze / "delta_9.json").write_text("[\n]")
+    names = [str(p) for p in sorted(bronze.iterdir())]
+    assert landing.indented_files(spark, names) == {"delta_0.json"}
+    for k, most in enumerate((0, None)):
+        root, book = str(tmp_path / f"s{k}"), str(tmp_path / f"f{k}")
+        silver.run(spark, spec, str(bronze), root, book, AT, whole_bytes=most)
+        counts = silver.versions(spark, spec, root).groupBy("batch").count()
+        assert tuples(counts) == [(f"delta_{i}.json", 30) for i in range(4)]
+
+
+def test_a_malformed_file_is_set_aside_and_the_others_load(spark, tmp_path):
+    root, book = paths(tmp_path)
+    spec, bronze = SPECS["votings"], tmp_path / "bronze"
+    bronze.mkdir()
+    (bronze / "delta_1.json").write_text('[{"id": "a"}')
+    (bronze / "delta_2.json").write_text('[{"id": "b"}]')
+    (bronze / "delta_3.json").write_text('[{"id": "c", "aprovacao": {"no": "number"}}]')
+    assert tuples(silver.run(spark, spec, str(bronze), root, book, AT)) == [("delta_2.json", 1)]
+    assert tuples(silver.quarantined(spark, book), "file_name") == [("delta_1.json",), ("delta_3.json",)]
+    (bronze / "delta_1.json").write_text('[{"id": "a"}]')
+    assert tuples(silver.run(spark, spec, str(bronze), root, book, AT)) == [("delta_1.json", 1)]
+    assert tuples(silver.current(spark, spec, root), "id") == [("a",), ("b",)]
+
+
+def test_an_empty_file_leaves_an_overwrite_table(spark, tmp_path):
+    root, book = paths(tmp_path)
+    spec, bronze = SPECS["parties"], tmp_path / "bronze"
+    bronze.mkdir()
+    (bronze / "snapshot_1.json").write_text('[{"id": 1, "detail": {"sigla": "A"}}]')
+    silver.run(spark, spec, str(bronze), root, book, AT)
+    (bronze / "snapshot_2.json").write_text("[]")
+    assert silver.run(spark, spec, str(bronze), root, book, AT).count() == 0
+    assert tuples(silver.current(spark, spec, root), "id", "sigla") == [(1, "A")]

@@ -11,7 +11,7 @@ from palimpsest.operators import inherit as carry
 from palimpsest.operators.models import apply_model
 from palimpsest.operators.topics import nearest_topic
 from palimpsest.plans.entities import TOPICS
-from palimpsest.session import scratch_path
+from palimpsest.session import scratch_path, scratch_scope
 from palimpsest.sources.landing import BATCH, read_or_empty
 
 TOPIC, SCORE, SUMMARY = "tema_classificado", "tema_score", "resumo_executivo"
@@ -103,12 +103,13 @@ def _enrich(
     _keep(known.filter("inherited"), table, path, at)
     queue = queue_of(labelled().filter("is_current")).filter(F.col("id").isNotNull())
     sliced = queue.withColumn(SLICE, F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
-    folder = scratch_path(spark, "queue")
-    sliced.write.partitionBy(SLICE).parquet(folder)
-    kept = read_or_empty(spark, folder, sliced.schema)
-    sizes = {r[SLICE]: r["n"] for r in kept.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).collect()}
-    for part, rows in sorted(sizes.items()):
-        _keep(apply(kept.filter(F.col(SLICE) == part).drop(SLICE), _tasks(spark, rows)), table, path, at)
+    with scratch_scope(spark):
+        folder = scratch_path(spark, "queue")
+        sliced.write.partitionBy(SLICE).parquet(folder)
+        kept = read_or_empty(spark, folder, sliced.schema)
+        sizes = {r[SLICE]: r["n"] for r in kept.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).collect()}
+        for part, rows in sorted(sizes.items()):
+            _keep(apply(kept.filter(F.col(SLICE) == part).drop(SLICE), _tasks(spark, rows)), table, path, at)
 
 
 def classify_propositions(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folders: dict[str, str] = {}
+_scratch: list[str] = []
 
 
 def build_session(app: str = "palimpsest", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,7 +51,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch tables made inside once they have served, that is, once the results are written."""
+    before = len(_scratch)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in _scratch[before:]:
+            folder = hadoop.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        del _scratch[before:]
 
 
 def stored(rows: DataFrame, purpose: str) -> DataFrame:

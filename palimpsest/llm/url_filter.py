@@ -139,7 +139,10 @@ def judge_urls(
         F.col(id_col).alias("page_id"),
         host_of(url).alias("host"),
         path_of(url).alias("path"),
-        F.when(url.contains("://"), alias_key(url)).alias("key"),
+        # Rows without an address meet no alias, each under a key of its own.
+        F.when(url.contains("://"), alias_key(url))
+        .otherwise(F.concat(F.lit("://"), F.monotonically_increasing_id().cast("string")))
+        .alias("key"),
     ).select("*", rule_of(F.col("host"), F.col("path"), rules).alias("fit"))
     return rows.join(aliases, "key", "left").select(
         "page_id",

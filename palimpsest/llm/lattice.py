@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,7 +26,7 @@ from palimpsest.session import stored
 
 MODEL = "piece_bpe_32k.model"
 FOLDS, HELD_OUT = 7, 2
-FREQUENT = 100_000
+FREQUENT = 200_000
 DISCOUNT = 0.75
 START = "▁"
 END = "</s>"
@@ -46,7 +47,7 @@ def read_pieces(path: str) -> tuple[list[str], list[str], str]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ordinary = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
     ordinary.sort(key=lambda i: (-model.get_score(i), i))
-    return [model.id_to_piece(i) for i in ordinary], [f"<0x{b:02X}>" for b in range(256)], END
+    return [model.id_to_piece(i) for i in ordinary], BYTES, END
 
 
 def zipf(pieces: list[str], octets: list[str], end: str) -> dict[str, float]:
@@ -58,6 +59,10 @@ def zipf(pieces: list[str], octets: list[str], end: str) -> dict[str, float]:
 
 
 PREFIX = 1.0
+BYTES = [f"<0x{b:02X}>" for b in range(256)]
+BASE, SPREAD = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
+# Words of fewer characters go through the recursion together, so many at a time.
+LONG, TOGETHER = 48, 4096
 
 
 def total_log(terms: list[float]) -> float:
@@ -82,6 +87,10 @@ class Lattice:
                 self.table[piece[:n]] = PREFIX
         self.table.update(pieces)
         self.longest = max(map(len, pieces), default=1)
+        #: The same pieces by hash, for many words at a time.
+        self.pieces = sorted(pieces, key=hash_of)
+        self.hashes = np.array([hash_of(p) for p in self.pieces], np.uint64)
+        self.logs = np.array([pieces[p] for p in self.pieces])
 
     def spelled(self, char: str) -> tuple[float, list[str]]:
         """A character that is no piece, in bytes."""
@@ -146,6 +155,95 @@ class Lattice:
                             into[octet] += share
 
 
+    def edges(self, chars: np.ndarray):
+        """For each length, the piece that starts at each place of each word (-1: none) and its logarithm."""
+        found, rolling = [], None
+        for n in range(1, min(self.longest, chars.shape[1]) + 1):
+            last = chars[:, n - 1 :].astype(np.uint64) * SPREAD
+            rolling = last if rolling is None else rolling[:, :-1] * BASE + last
+            place = np.minimum(np.searchsorted(self.hashes, rolling), len(self.hashes) - 1)
+            place = np.where(self.hashes[place] == rolling, place, -1)
+            logs = np.where(place >= 0, self.logs[place], -np.inf)
+            if n == 1:
+                for i in np.unique(chars[place < 0]).tolist():
+                    logs[chars == i] = self.spelled(chr(i))[0]
+            found.append((place, logs))
+        return found
+
+    def forward(self, edges, width: int, length: int) -> np.ndarray:
+        alpha = np.full((width, length + 1), -np.inf)
+        alpha[:, 0] = 0.0
+        for j in range(1, length + 1):
+            terms = [alpha[:, j - n] + edges[n - 1][1][:, j - n] for n in range(1, min(j, len(edges)) + 1)]
+            alpha[:, j] = log_sum(terms)
+        return alpha
+
+    def log_words(self, words: list[str]) -> np.ndarray:
+        """``log_word`` of many words: those of one length run through the recursion together."""
+        out = np.zeros(len(words))
+        for places, chars in alike(words):
+            if chars is None:
+                out[places] = [self.log_word(words[i]) for i in places]
+            else:
+                out[places] = self.forward(self.edges(chars), *chars.shape)[:, -1]
+        return out
+
+    def expect_words(self, words: list[str], into: np.ndarray) -> None:
+        """Add the expected number of each piece, and behind them of each byte, in one occurrence of each word."""
+        for places, chars in alike(words):
+            if chars is None:
+                found: Counter = Counter()
+                for i in places:
+                    self.expect(words[i], 1, found)
+                into += np.array([found[p] for p in [*self.pieces, *BYTES]])
+                continue
+            edges, (width, length) = self.edges(chars), chars.shape
+            alpha = self.forward(edges, width, length)
+            beta = np.full((width, length + 1), -np.inf)
+            beta[:, length] = 0.0
+            for i in range(length - 1, -1, -1):
+                terms = [edges[n - 1][1][:, i] + beta[:, i + n] for n in range(1, min(length - i, len(edges)) + 1)]
+                beta[:, i] = log_sum(terms)
+            for n, (place, logs) in enumerate(edges, 1):
+                share = np.exp(alpha[:, : length - n + 1] + logs + beta[:, n:] - alpha[:, -1:])
+                known = place >= 0
+                into[: len(self.pieces)] += np.bincount(place[known], share[known], len(self.pieces))
+                if n == 1 and not known.all():
+                    for i in np.unique(chars[~known]).tolist():
+                        for octet in chr(i).encode("utf-8", "surrogatepass"):
+                            into[len(self.pieces) + octet] += share[chars == i].sum()
+
+
+def log_sum(terms: list[np.ndarray]) -> np.ndarray:
+    if len(terms) == 1:
+        return terms[0]
+    rows = np.stack(terms)
+    top = rows.max(axis=0)
+    return top + np.log(np.exp(rows - top).sum(axis=0))
+
+
+def hash_of(piece: str) -> int:
+    value = 0
+    for char in piece:
+        value = (value * int(BASE) + ord(char) * int(SPREAD)) % (1 << 64)
+    return value
+
+
+def alike(words: list[str]):
+    """(places, code points) of words of equal length, with the mark of a word's start; None for long words."""
+    lengths: dict[int, list[int]] = {}
+    for i, word in enumerate(words):
+        lengths.setdefault(min(len(word), LONG), []).append(i)
+    for length, places in lengths.items():
+        for at in range(0, len(places), TOGETHER):
+            some = places[at : at + TOGETHER]
+            if length == LONG:
+                yield some, None
+                continue
+            data = "".join([START + words[i] for i in some]).encode("utf-32-le", "surrogatepass")
+            yield some, np.frombuffer(data, np.uint32).reshape(len(some), length + 1)
+
+
 def words_of(text: str | None):
     """The words of a text in lists of bounded size: runs of anything but ASCII white space, A-Z lower-cased."""
     for words in word_blocks((text or "").encode("utf-8", "surrogatepass").lower()):
@@ -161,7 +259,7 @@ def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def count_task(batches):
-    """Word counts of a task, handed on whenever many are held."""
+    """Word counts of a task in the learning texts, 0 for words of other texts; handed on when many are held."""
     held: Counter = Counter()
 
     def flush():
@@ -172,36 +270,55 @@ def count_task(batches):
         return done
 
     for batch in batches:
-        for text in batch.column(0):
+        for held_out, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             for words in words_of(text.as_py()):
-                held.update(words)
+                if held_out:
+                    for word in words:
+                        held[word] += 0
+                else:
+                    held.update(words)
                 if len(held) > HELD_WORDS:
                     yield flush()
     yield flush()
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """word (its bytes) and c over the texts outside the held-out fold."""
-    counts = rows.where("not held_out").select("text").mapInArrow(count_task, "word binary, n long")
+    """Every word (its bytes) and c, its count in the texts outside the held-out fold."""
+    counts = rows.select("held_out", "text").mapInArrow(count_task, "word binary, n long")
     return counts.groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def expected_counts(counts: DataFrame, lattice: Lattice) -> dict[str, float]:
-    """Expected number of each piece over all distinct learning words: one row a piece and task, summed by Spark."""
-    shared = counts.sparkSession.sparkContext.broadcast(lattice)
+def decoded(words: pa.Array) -> list[str]:
+    return [w.decode("utf-8", "surrogatepass") for w in words.to_pylist()]
+
+
+def expected_counts(words: DataFrame, lattice: Lattice) -> dict[str, float]:
+    """Expected number of each piece over all given words: one row a piece and task, summed by Spark."""
+    shared = words.sparkSession.sparkContext.broadcast(lattice)
+    names = [*lattice.pieces, *BYTES]
 
     def run(batches):
-        found: Counter = Counter()
+        found = np.zeros(len(names))
         for batch in batches:
-            for word in batch.column(0).to_pylist():
-                shared.value.expect(word.decode("utf-8", "surrogatepass"), 1, found)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.float64())], ["piece", "n"]
-        )
+            shared.value.expect_words(decoded(batch.column(0)), found)
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(found[some])], ["piece", "n"])
 
-    sums = counts.select("word").mapInArrow(run, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+    sums = words.select("word").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
     # At most one row for each piece of the vocabulary.
-    return {r["piece"]: r["n"] for r in sums.collect()}
+    return {names[r["piece"]]: r["n"] for r in sums.collect()}
+
+
+def with_logs(words: DataFrame, lattice: Lattice) -> DataFrame:
+    """word, c and log, the log10 of the word's marginal probability over its pieces."""
+    shared = words.sparkSession.sparkContext.broadcast(lattice)
+
+    def run(batches):
+        for batch in batches:
+            logs = shared.value.log_words(decoded(batch.column(0))) / math.log(10)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(logs)], ["word", "c", "log"])
+
+    return words.select("word", "c").mapInArrow(run, "word binary, c long, log double")
 
 
 def fit_lattice(counts: DataFrame, path: str, steps: int) -> Lattice:
@@ -215,61 +332,50 @@ def fit_lattice(counts: DataFrame, path: str, steps: int) -> Lattice:
     return Lattice(probability)
 
 
-PARTIAL = "n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,tf:int,log:double>>"
-
+PARTIAL = "n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,tf:int>>"
 
-def partial_scores(
-    rows: DataFrame, lattice: Lattice, frequent: dict[bytes, int], ends: int, smoothing: float, total: int, share: float
-) -> DataFrame:
-    """Per text what the broadcast models tell, and the words whose counts are still to be met."""
-    context = rows.sparkSession.sparkContext
-    shared = context.broadcast((lattice, frequent))
-    ln10 = math.log(10)
-    log_share = math.log10(share)
 
-    def both(c: int, spelled: float) -> float:
-        return math.log10(max(c - DISCOUNT, 0) / max(total, 1) + share * spelled)
+def partial_scores(rows: DataFrame, frequent: dict[bytes, tuple], end: tuple) -> DataFrame:
+    """Per text the sums over its end and its frequent words, and the words whose counts are still to be met.
 
-    def known_word(c: int, log: float) -> float:
-        """log10 of a word's whole edge and its pieces together."""
-        return both(c, 10**log) if c else log_share + log
+    ``frequent`` has a word's add-one logarithm and its score, ``end`` whether it is known, and the same two.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(frequent)
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"]
 
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int32()), ("log", pa.float64())]))
+    def pack(out, words, tfs, sizes, kind):
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32))
+        pairs = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(tfs, pa.int32())], ["word", "tf"])
+        kinds = [kind, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        columns = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, pairs)], names)
 
     def run(batches):
-        model, known = shared.value
-        memo: dict[bytes, tuple] = {}
-        end_log = both(ends, 10 ** (model.end / ln10))
+        known = shared.value
         for batch in batches:
-            out = []
-            for text in batch.column(2):
-                n, seen, base, score = 1, int(ends > 0), math.log10(ends + 1), end_log
+            kind = batch.column(0).type
+            out, rare_words, tfs, sizes = [], [], [], []
+            for doc_id, held_out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                n, seen, base, score = 1, *end
                 rare: Counter = Counter()
                 for words in words_of(text.as_py()):
                     n += len(words)
                     for word, tf in Counter(words).items():
-                        found = memo.get(word)
+                        found = known.get(word)
                         if found is None:
-                            if len(memo) > HELD_WORDS:
-                                memo.clear()
-                            log, c = model.log_word(word.decode("utf-8", "surrogatepass")) / ln10, known.get(word, 0)
-                            found = memo[word] = (log, c, known_word(c, log), math.log10(c + 1))
-                        log, c, whole, add_one = found
-                        score += tf * whole
-                        if c:
-                            seen += tf
-                            base += tf * add_one
+                            rare[word] += tf
                         else:
-                            rare[word, log] += tf
-                out.append((n, seen, base - n * smoothing, score, [{"word": w, "tf": tf, "log": x} for (w, x), tf in rare.items()]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    *[pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare_type))],
-                ],
-                ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"],
-            )
+                            seen += tf
+                            base += tf * found[0]
+                            score += tf * found[1]
+                out.append((doc_id, held_out, n, seen, base, score))
+                rare_words += rare.keys()
+                tfs += rare.values()
+                sizes.append(len(rare))
+                if len(tfs) > HELD_WORDS:
+                    yield pack(out, rare_words, tfs, sizes, kind)
+                    out, rare_words, tfs, sizes = [], [], [], []
+            yield pack(out, rare_words, tfs, sizes, kind)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, {PARTIAL}")
@@ -292,37 +398,50 @@ def lm_scores(
     """
     rows = text_rows(docs, id_col, text_col)
     counts = stored(word_counts(rows), "word-counts")
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    learned = counts.where("c > 0")
+    sums = learned.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     ends = rows.where("not held_out").count()
     total, distinct = sums[0] + ends, sums[1] + (ends > 0)
-    lattice = fit_lattice(counts, model_path or default_model(), steps)
-    most = counts.where(F.col("c") * frequent > total).toArrow()
-    known = dict(zip(most.column("word").to_pylist(), most.column("c").to_pylist()))
+    lattice = fit_lattice(learned, model_path or default_model(), steps)
+    words = stored(with_logs(counts, lattice), "words")
     smoothing = math.log10(total + distinct + 1)
     share = DISCOUNT * distinct / total if total else 1.0
-    scored = partial_scores(rows, lattice, known, ends, smoothing, total, share)
-    partial = stored(scored.withColumn("row", F.monotonically_increasing_id()), "partial-scores")
+
+    def scored(c: int, log: float) -> float:
+        """log10 of a word's whole edge and its pieces together."""
+        return math.log10((c - DISCOUNT) / total + share * 10**log) if c else math.log10(share) + log
+
+    most = words.where(F.col("c") * frequent > total).toArrow()
+    known = {
+        word: (math.log10(c + 1), scored(c, log))
+        for word, c, log in zip(*[most.column(n).to_pylist() for n in ("word", "c", "log")])
+    }
+    end = (int(ends > 0), math.log10(ends + 1), scored(ends, lattice.end / math.log(10)))
+    partial = stored(
+        partial_scores(rows, known, end).withColumn("row", F.monotonically_increasing_id()), "partial-scores"
+    )
     rare = partial.select("row", F.explode("rare").alias("at")).select("row", "at.*")
-    edge = (F.col("c") - DISCOUNT) / F.lit(float(total))
-    # What the whole word's edge adds to its pieces' log10 probability.
-    gain = F.log10(edge / (share * F.pow(F.lit(10.0), "log")) + 1)
+    # The logarithm of the sum of both edges, by what the whole word's adds to its pieces'.
+    edge = F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / F.lit(float(max(total, 1)))
+    pieces = F.col("log") + math.log10(share)
+    both = F.when(F.col("c") > 0, pieces + F.log10(edge / F.pow(F.lit(10.0), pieces) + 1)).otherwise(pieces)
     met = (
-        rare.join(counts.where(F.col("c") * frequent <= total), "word")
+        rare.join(words.where(F.col("c") * frequent <= total), "word")
         .groupBy("row")
         .agg(
-            F.sum("tf").alias("known"),
-            F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("log"),
-            F.sum(F.col("tf") * gain).alias("gain"),
+            F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("rare_known"),
+            F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("rare_base"),
+            F.sum(F.col("tf") * both).alias("rare_score"),
         )
     )
     return partial.drop("rare").join(met, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("log", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"),
+        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * smoothing).alias("base_score"),
+        (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"),
     )
 
 

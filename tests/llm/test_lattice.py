@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from palimpsest.llm import lattice as module
@@ -110,4 +111,17 @@ def test_edges(spark):
 def test_word_counts_are_handed_on(spark, monkeypatch):
     rows = module.text_rows(documents(spark, ROWS), "doc_id", "text")
     got = {bytes(r.word): r.c for r in module.word_counts(rows).collect()}
-    assert got == dict(plain(ROWS)[1])
+    counts = plain(ROWS)[1]
+    assert {w: c for w, c in got.items() if c} == dict(counts)
+    assert set(got) == {w for _, t in ROWS for w in (t or "").encode().lower().split()}
+
+
+def test_many_words_at_a_time_are_each_as_alone():
+    words = ["a", "ab", "abab", "aébab", "é", "x", "bab" * 40, "", "ba", "aé" * 30, "\U0001f600a"]
+    model = Lattice(small())
+    assert model.log_words(words).tolist() == pytest.approx([model.log_word(w) for w in words], rel=1e-9)
+    alone, together = Counter(), np.zeros(len(model.pieces) + 256)
+    for word in words:
+        model.expect(word, 1, alone)
+    model.expect_words(words, together)
+    assert together.tolist() == pytest.approx([alone[p] for p in [*model.pieces, *module.BYTES]], rel=1e-9)

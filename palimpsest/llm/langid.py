@@ -330,7 +330,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         .groupBy("lang_pred")
         .agg(F.percentile_approx("cross_entropy", REJECT, 10_000).alias("most"))
     )
-    return scored.join(limits, "lang_pred", "left").select(
+    # One row for each learned language.
+    return scored.join(F.broadcast(limits), "lang_pred", "left").select(
         "doc_id",
         "held_out",
         "lang_pred",

@@ -23,6 +23,8 @@ BLANK = " \t\n\r\x0b\x0c"
 #: Line ends before a line with words: lines without words belong to the line before them.
 BREAK = r"\n(?=[ \t\r\x0B\f]*[^ \t\n\r\x0B\f])"
 WORD = r"[^\x20\x09-\x0D]+"
+#: What else than single spaces may stand between words.
+WIDE = r"  |[\x09-\x0D]"
 
 
 def doc_key(id_col: str, text_col: str) -> Column:
@@ -37,11 +39,17 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         docs.select(doc_key(id_col, text_col).alias("doc"), F.posexplode(bodies).alias("line", "body"))
         .where("body <> ''")
         .select(
-            "doc", "line", F.unhex(F.md5("body")).alias("id"), F.regexp_count("body", F.lit(WORD)).alias("words")
+            "doc", "line", F.unhex(F.md5("body")).alias("id"), words_in(F.col("body")).alias("words")
         )
     )
 
 
+def words_in(body: Column) -> Column:
+    """Words of a line without white space at its ends; most have single spaces, which need no matching."""
+    spaces = F.octet_length(body) - F.octet_length(F.replace(body, F.lit(" "), F.lit("")))
+    return F.when(body.rlike(WIDE), F.regexp_count(body, F.lit(WORD))).otherwise(spaces + 1)
+
+
 def stretches_of(lines: DataFrame, min_words: int) -> DataFrame:
     """Longest stretches of repeated lines, in document order: sid, doc and an array of their lines."""
     repeated = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")

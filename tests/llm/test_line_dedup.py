@@ -2,8 +2,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from palimpsest.llm.line_dedup import line_dedup
+from palimpsest.llm.line_dedup import line_dedup, words_in
 from tests.llm.helpers import documents, with_clashes
 
 
@@ -87,3 +88,9 @@ def test_repeated_rows_are_one_document(spark):
     text = "word " * 60 + "\nmore " + "words " * 60
     got = found(documents(spark, [(1, text), (1, text), (2, text)]), 50)
     assert got == [(1, text, 0), (1, text, 0), (2, "", 2)]
+
+
+def test_words_are_counted_whatever_is_between(spark):
+    lines = ["a", "a b", "a  b", "a\tb c", "é ü\x0bx", "a \t b", "a\x0cb"]
+    got = spark.createDataFrame([(t,) for t in lines], "body string").select("body", words_in(F.col("body")).alias("n"))
+    assert {r.body: r.n for r in got.collect()} == {t: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in lines}

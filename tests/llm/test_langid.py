@@ -112,3 +112,45 @@ def test_nothing_learned(spark):
     assert identify(documents(spark, [], KIND)).count() == 0
     only = identify(documents(spark, [(1, "some text", None)], KIND)).collect()
     assert [(r.lang_pred, r.score) for r in only] == [("und", 0.0)]
+
+
+def test_trigram_counts_are_exact(spark, monkeypatch):
+    letters = " abcdefghijklmnopqrstuvwxyz"
+    rng = random.Random(7)
+    # 'xgh' and 'xie', 'tha' and 'vea': neighbours by any remainder of their keys.
+    odd = [("en", "xgh xie tha vea"), ("zh", "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(4000)))]
+    rows = odd + [(lang, "".join(rng.choice(letters) for _ in range(3000))) for lang in WORDS]
+    wanted = {}
+    for lang, text in rows:
+        plain = "  " + " ".join(text.split()) + " "
+        for at in range(len(plain) - 2):
+            if plain[at + 1 : at + 3] != "  ":
+                key = (lang, *map(ord, plain[at : at + 3]))
+                wanted[key] = wanted.get(key, 0) + 1
+    for held in (1 << 22, 100):
+        monkeypatch.setattr(langid, "HELD_KEYS", held)
+        docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+        got = langid.trigram_counts(docs).collect()
+        assert {(r.lang, r.key >> 42, r.key >> 21 & 0x1FFFFF, r.key & 0x1FFFFF): r.n for r in got} == wanted
+        assert len(got) == len(wanted)
+
+
+@pytest.mark.parametrize("sent", [0, 400])
+def test_joined_form_is_the_same_model(spark, monkeypatch, sent):
+    odd = [(900, None, "en"), (901, "", "en"), (902, "123 ?!", None), (903, "xyz " * 5000, None), (904, "漢字 かな", None), (None, "the rain", "en"), (3, "der regen", "de")]
+    docs = with_clashes(documents(spark, corpus(120) + odd, KIND))
+
+    def found():
+        rows = identify(docs).collect()
+        return sorted(rows, key=lambda r: (r.doc_id is None, r.doc_id, r.cross_entropy or 0))
+
+    wanted = found()
+    monkeypatch.setattr(langid, "SENT", sent)
+    monkeypatch.setattr(langid, "judged_by_arrays", None)
+    got = found()
+    assert len(got) == len(wanted) == 127
+    for a, b in zip(got, wanted):
+        assert (a.doc_id, a.held_out, a.lang_pred, a.rejected) == (b.doc_id, b.held_out, b.lang_pred, b.rejected)
+        assert np.isclose(a.score, b.score, rtol=1e-6)
+        assert (a.cross_entropy is None) == (b.cross_entropy is None)
+        assert a.cross_entropy is None or np.isclose(a.cross_entropy, b.cross_entropy, rtol=1e-9)

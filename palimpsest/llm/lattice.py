@@ -409,7 +409,11 @@ def lm_scores(
 
     def scored(c: int, log: float) -> float:
         """log10 of a word's whole edge and its pieces together."""
-        return math.log10((c - DISCOUNT) / total + share * 10**log) if c else math.log10(share) + log
+        pieces = math.log10(share) + log
+        if not c:
+            return pieces
+        edge = math.log10((c - DISCOUNT) / total)
+        return max(edge, pieces) + math.log10(1 + 10 ** -abs(edge - pieces))
 
     most = words.where(F.col("c") * frequent > total).toArrow()
     known = {
@@ -421,10 +425,12 @@ def lm_scores(
         partial_scores(rows, known, end).withColumn("row", F.monotonically_increasing_id()), "partial-scores"
     )
     rare = partial.select("row", F.explode("rare").alias("at")).select("row", "at.*")
-    # The logarithm of the sum of both edges, by what the whole word's adds to its pieces'.
-    edge = F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / F.lit(float(max(total, 1)))
+    # The logarithm of the sum of both edges, by what the smaller adds to the larger: a long word's pieces are below
+    # the least double.
+    edge = F.log10(F.greatest(F.col("c") - DISCOUNT, F.lit(1 - DISCOUNT)) / F.lit(float(max(total, 1))))
     pieces = F.col("log") + math.log10(share)
-    both = F.when(F.col("c") > 0, pieces + F.log10(edge / F.pow(F.lit(10.0), pieces) + 1)).otherwise(pieces)
+    larger = F.greatest(edge, pieces) + F.log10(F.pow(F.lit(10.0), -F.abs(edge - pieces)) + 1)
+    both = F.when(F.col("c") > 0, larger).otherwise(pieces)
     met = (
         rare.join(words.where(F.col("c") * frequent <= total), "word")
         .groupBy("row")

@@ -125,3 +125,24 @@ def test_many_words_at_a_time_are_each_as_alone():
         model.expect(word, 1, alone)
     model.expect_words(words, together)
     assert together.tolist() == pytest.approx([alone[p] for p in [*model.pieces, *module.BYTES]], rel=1e-9)
+
+
+@pytest.mark.parametrize("frequent", [100_000, 1])
+def test_long_learned_words_have_a_finite_score(spark, frequent):
+    learned, held = ([i for i in range(100, 200) if (zlib.crc32(str(i).encode()) % 7 == 2) == h] for h in (False, True))
+    lengths = [n for n in range(60, 501, 20)]
+    long_words = ["".join(chr(0x4E00 + 7 * (i * n) % 5000) for i in range(n)) for n in lengths]
+    extra = [(learned[0], " ".join(long_words)), *((held[i % len(held)] + 1000 * i, w) for i, w in enumerate(long_words))]
+    rows = ROWS + extra
+    _, counts, ends, total, distinct = plain(rows)
+    got = by_id(lm_scores(documents(spark, rows), frequent=frequent, steps=0), "score")
+    model, share = Lattice(zipf(*read_pieces(default_model()))), math.log10(DISCOUNT * distinct / total)
+    assert model.log_word(long_words[-1]) / math.log(10) < -330
+
+    def edge(c, log):
+        pieces = share + log / math.log(10)
+        return math.log10((c - DISCOUNT) / total + (10**pieces if pieces > -300 else 0)) if c else pieces
+
+    for i, text in extra:
+        wanted = sum(edge(counts[w], model.log_word(w.decode())) for w in text.encode().lower().split()) + edge(ends, model.end)
+        assert math.isclose(got[i], wanted, rel_tol=1e-9)

@@ -98,7 +98,7 @@ def run(
     nothing = spark.createDataFrame([], "batch string, rows long")
     if not listed:
         return nothing
-    bad = landing.malformed_files(spark, [f"{bronze}/{r['file_name']}" for r in listed], spec.bronze_schema())
+    split, bad = _checked(spark, spec, bronze, listed, whole_bytes)
     if bad:
         aside = [(r["file_name"], r["modified_at"], r["length"]) for r in listed if r["file_name"] in bad]
         rows = spark.createDataFrame(aside, "file_name string, modified_at timestamp, length long")
@@ -106,7 +106,7 @@ def run(
     good = [r for r in listed if r["file_name"] not in bad]
     if not good:
         return nothing
-    rows = transform(_scan(spark, spec, bronze, good, whole_bytes), spec)
+    rows = transform(_scan(spark, spec, bronze, good, split), spec)
     if dry_run:
         return landing.preview(rows)
     if spec.strategy == "overwrite" and rows.isEmpty():
@@ -114,7 +114,7 @@ def run(
     again = [r for r in good if r["again"] and spec.strategy != "overwrite"]
     if again:
         # A batch delivered again may now be empty: what an earlier load left of it goes.
-        filled = {r[0] for r in _scan(spark, spec, bronze, again, whole_bytes).select(SOURCE_FILE).distinct().collect()}
+        filled = {r[0] for r in _scan(spark, spec, bronze, again, split).select(SOURCE_FILE).distinct().collect()}
         emptied = [r["file_name"] for r in again if r["file_name"] not in filled]
         landing.remove_batches(spark, f"{root}/{spec.table}", emptied)
     load(rows, spec, root, loaded_at)
@@ -173,16 +173,33 @@ def run_batches(
     return counts.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _scan(
-    spark: SparkSession, spec: TableSpec, bronze: str, files: list, whole_bytes: int | None = None
-) -> DataFrame:
-    """Records of the listed files, the large ones split if their layout allows it."""
+def _checked(
+    spark: SparkSession, spec: TableSpec, bronze: str, files: list, whole_bytes: int | None
+) -> tuple[set[str], set[str]]:
+    """Names of the large files whose layout allows to split them, and of all malformed files.
+
+    A file that is read in pieces is checked in pieces; only files that one task reads anyway are parsed whole.
+    """
     most = WHOLE_FILE_BYTES if whole_bytes is None else whole_bytes
     paths = {f["file_name"]: f"{bronze}/{f['file_name']}" for f in files}
     large = [paths[f["file_name"]] for f in files if f["length"] > most]
     split = landing.indented_files(spark, large) if large else set()
+    bad = set()
+    if split:
+        bad, several = landing.checked_pieces(spark, [paths[n] for n in sorted(split)], spec.bronze_schema())
+        split -= several
+    whole = [path for name, path in paths.items() if name not in split]
+    if whole:
+        bad |= landing.malformed_files(spark, whole, spec.bronze_schema())
+    return split, bad
+
+
+def _scan(spark: SparkSession, spec: TableSpec, bronze: str, files: list, split: set[str]) -> DataFrame:
+    """Records of the listed files, those in ``split`` read in pieces."""
+    paths = {f["file_name"]: f"{bronze}/{f['file_name']}" for f in files}
     whole = [path for name, path in paths.items() if name not in split]
+    pieces = [path for name, path in paths.items() if name in split]
     schema = spec.bronze_schema()
     parts = [landing.read_json_batches(spark, whole, schema)] if whole else []
-    parts += [landing.read_indented_batches(spark, [paths[n] for n in sorted(split)], schema)] if split else []
+    parts += [landing.read_indented_batches(spark, pieces, schema)] if pieces else []
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

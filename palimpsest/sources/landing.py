@@ -46,6 +46,30 @@ def read_json_batches(
     )
 
 
+def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Texts between the records' ends and beginnings in array files indented by two."""
+    return spark.read.option("lineSep", "\n  },\n  {").text(path).select(
+        "value", F.col("_metadata.file_name").alias(SOURCE_FILE), file_ordinal().alias(ORDINAL)
+    )
+
+
+def _closed():
+    return F.col("value").rlike(r"(^\s*\[\s*|\n  \}\n)\]\s*$")
+
+
+def _opened():
+    return F.col("value").rlike(r"^(\[\n  \{)?\n")
+
+
+def _empty():
+    return F.col("value").rlike(r"^\s*(\[\s*\]\s*)?$")
+
+
+def _body(text):
+    """A piece without the array's brackets and its record's braces."""
+    return F.regexp_replace(F.regexp_replace(text, r"^\[\n  \{", ""), r"\n  \}\n\]\s*$", "")
+
+
 def read_indented_batches(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """The same for large array files in the layout of the batch writer: one array, indented by two blanks.
 
@@ -54,21 +78,16 @@ def read_indented_batches(spark: SparkSession, path: str | list[str], schema: T.
     layout or with a malformed record stops the read. So does a file that was cut off, found by a first pass
     for its closing bracket.
     """
-    pieces = spark.read.option("lineSep", "\n  },\n  {").text(path).select(
-        "value", F.col("_metadata.file_name").alias(SOURCE_FILE), file_ordinal().alias(ORDINAL)
-    )
+    pieces = _pieces(spark, path)
     text = F.col("value")
-    closed = F.max(text.rlike(r"(^\s*\[\s*|\n  \}\n)\]\s*$"))
-    cut = pieces.groupBy(SOURCE_FILE).agg(closed.alias("closed")).filter("not closed").first()
+    cut = pieces.groupBy(SOURCE_FILE).agg(F.max(_closed()).alias("closed")).filter("not closed").first()
     if cut:
         raise ValueError(f"not a whole array indented by two: {cut[SOURCE_FILE]}")
-    empty = text.rlike(r"^\s*(\[\s*\]\s*)?$")
-    checked = F.when(text.rlike(r"^(\[\n  \{)?\n"), text).otherwise(
+    checked = F.when(_opened(), text).otherwise(
         F.raise_error(F.concat(F.lit("not an array indented by two: "), SOURCE_FILE))
     )
-    body = F.regexp_replace(F.regexp_replace(checked, r"^\[\n  \{", ""), r"\n  \}\n\]\s*$", "")
-    record = F.from_json(F.concat(F.lit("{"), body, F.lit("}")), schema, {"mode": "FAILFAST"})
-    return pieces.filter(~empty).select(record.alias("_record"), SOURCE_FILE, ORDINAL).select(
+    record = F.from_json(F.concat(F.lit("{"), _body(checked), F.lit("}")), schema, {"mode": "FAILFAST"})
+    return pieces.filter(~_empty()).select(record.alias("_record"), SOURCE_FILE, ORDINAL).select(
         "_record.*", SOURCE_FILE, ORDINAL
     )
 
@@ -122,6 +141,37 @@ def malformed_files(
     return {r["file_name"] for r in bad.filter("bad").select("file_name", "row").collect()}
 
 
+def checked_pieces(spark: SparkSession, paths: list[str], schema: T.StructType) -> tuple[set[str], set[str]]:
+    """Of files that ``indented_files`` named: those with a malformed record or cut off, and those with a piece that
+    is not one record. Every piece is parsed by itself, so a file's check splits like its read.
+    """
+    corrupt = "_malformed"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+
+    def parsed(text, kind: T.StructType):
+        return F.from_json(text, T.StructType([*kind.fields, T.StructField(corrupt, T.StringType())]), options)
+
+    body = _body(F.col("value"))
+    record = parsed(F.concat(F.lit("{"), body, F.lit("}")), schema)
+    # A parser stops at the end of a record: what stands behind it shows in the array around it.
+    around = T.StructType().add("records", T.ArrayType(T.StringType())).add("end", T.IntegerType())
+    whole = parsed(F.concat(F.lit('{"records":[{'), body, F.lit('}],"end":1}')), around)
+    pieces = _pieces(spark, paths).select(
+        SOURCE_FILE, _closed().alias("closed"), _opened().alias("opened"), _empty().alias("empty"),
+        record.alias("record"), whole.alias("whole"),
+    )
+    broken = F.col(f"whole.{corrupt}").isNotNull() | F.col("whole.end").isNull()
+    several = ~broken & (F.size("whole.records") != 1)
+    wrong = ~F.col("opened") | broken | F.col(f"record.{corrupt}").isNotNull()
+    files = pieces.groupBy(SOURCE_FILE).agg(
+        (~F.max("closed") | F.max(~F.col("empty") & ~several & wrong)).alias("bad"),
+        F.max(~F.col("empty") & several).alias("several"),
+    )
+    found = files.filter("bad or several").collect()
+    several_in = {r[SOURCE_FILE] for r in found if r["several"]}
+    return {r[SOURCE_FILE] for r in found} - several_in, several_in
+
+
 def remove_batches(spark: SparkSession, root: str, names: list[str]) -> None:
     """Drop whole batches of a table; a file operation for each, no job."""
     jvm = spark.sparkContext._jvm

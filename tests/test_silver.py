@@ -268,3 +268,26 @@ def test_an_empty_file_leaves_an_overwrite_table(spark, tmp_path):
     (bronze / "snapshot_2.json").write_text("[]")
     assert silver.run(spark, spec, str(bronze), root, book, AT).count() == 0
     assert tuples(silver.current(spark, spec, root), "id", "sigla") == [(1, "A")]
+
+
+def test_large_files_are_checked_in_pieces(spark, tmp_path, monkeypatch):
+    root, book = paths(tmp_path)
+    spec, bronze = SPECS["votings"], tmp_path / "bronze"
+    bronze.mkdir()
+    text = json.dumps([{"id": f"r{i}", "aprovacao": i % 2} for i in range(5)], indent=2)
+    changes = {
+        "good": text,
+        "number": text.replace('"aprovacao": 1', '"aprovacao": {"no": "number"}', 1),
+        "junk": text.replace('"id": "r2",', '"id": "r2"}} junk', 1),
+        "tail": text.replace('"aprovacao": 0\n  },', '"aprovacao": 0} junk\n  },', 1),
+        "several": text.replace('"id": "r2",', '"id": "r2"}, {"id": "r9",', 1),
+    }
+    for name, changed in changes.items():
+        (bronze / f"delta_{name}.json").write_text(changed)
+    (bronze / "delta_compact.json").write_text('[{"id": "c"}]')
+    read_whole, plain = [], landing.malformed_files
+    monkeypatch.setattr(landing, "malformed_files", lambda s, p, k: read_whole.extend(p) or plain(s, p, k))
+    loaded = tuples(silver.run(spark, spec, str(bronze), root, book, AT, whole_bytes=0))
+    assert loaded == [("delta_compact.json", 1), ("delta_good.json", 5), ("delta_several.json", 6)]
+    assert tuples(silver.quarantined(spark, book), "file_name") == [(f"delta_{n}.json",) for n in ("junk", "number", "tail")]
+    assert {p.rsplit("/", 1)[1] for p in read_whole} == {"delta_compact.json", "delta_several.json"}

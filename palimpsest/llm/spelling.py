@@ -395,14 +395,14 @@ hashed AS (SELECT run, n, xor(list_reduce(
 texts AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
           ELSE run END AS word, n FROM hashed),
 words AS (SELECT word, sum(n)::BIGINT AS n FROM texts WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
-shorter AS (SELECT DISTINCT word, n, at, substr(word, 1, at - 1) || substr(word, at + 1) AS rest
-  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS at FROM words)),
+shorter AS (SELECT DISTINCT word, n, spot, substr(word, 1, spot - 1) || substr(word, spot + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS spot FROM words)),
 near AS (
   SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM shorter a JOIN words b ON a.rest = b.word
   UNION
   SELECT DISTINCT b.word, b.n, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word
   UNION
-  SELECT DISTINCT a.word, a.n, b.word, b.n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.at = b.at AND a.word <> b.word),
+  SELECT DISTINCT a.word, a.n, b.word, b.n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.spot = b.spot AND a.word <> b.word),
 best AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other,
          first(other_n ORDER BY other_n DESC, other) AS other_n FROM near GROUP BY word),
 forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,

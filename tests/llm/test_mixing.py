@@ -1,0 +1,131 @@
+import random
+import re
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from palimpsest.llm.mixing import flight, land, mix_plan, mixed
+from tests.llm.helpers import with_clashes
+
+KIND = "doc_id long, text string, source string"
+
+
+def docs(spark, rows):
+    return spark.createDataFrame(rows, KIND)
+
+
+def size(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def plain_targets(rows, most=3):
+    """Targets by sharing again what is above a limit, in exact fractions."""
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += size(text)
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: k % 3 + 1 for k, s in enumerate(order)}
+    total = sum(sizes.values())
+    targets = {s: Fraction(total * weight[s], sum(weight.values())) for s in order}
+    while True:
+        above = {s for s in order if targets[s] > most * sizes[s]}
+        if not above:
+            return sizes, targets
+        excess = sum(targets[s] - most * sizes[s] for s in above)
+        for s in above:
+            targets[s] = Fraction(most * sizes[s])
+        rest = [s for s in order if targets[s] < most * sizes[s]]
+        for s in rest:
+            targets[s] += excess * weight[s] / sum(weight[r] for r in rest)
+
+
+def sample(seed, sources, n=600):
+    rng = random.Random(seed)
+    shares = [rng.random() ** 3 + 0.01 for _ in sources]
+    out = []
+    for i in range(n):
+        words = int(rng.lognormvariate(2.5, 1.2))
+        out.append((i, rng.choice([" ", "\n", " \t"]).join(["Wort"] * words) or None, rng.choices(sources, shares)[0]))
+    return out
+
+
+def check(rows, got, near=0.02):
+    sizes, targets = plain_targets(rows)
+    assert sorted(((r.doc_id, r.source, r.size) for r in got), key=repr) == sorted(((i, s, size(t)) for i, t, s in rows), key=repr)
+    taken, documents = Counter(), Counter()
+    for r in got:
+        assert r.source_size == sizes[r.source]
+        assert abs(r.target - float(targets[r.source])) <= 1e-9 * max(1.0, r.target)
+        assert 0 <= r.copies <= 3
+        rate = float(targets[r.source] / sizes[r.source]) if sizes[r.source] else 0
+        assert int(rate + 1e-9) <= r.copies <= int(rate - 1e-9) + 1
+        taken[r.source] += r.copies * r.size
+        documents[r.source] += r.copies
+    for s, target in targets.items():
+        count = sum(1 for _, _, x in rows if x == s)
+        rate = float(target / sizes[s]) if sizes[s] else 0
+        room = near * float(target) + 3 if count > 20 else max(size(t) for _, t, x in rows if x == s) / 2 + 3
+        assert abs(taken[s] - float(target)) <= room, s
+        if count > 20:
+            assert abs(documents[s] - rate * count) <= 7, s
+
+
+@pytest.mark.parametrize("seed, sources", [(1, list("abcdefg")), (2, ["b", "a", None, "", "É", "z"]), (3, ["one"])])
+def test_words_and_documents_come_near_the_targets(spark, seed, sources):
+    rows = sample(seed, sources)
+    check(rows, mix_plan(docs(spark, rows)).collect())
+
+
+def test_blocks_and_partitions_do_not_matter_to_reruns(spark):
+    rows = sample(4, list("aab"), 900)
+    rows += [(1000, "same old text", "a")] * 150
+    first = mix_plan(docs(spark, rows).repartition(7), block=16).collect()
+    check(rows, first)
+    random.Random(5).shuffle(rows)
+    again = mix_plan(docs(spark, rows).repartition(3), block=16).collect()
+    assert Counter(first) == Counter(again)
+
+
+def test_the_mix_itself(spark):
+    rows = sample(6, list("abc"), 200) + [(500, "same old text", "b")] * 40 + [(None, "no name", None), (None, None, "c")]
+    table = with_clashes(docs(spark, rows)).withColumns({n: F.lit("x") for n in ("size", "copies", "turn", "rows", "target", "p", "name", "copy", "part", "own")})
+    out = mixed(table)
+    assert out.columns == table.columns
+    plan = Counter()
+    for r in mix_plan(table).collect():
+        plan[(r.doc_id, r.source, r.size)] += r.copies
+    assert Counter((r.doc_id, r.source, size(r.text)) for r in out.collect()) == +plan
+
+
+def test_a_flight_keeps_both_totals():
+    rng = random.Random(8)
+    for _ in range(20):
+        units = [[rng.choice([1, 2, 2, 50, 10_000]), p, str(k), 0] for k, p in enumerate([rng.random()] * 300)]
+        words, count = sum(u[0] * u[1] for u in units), sum(u[1] for u in units)
+        flight(units, rng, 2)
+        assert sum(0 < u[1] < 1 for u in units) <= 2
+        assert abs(sum(u[0] * u[1] for u in units) - words) < 1e-6 * words
+        assert abs(sum(u[1] for u in units) - count) < 1e-6 * count
+        land(units)
+        assert all(u[1] in (0.0, 1.0) for u in units)
+
+
+def test_each_document_keeps_its_probability():
+    taken = Counter()
+    for seed in range(3000):
+        units = [[s, 0.4, k, 0] for k, s in enumerate([1, 2, 3, 5, 8, 13, 21, 34])]
+        flight(units, random.Random(seed), 2)
+        for u in units:
+            taken[u[2]] += u[1]
+    assert all(abs(n / 3000 - 0.4) < 0.04 for n in taken.values())
+
+
+def test_small_and_odd_tables(spark):
+    assert mix_plan(docs(spark, [])).collect() == []
+    assert mixed(docs(spark, [])).collect() == []
+    nothing = mix_plan(docs(spark, [(1, None, "a"), (2, " \n", None)])).collect()
+    assert [(r.size, r.target, r.copies) for r in nothing] == [(0, 0.0, 0)] * 2
+    rows = [(1, "a " * 200_000, "a"), (2, "b c", "b"), (3, None, "b"), (4, "É é x", "c")]
+    check(rows, mix_plan(docs(spark, rows)).collect(), near=0.5)

@@ -1,4 +1,4 @@
-"""Gold: the serving relations. Each is recomputed from current silver rows and written over its table."""
+"""Gold: the serving relations. Each is recomputed from current silver rows and published as a new generation."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from palimpsest.operators.joins import spread_columns
 from palimpsest.operators.pivot import SOCIAL, fold_max, json_strings
+from palimpsest.sources import generations
 
 # Columns of the serving relations.
 DEPUTIES = [
@@ -57,12 +58,14 @@ def gold_propositions(current: DataFrame) -> DataFrame:
 
 
 def refresh(relation: DataFrame, path: str) -> DataFrame:
-    """Materialise a relation over its earlier contents; it must not be derived from ``path`` itself."""
-    relation.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    return relation.sparkSession.read.schema(relation.schema).parquet(path)
+    """Materialise a relation in place of its earlier contents, which it may be derived from."""
+    spark = relation.sparkSession
+    generations.publish(spark, {generations.DATA: relation}, path)
+    return generations.read(spark, path, schema=relation.schema)
 
 
 def publish(spark: SparkSession, relations: dict[str, DataFrame], root: str) -> None:
-    """Refresh the relations under ``root`` and make them available to SQL by name."""
+    """Refresh the relations under ``root``, all at once, and make them available to SQL by name."""
+    generations.publish(spark, relations, root)
     for name, relation in relations.items():
-        refresh(relation, f"{root}/{name}").createOrReplaceTempView(name)
+        generations.read(spark, root, name, relation.schema).createOrReplaceTempView(name)

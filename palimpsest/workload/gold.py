@@ -14,7 +14,8 @@ from palimpsest.plans.enrichment import SCORE, SUMMARY, TOPIC
 from palimpsest.plans.entities import SPECS
 from palimpsest.session import scratch_path
 from palimpsest.sources import landing
-from palimpsest.workload.registry import query, table, time_text
+from palimpsest.workload.history import versions
+from palimpsest.workload.registry import VERSIONS_SQL, query, table, time_text
 from palimpsest.workload.silver import (
     _PARTIES_SQL,
     PROPOSITIONS_SQL,
@@ -120,6 +121,34 @@ def gold_votings(spark, sf_dir):
     return voting_columns(gold.gold_votings(history.current_delta(stamped, "id", "source_file")))
 
 
+@query(f"""WITH {VERSIONS_SQL},
+first AS (SELECT user_id, max(batch) AS batch, count(*) AS loads FROM versions WHERE batch < DATE '2024-01-16' GROUP BY 1),
+whole AS (SELECT user_id, max(batch) AS batch, count(*) AS loads FROM versions GROUP BY 1)
+SELECT user_id, CAST(batch AS VARCHAR) AS batch, loads, (SELECT count(*) FROM first) AS opened_before,
+       (SELECT CAST(sum(loads) AS BIGINT) FROM first) AS loads_before FROM whole""")
+def gold_refreshed(spark, sf_dir):
+    """A serving relation refreshed twice, the second time from itself and the days since.
+
+    A reader that opened it in between still finds the first refresh after the second.
+    """
+    root = scratch_path(spark, "relation")
+    log = versions(spark, sf_dir).select("user_id", "batch")
+    loads = [F.max("batch").alias("batch"), F.sum("loads").alias("loads")]
+    for_day = F.lit("2024-01-16").cast("date")
+    days = log.withColumn("loads", F.lit(1).cast("long"))
+    opened = gold.refresh(days.filter(F.col("batch") < for_day).groupBy("user_id").agg(*loads), root)
+    both = opened.unionByName(days.filter(F.col("batch") >= for_day))
+    after = gold.refresh(both.groupBy("user_id").agg(*loads), root)
+    before = opened.agg(F.count(F.lit(1)).alias("n"), F.sum("loads").alias("loads")).first()
+    return after.select(
+        "user_id",
+        F.col("batch").cast("string").alias("batch"),
+        "loads",
+        F.lit(before.n).alias("opened_before"),
+        F.lit(before.loads).cast("long").alias("loads_before"),
+    )
+
+
 @query(f"""WITH {PROPOSITIONS_SQL}
 SELECT id, "siglaTipo", numero, ementa, presented, step, keywords FROM propositions WHERE source_file = 'delta_2.json'""")
 def gold_propositions(spark, sf_dir):

@@ -20,14 +20,14 @@ KEPT = 2
 GRACE_SECONDS = 24 * 3600
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
-    where, files = _file_system(spark, path)
+    where, files = file_system(spark, path)
     if not files.exists(where):
         return None
     stream = files.open(where)
@@ -39,7 +39,7 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 def _swap_text(spark: SparkSession, path: str, text: str) -> None:
     """Write ``text`` aside and rename it over ``path``: readers find the old text or the new one, whole."""
-    aside, files = _file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    aside, files = file_system(spark, f"{path}.{uuid.uuid4().hex}")
     stream = files.create(aside, False)
     try:
         stream.write(bytearray(text.encode()))
@@ -49,7 +49,7 @@ def _swap_text(spark: SparkSession, path: str, text: str) -> None:
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     options = gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
-    where, _ = _file_system(spark, path)
+    where, _ = file_system(spark, path)
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         files.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
     )
@@ -113,7 +113,7 @@ def read(
 
 def clean(spark: SparkSession, root: str, grace_seconds: float = GRACE_SECONDS) -> list[str]:
     """Delete the generations that the pointer no longer names, but none young enough to be under way."""
-    where, files = _file_system(spark, f"{root}/generations")
+    where, files = file_system(spark, f"{root}/generations")
     if not files.exists(where):
         return []
     named = set(published(spark, root))

@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from palimpsest.operators import history
+from palimpsest.operators import bucketed, history
 from palimpsest.operators.dedup import keep_first
 from palimpsest.plans import silver
 from palimpsest.plans.entities import SPECS
@@ -130,6 +130,47 @@ def delta_merge(spark, sf_dir):
     return shown(history.advance_current(before, after, "user_id"))
 
 
+_KEYED_SQL = f"""{VERSIONS_SQL}, keyed AS (
+  SELECT *, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS pk FROM versions)"""
+
+
+def _keyed_batches(spark, sf_dir):
+    """Daily versions, some without a key, with their day as text."""
+    keyed = F.when(F.col("event_type") != "error", F.col("user_id"))
+    rows = version_table(spark, sf_dir).select(
+        "event_id", "user_id", keyed.alias("pk"), "event_type", F.col("batch").cast("string").alias("batch")
+    )
+    return rows, bucketed.Buckets("pk", max(8, rows.count() // 1_000_000))
+
+
+@query(f"""WITH {_KEYED_SQL}
+SELECT event_id, CAST(batch AS VARCHAR) AS batch, event_type,
+       pk IS NULL OR batch = max(batch) OVER (PARTITION BY pk) AS is_current FROM keyed""")
+def bucketed_flags(spark, sf_dir):
+    """A log in buckets, appended twice: every version's flag, found without a shuffle."""
+    rows, buckets = _keyed_batches(spark, sf_dir)
+    path = scratch_path(spark, "bucketed-log")
+    for days in (F.col("batch") < "2024-01-20", F.col("batch") >= "2024-01-20"):
+        bucketed.append_batches(rows.filter(days), path, buckets, "batch")
+    keyed, keyless = bucketed.open_log(spark, path, rows.schema, buckets, "batch")
+    flags = bucketed.flags_of_log(keyed, keyless, "pk", "batch")
+    return flags.select("event_id", "batch", "event_type", "is_current")
+
+
+@query(f"""WITH {_KEYED_SQL} SELECT event_id, user_id, CAST(batch AS VARCHAR) AS batch, event_type FROM keyed
+WHERE pk IS NULL OR batch = (SELECT max(k.batch) FROM keyed k WHERE k.pk = keyed.pk)""")
+def bucketed_merge(spark, sf_dir):
+    """A current table in buckets, moved on twice; each time the new rows alone are shuffled."""
+    rows, buckets = _keyed_batches(spark, sf_dir)
+    root, day = scratch_path(spark, "bucketed-current"), F.col("batch")
+    bucketed.start_current(history.current_delta(rows.filter(day < "2024-01-15"), "pk", "batch"), root, buckets)
+    for days in ((day >= "2024-01-15") & (day < "2024-01-22"), day >= "2024-01-22"):
+        load = stored(history.current_delta(rows.filter(days), "pk", "batch"), "load")
+        bucketed.advance_current(spark, root, load, buckets)
+    keyed, keyless = bucketed.open_current(spark, root, rows.schema, buckets)
+    return keyed.unionByName(keyless).select("event_id", "user_id", "batch", "event_type")
+
+
 @query("""
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS batch, CAST(round(o_totalprice * 100) AS BIGINT) AS cents
 FROM orders WHERE strftime(o_orderdate, '%Y-%m') = (SELECT max(strftime(o_orderdate, '%Y-%m')) FROM orders)""")

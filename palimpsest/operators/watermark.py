@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from palimpsest.operators.joins import spread_columns
+from palimpsest.operators.known import unknown
 
 # First-run window in 30-day months per feed, and the days after its start that a chunk spans.
 FIRST_RUN_MONTHS = {"votings": 3, "propositions": 12}
@@ -30,7 +31,7 @@ def newer_than(records: DataFrame, stamp: str, mark: str | Column | None, inclus
 
 def newer_or_unknown(records: DataFrame, stamp: str, mark: str | None, known: DataFrame, key: str) -> DataFrame:
     """Keeps the mark's own instant as well and drops the ids already known, so no record of it is missed."""
-    return newer_than(records, stamp, mark, inclusive=True).join(known.select(key).distinct(), key, "left_anti")
+    return unknown(newer_than(records, stamp, mark, inclusive=True), known, key)
 
 
 def candidate_mark(stamp: str) -> Column:
@@ -66,6 +67,16 @@ def in_window(records: DataFrame, stamp: str, start: date, end: date) -> DataFra
     return records.filter((F.col(stamp) >= F.lit(start)) & (F.col(stamp) < F.lit(after)))
 
 
+def in_days(records: DataFrame, day: str, first: date | Column, last: date | Column) -> DataFrame:
+    """Records of the days ``first`` to ``last`` by a partition column, both included: other days are not read.
+
+    A bound may be a scalar subquery, as ``window_start`` of a ledger's mark: the scan then prunes when it runs.
+    """
+    bounds = [b if isinstance(b, Column) else F.lit(b) for b in (first, last)]
+    kind = records.schema[day].dataType
+    return records.filter((F.col(day) >= bounds[0].cast(kind)) & (F.col(day) <= bounds[1].cast(kind)))
+
+
 def date_chunks(ranges: DataFrame, start: str, end: str, days: int = CHUNK_DAYS) -> DataFrame:
     """Adjacent windows of ``days`` + 1 days that tile [start, end]; an inverted range gives none."""
     first = F.expr(f"sequence({start}, {end}, interval {days + 1} days)")

@@ -28,13 +28,17 @@ def new_records(
     limit: int | None = None,
     known: DataFrame | None = None,
     key: str = "id",
+    day: str | None = None,
 ) -> DataFrame:
     """What an incremental run takes: the day window, which the scan can use, then the exact mark.
 
-    A capped run takes the oldest records first, so that the mark passes none that was left out.
+    A capped run takes the oldest records first, so that the mark passes none that was left out. ``day`` names the
+    column that the landed records are partitioned by, if they are: other days are not read.
     """
     start, end = wm.ingest_window(mark, months, today)
     asked = wm.in_window(summaries, stamp, start, end)
+    if day:
+        asked = wm.in_days(asked, day, start, end).drop(day)
     if known is None:
         fresh = wm.newer_than(asked, stamp, mark)
     else:
@@ -71,21 +75,29 @@ def ingest_delta(
     file_format: str = "parquet",
     known: DataFrame | None = None,
     part_of: Drain | None = None,
+    remember: str | None = None,
+    day: str | None = None,
 ) -> Row:
     """One incremental run: window, mark, optional detail merge, batch, ledger row.
 
     ``file`` names the run; names sort in run order, as timestamps do. Running it again under the same name
     replaces the batch and the row. The new mark and the count are
     read from the written batch, two narrow columns. With ``known``, a table of the ids already taken, records of
-    the mark's own instant that are not in it are taken as well.
+    the mark's own instant that are not in it are taken as well. ``remember`` names the id column: the run keeps its
+    ids beside the ledger, and those of the endpoint's other runs are its known ones.
     """
     months = months or wm.FIRST_RUN_MONTHS[endpoint]
     mark = part_of.mark if part_of else current_mark(spark, ledger_path, endpoint, before=file)
-    fresh = new_records(summaries, stamp, mark, months, today, limit, known)
+    key = remember or "id"
+    if remember:
+        known = ledger.ids_before(spark, ledger_path, endpoint, file).withColumnRenamed("id", key)
+    fresh = new_records(summaries, stamp, mark, months, today, limit, known, key, day)
     records = fresh if details is None else merge_detail(fresh, details, order=detail_order)
     landing.write_batch(records, root, file, file_format)
     path = stamp if details is None else f"summary.{stamp}"
     written = landing.read_batches(spark, root, records.schema, file_format).filter(F.col(landing.BATCH) == file)
+    if remember:
+        ledger.record_ids(ledger.known_ids(written.select(key if details is None else f"summary.{key}"), key), endpoint, file, ledger_path)
     start, end = wm.ingest_window(mark, months, today)
     stamps = written.select(F.col(path).alias(stamp))
     row = ledger.delta_run(stamps, endpoint, file, ran_at, start, end, stamp, mark, part=part_of is not None)

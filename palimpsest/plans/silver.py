@@ -10,6 +10,7 @@ from palimpsest.operators import history
 from palimpsest.operators.dedup import keep_first
 from palimpsest.operators.shaping import project
 from palimpsest.plans.entities import SPECS, TableSpec
+from palimpsest.session import stored
 from palimpsest.sources import landing, ledger
 from palimpsest.sources.landing import BATCH, ORDINAL, SOURCE_FILE
 
@@ -118,13 +119,12 @@ def run(
         emptied = [r["file_name"] for r in again if r["file_name"] not in filled]
         landing.remove_batches(spark, f"{root}/{spec.table}", emptied)
     load(rows, spec, root, loaded_at)
-    names = [r["file_name"] for r in good]
+    done = [(r["file_name"], r["modified_at"], r["length"]) for r in good]
+    done = spark.createDataFrame(done, "file_name string, modified_at timestamp, length long")
     if spec.strategy != "overwrite":
         # Times and lengths are those listed before the read: a file rewritten since loads again.
-        rows = [(r["file_name"], r["modified_at"], r["length"]) for r in good]
-        done = spark.createDataFrame(rows, "file_name string, modified_at timestamp, length long")
         ledger.record_files(ledger.file_rows(done, spec.endpoint, loaded_at), ledger_path)
-    log = versions(spark, spec, root).filter(F.col(BATCH).isin(names))
+    log = landing.of_batches(versions(spark, spec, root), done)
     return log.groupBy(BATCH).agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -149,27 +149,27 @@ def run_batches(
     """Load the Parquet batches that the run ledger lists and the file ledger does not, in one job.
 
     The form for large feeds: batches are folders of any number of files, and the scan reads only the new
-    ones. A run without new records is marked as loaded and expires nothing.
+    ones. These are a table from the ledgers to the scan, however long the backlog. A run without new records is marked as loaded and expires nothing.
     """
     landed = ledger.read_runs(spark, runs_path).filter(F.col("endpoint") == spec.endpoint)
     found = landed.select(
         F.col("file").alias("file_name"), F.col("ran_at").alias("modified_at"), F.col("new_records").alias("length")
     )
     seen = ledger.read_files(spark, ledger_path).filter(F.col("endpoint") == spec.endpoint)
-    fresh = ledger.pending_files(found, seen)
-    names = [r["file_name"] for r in fresh.select("file_name").orderBy("file_name").collect()]
-    if not names:
+    fresh = stored(ledger.pending_files(found, seen), "pending")
+    if fresh.isEmpty():
         return spark.createDataFrame([], "batch string, rows long")
+    names = fresh.select("file_name")
     schema = spec.bronze_schema()
-    stored = spark.read.parquet(bronze).schema
-    if ORDINAL in stored.fieldNames():
-        schema = schema.add(stored[ORDINAL])
-    records = landing.read_batches(spark, bronze, schema).filter(F.col(BATCH).isin(names))
+    delivered = spark.read.parquet(bronze).schema
+    if ORDINAL in delivered.fieldNames():
+        schema = schema.add(delivered[ORDINAL])
+    records = landing.read_batches(spark, bronze, schema)
     if ORDINAL not in schema.fieldNames():
         records = records.withColumn(ORDINAL, F.struct("_metadata.file_path", "_metadata.row_index"))
-    load(transform(records, spec, BATCH), spec, root, loaded_at, BATCH)
+    load(transform(landing.of_batches(records, names), spec, BATCH), spec, root, loaded_at, BATCH)
     ledger.record_files(ledger.file_rows(fresh, spec.endpoint, loaded_at), ledger_path)
-    counts = versions(spark, spec, root).filter(F.col(BATCH).isin(names)).groupBy(BATCH)
+    counts = landing.of_batches(versions(spark, spec, root), names).groupBy(BATCH)
     return counts.agg(F.count(F.lit(1)).alias("rows"))
 
 

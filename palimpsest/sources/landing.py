@@ -8,7 +8,9 @@ split freely.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+
+from palimpsest.operators.joins import fits_broadcast
 
 ORDINAL = "_ordinal"
 SOURCE_FILE = "source_file"
@@ -244,6 +246,39 @@ def unnest_pages(pages: DataFrame, records: str = "dados", page: str = "page") -
     )
 
 
+# Page numbers are looked at in stretches of this length, so a run of any number of pages spreads.
+STRETCH = 100_000
+
+
+def page_gaps(pages: DataFrame, *by: str, page: str = "page", first: int = 1) -> DataFrame:
+    """Page numbers that are missing among those landed, per run: ``by``, first_missing, last_missing, missing.
+
+    Gaps lie between neighbouring numbers, or before the lowest if the run begins after ``first``. What follows the
+    highest number cannot be seen. Neighbours are found within stretches of numbers, then between the stretches.
+    """
+    numbers = pages.select(*by, F.col(page).cast("long").alias("_at")).filter(F.col("_at") >= first).distinct()
+    stretched = numbers.withColumn("_stretch", F.floor(F.col("_at") / STRETCH))
+    inside = Window.partitionBy(*by, "_stretch").orderBy("_at")
+    within = stretched.select(*by, F.col("_at").alias("_before"), F.lead("_at").over(inside).alias("_after"))
+    ends = stretched.groupBy(*by, "_stretch").agg(F.min("_at").alias("_low"), F.max("_at").alias("_high"))
+    along = Window.partitionBy(*by).orderBy("_stretch")
+    between = ends.select(*by, F.lag("_high", 1, first - 1).over(along).alias("_before"), F.col("_low").alias("_after"))
+    gaps = within.unionByName(between).filter("_after > _before + 1")
+    return gaps.select(
+        *by,
+        (F.col("_before") + 1).alias("first_missing"),
+        (F.col("_after") - 1).alias("last_missing"),
+        (F.col("_after") - F.col("_before") - 1).alias("missing"),
+    )
+
+
+def of_batches(records: DataFrame, names: DataFrame, batch: str = BATCH) -> DataFrame:
+    """Records of the batches that a table lists, one column. Where the list is small enough to be sent, only their
+    partitions are read: the scan prunes when it runs, and neither the driver nor the plan holds a name."""
+    listed = names.select(F.col(names.columns[0]).alias(batch)).filter(F.col(batch) > "")
+    return records.join(F.broadcast(listed) if fits_broadcast(listed) else listed, batch, "left_semi")
+
+
 def preview(records: DataFrame, rows: int = 3) -> DataFrame:
     """Dry run: a few transformed rows. Nothing is loaded and no ledger is touched."""
     return records.limit(rows)

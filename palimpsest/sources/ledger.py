@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from palimpsest.operators import watermark as wm
 from palimpsest.sources.landing import read_or_empty
 
 RUNS = (
@@ -69,6 +70,11 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, ids_path(path), _schema(spark, KNOWN_IDS))
 
 
+def ids_before(spark: SparkSession, path: str, endpoint: str, file: str) -> DataFrame:
+    """Ids that an endpoint's other runs have taken: what a run, or its repetition, must not take again."""
+    return read_ids(spark, path).filter((F.col("endpoint") == endpoint) & (F.col("file") != file)).select("id")
+
+
 def record_files(rows: DataFrame, path: str) -> None:
     """Add loaded files. The ledger is only ever anti-joined, so a row recorded twice does no harm."""
     rows.coalesce(1).write.mode("append").parquet(path)
@@ -129,6 +135,12 @@ def high_water_mark(runs: DataFrame, endpoint: str) -> Column:
     return ended(runs).filter(F.col("endpoint") == endpoint).agg(F.max("hwm")).scalar()
 
 
+def window_start(runs: DataFrame, endpoint: str, months: int, today: date) -> Column:
+    """First day of an endpoint's next window as a scalar subquery: the mark's day, or that of a first run."""
+    mark = ended(runs).filter(F.col("endpoint") == endpoint).agg(F.max("hwm").alias("hwm"))
+    return mark.select(wm.window_start(F.col("hwm"), months, F.lit(today))).scalar()
+
+
 def running_totals(runs: DataFrame) -> DataFrame:
     """Records known after each run. One row per run, so the windows stay small."""
     so_far = Window.partitionBy("endpoint").orderBy("ran_at", "file")

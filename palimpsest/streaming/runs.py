@@ -94,12 +94,14 @@ def ingest_deltas(
     today: date,
     months: int,
     name: str = "delta",
+    remember: str | None = None,
 ) -> StreamingQuery:
     """Drain the source through ``bronze.ingest_delta``, one run a micro-batch, and return the ended query.
 
     All micro-batches of a drain start from the mark it began with, so neither their number nor the order of the
     files decides what is taken. Their ledger rows count as parts until the drain ends, which advances the mark; a
     drain that broke off goes on from the same mark. A repeated micro-batch replaces its batch and ledger row.
+    With ``remember``, an id column, no record of the mark's own instant is missed, and none is taken twice.
     """
     mark = bronze.current_mark(summaries.sparkSession, ledger_path, endpoint)
 
@@ -117,6 +119,7 @@ def ingest_deltas(
             today,
             months,
             part_of=bronze.Drain(mark),
+            remember=remember,
         )
 
     query = (

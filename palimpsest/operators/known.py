@@ -43,7 +43,7 @@ def bitmap(ids: DataFrame, key: str, bits: int) -> DataFrame:
 def is_set(bits: Column, at: Column) -> Column:
     """Whether bit ``at`` of a bitmap row is set."""
     octet = F.conv(F.hex(F.substring(bits, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.shiftright(octet, 0).bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
+    return octet.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
 
 
 def with_suspicion(records: DataFrame, known: DataFrame, key: str, bits: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window, functions as F
 from palimpsest.operators import watermark as wm
 from palimpsest.operators.shaping import merge_detail
 from palimpsest.plans import bronze
-from palimpsest.session import scratch_path
+from palimpsest.session import scratch_path, stored
 from palimpsest.sources import landing, ledger
 from palimpsest.workload.registry import cents, day_text, iso, query, table
 
@@ -63,6 +63,81 @@ def pending_batches(spark, sf_dir):
     return events.join(pending, "batch", "left_semi").select("batch", "event_id")
 
 
+@query("""
+WITH ledger AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events
+                WHERE user_id = 1 OR CAST(ts AS DATE) < DATE '2024-01-08')
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch, event_id FROM events
+WHERE CAST(ts AS DATE) NOT IN (SELECT day FROM ledger)""")
+def pending_pruned(spark, sf_dir):
+    """The same from landed batches: what is pending stays a table, and only its partitions are read."""
+    events, root = _events(spark, sf_dir).select("batch", "event_id", "user_id"), scratch_path(spark, "batches")
+    landing.append_batches(events, root)
+    landed = landing.read_batches(spark, root, events.drop("batch").schema)
+    done = landed.filter((F.col("user_id") == 1) | (F.col("batch") < "2024-01-08"))
+    names = lambda rows: rows.select(F.col("batch").alias("file_name")).distinct()
+    pending = stored(ledger.pending_files(names(landed), names(done), ["file_name"]), "pending")
+    return landing.of_batches(landed, pending).select("batch", "event_id")
+
+
+# Stamps to the hour, so that many records share the mark's instant.
+_HOURS_SQL = "hours AS (SELECT event_id, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H') AS stamp FROM events)"
+_EARLY_SQL = "event_id % 3 > 0 AND stamp <= '2024-01-15T12'"
+_KNOWN_SQL = f"""WITH {_HOURS_SQL}, first AS (SELECT * FROM hours WHERE {_EARLY_SQL})
+SELECT event_id, stamp, 'delta_1' AS run FROM first
+UNION ALL
+SELECT event_id, stamp, 'delta_2' FROM hours
+WHERE stamp >= (SELECT max(stamp) FROM first) AND event_id NOT IN (SELECT event_id FROM first)"""
+
+
+def _hours(spark, sf_dir):
+    hours = table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH").alias("stamp"))
+    return hours, (F.col("event_id") % 3 > 0) & (F.col("stamp") <= "2024-01-15T12")
+
+
+@query(_KNOWN_SQL)
+def ingest_known_ids(spark, sf_dir):
+    """Two runs that remember their ids: the second takes what the first left of the mark's own instant, and no more."""
+    root, book = scratch_path(spark, "batches"), scratch_path(spark, "runs")
+    hours, early = _hours(spark, sf_dir)
+    at = datetime(2024, 2, 1, tzinfo=timezone.utc)
+    for k, rows in enumerate((hours.filter(early), hours), 1):
+        bronze.ingest_delta(
+            spark, rows, "votings", "stamp", root, book, f"delta_{k}", at, date(2024, 2, 10), 3, remember="event_id"
+        )
+    return landing.read_batches(spark, root, hours.schema).withColumnRenamed("batch", "run")
+
+
+@query(f"""WITH {_HOURS_SQL}
+SELECT event_id, stamp FROM hours
+WHERE stamp >= strftime(CAST((SELECT max(stamp) FROM hours WHERE {_EARLY_SQL})[1:10] AS DATE), '%Y-%m-%d')
+  AND stamp < '2024-01-21'""")
+def window_days_pruned(spark, sf_dir):
+    """Records landed by day; the window's first day comes from the ledger when the scan runs, other days are not read."""
+    root, book = scratch_path(spark, "days"), scratch_path(spark, "runs")
+    hours, early = _hours(spark, sf_dir)
+    hours.withColumn("day", F.substring("stamp", 1, 10)).hint("rebalance", F.col("day")).write.partitionBy("day").parquet(root)
+    first = ledger.delta_run(
+        hours.filter(early), "votings", "delta_1", datetime(2024, 2, 1, tzinfo=timezone.utc),
+        date(2024, 1, 1), date(2024, 1, 31), "stamp", None,
+    )
+    ledger.record_run(first, book)
+    start = ledger.window_start(ledger.read_runs(spark, book), "votings", 3, date(2024, 1, 20))
+    landed = spark.read.schema(hours.withColumn("day", F.lit("")).schema).parquet(root)
+    return wm.in_days(landed, "day", start, date(2024, 1, 20)).drop("day")
+
+
+@query("""
+WITH landed AS (SELECT page_id // 100 AS run, page_id % 100 + 1 AS page FROM pages WHERE page_id * 7 % 11 > 2),
+edges AS (SELECT run, lag(page, 1, 0) OVER (PARTITION BY run ORDER BY page) AS before, page AS after FROM landed)
+SELECT run, before + 1 AS first_missing, after - 1 AS last_missing, after - before - 1 AS missing
+FROM edges WHERE after > before + 1""")
+def page_gaps(spark, sf_dir):
+    """Pages that runs left out, some of them neighbours, some before the first."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.floor(F.col("page_id") / 100).alias("run"))
+    landed = pages.filter(F.col("page_id") * 7 % 11 > 2).withColumn("page", F.col("page_id") % 100 + 1)
+    return landing.page_gaps(landed, "run")
+
+
 @query("""
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS batch, count(*) AS records,
        CAST(sum(CAST(round(value * 100) AS BIGINT) + CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 1 ELSE 0 END)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from palimpsest.session import scratch_path
 from palimpsest.sources import landing, ledger
 from palimpsest.streaming import currency, runs
+from palimpsest.workload.ingest import _KNOWN_SQL, _hours
 from palimpsest.workload.registry import day_text, iso, query, table
 
 
@@ -102,3 +103,20 @@ def stream_ingest(spark, sf_dir):
     return landing.read_batches(spark, root, stamped.schema).select(
         "event_id", "stamp", F.lit(known["known"]).alias("known"), F.lit(known["hwm"]).alias("hwm")
     )
+
+
+@query(_KNOWN_SQL)
+def stream_known_ids(spark, sf_dir):
+    """Two drains of one stream that remember their ids, the second with records of the mark's own instant."""
+    root, book, checkpoint = (scratch_path(spark, p) for p in ("batches", "runs", "stream"))
+    hours, early = _hours(spark, sf_dir)
+    landed = scratch_path(spark, "landed")
+    for k, rows in enumerate((hours.filter(early), hours), 1):
+        rows.write.mode("append").parquet(landed)
+        files = runs.stream_files(spark, landed, hours.schema, "parquet").select("event_id", "stamp")
+        runs.ingest_deltas(
+            files, "votings", "stamp", root, book, checkpoint, date(2024, 2, 10), 3, f"delta_{k}", remember="event_id"
+        )
+    return landing.read_batches(spark, root, hours.schema).select(
+        "event_id", "stamp", F.substring("batch", 1, 7).alias("run")
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,7 +12,7 @@ from palimpsest.operators.dedup import keep_first
 from palimpsest.operators.shaping import project
 from palimpsest.plans.entities import SPECS, TableSpec
 from palimpsest.session import stored
-from palimpsest.sources import landing, ledger
+from palimpsest.sources import arrays, landing, ledger
 from palimpsest.sources.landing import BATCH, ORDINAL, SOURCE_FILE
 
 
@@ -52,8 +53,8 @@ def load(rows: DataFrame, spec: TableSpec, root: str, loaded_at: datetime, batch
         landing.append_batches(stamped, target)
 
 
-# Array files up to this size are parsed whole, one task per file. Larger ones are split at record boundaries if
-# they are laid out for it, else parsed whole as well: the size decides the plan, never the rows.
+# Array files up to this size are parsed whole, one task per file. Larger ones are split: at record boundaries if they
+# are laid out for it, else by ranges of bytes. The size decides the plan, never the rows.
 WHOLE_FILE_BYTES = 128 * 1024 * 1024
 
 
@@ -99,7 +100,7 @@ def run(
     nothing = spark.createDataFrame([], "batch string, rows long")
     if not listed:
         return nothing
-    split, bad = _checked(spark, spec, bronze, listed, whole_bytes)
+    split, bad, texts = _checked(spark, spec, bronze, listed, whole_bytes)
     if bad:
         aside = [(r["file_name"], r["modified_at"], r["length"]) for r in listed if r["file_name"] in bad]
         rows = spark.createDataFrame(aside, "file_name string, modified_at timestamp, length long")
@@ -107,7 +108,7 @@ def run(
     good = [r for r in listed if r["file_name"] not in bad]
     if not good:
         return nothing
-    rows = transform(_scan(spark, spec, bronze, good, split), spec)
+    rows = transform(_scan(spark, spec, bronze, good, split, texts), spec)
     if dry_run:
         return landing.preview(rows)
     if spec.strategy == "overwrite" and rows.isEmpty():
@@ -115,7 +116,7 @@ def run(
     again = [r for r in good if r["again"] and spec.strategy != "overwrite"]
     if again:
         # A batch delivered again may now be empty: what an earlier load left of it goes.
-        filled = {r[0] for r in _scan(spark, spec, bronze, again, split).select(SOURCE_FILE).distinct().collect()}
+        filled = {r[0] for r in _scan(spark, spec, bronze, again, split, texts).select(SOURCE_FILE).distinct().collect()}
         emptied = [r["file_name"] for r in again if r["file_name"] not in filled]
         landing.remove_batches(spark, f"{root}/{spec.table}", emptied)
     load(rows, spec, root, loaded_at)
@@ -175,31 +176,44 @@ def run_batches(
 
 def _checked(
     spark: SparkSession, spec: TableSpec, bronze: str, files: list, whole_bytes: int | None
-) -> tuple[set[str], set[str]]:
-    """Names of the large files whose layout allows to split them, and of all malformed files.
+) -> tuple[set[str], set[str], DataFrame | None]:
+    """Names of the large files whose layout allows to split them, those of all malformed files, and the records'
+    texts of the other large ones.
 
     A file that is read in pieces is checked in pieces; only files that one task reads anyway are parsed whole.
     """
     most = WHOLE_FILE_BYTES if whole_bytes is None else whole_bytes
     paths = {f["file_name"]: f"{bronze}/{f['file_name']}" for f in files}
-    large = [paths[f["file_name"]] for f in files if f["length"] > most]
-    split = landing.indented_files(spark, large) if large else set()
-    bad = set()
+    large = {f["file_name"]: f["length"] for f in files if f["length"] > most}
+    split = landing.indented_files(spark, [paths[n] for n in large]) if large else set()
+    bad, texts = set(), None
     if split:
         bad, several = landing.checked_pieces(spark, [paths[n] for n in sorted(split)], spec.bronze_schema())
         split -= several
-    whole = [path for name, path in paths.items() if name not in split]
+    ranged = {name: size for name, size in large.items() if name not in split}
+    if ranged:
+        texts = arrays.split_files(spark, [(paths[n], size) for n, size in ranged.items()])
+        bad |= arrays.malformed(texts, spec.bronze_schema())
+    whole = [path for name, path in paths.items() if name not in large]
     if whole:
         bad |= landing.malformed_files(spark, whole, spec.bronze_schema())
-    return split, bad
+    return split, bad, texts
 
 
-def _scan(spark: SparkSession, spec: TableSpec, bronze: str, files: list, split: set[str]) -> DataFrame:
-    """Records of the listed files, those in ``split`` read in pieces."""
+def _scan(
+    spark: SparkSession, spec: TableSpec, bronze: str, files: list, split: set[str], texts: DataFrame | None
+) -> DataFrame:
+    """Records of the listed files: those in ``split`` read in pieces, those of ``texts`` from there."""
     paths = {f["file_name"]: f"{bronze}/{f['file_name']}" for f in files}
-    whole = [path for name, path in paths.items() if name not in split]
+    schema, parts = spec.bronze_schema(), []
+    ranged = {r["file"] for r in texts.select("file").distinct().collect()} if texts else set()
+    whole = [path for name, path in paths.items() if name not in split and name not in ranged]
     pieces = [path for name, path in paths.items() if name in split]
-    schema = spec.bronze_schema()
-    parts = [landing.read_json_batches(spark, whole, schema)] if whole else []
-    parts += [landing.read_indented_batches(spark, pieces, schema)] if pieces else []
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if whole:
+        parts.append(landing.read_json_batches(spark, whole, schema))
+    if pieces:
+        parts.append(landing.read_indented_batches(spark, pieces, schema))
+    if ranged & set(paths):
+        wanted = texts.filter(F.col("file").isin(sorted(ranged & set(paths))))
+        parts.append(arrays.read_texts(wanted, schema))
+    return functools.reduce(DataFrame.unionByName, parts)

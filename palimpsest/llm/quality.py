@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from palimpsest.llm.common import fold_of, query, table
 
@@ -123,10 +123,16 @@ def fit_space(counts: np.ndarray, labels: np.ndarray, shares: dict[int, float],
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int, dimensions: int
 ) -> Space:
-    """Fit on at most ``per_label`` rows of either label outside the held-out fold; the draw is a hash of the id."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(
+    """Fit on at most ``per_label`` ids of either label outside the held-out fold; the draw is a hash of the id.
+
+    An id counts once however often its label or its document is repeated: of several texts the one with the smallest
+    hash. Ids that are labelled both ways say nothing.
+    """
+    said = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(
         F.col("id").isNotNull() & F.col("label").isin(0, 1) & (fold_of(F.col("id"), FOLDS) != 0)
     )
+    known = said.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most")
+    known = known.select("id", "label")
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     shares = {label: n / sum(sizes.values()) for label, n in sizes.items()}
     drawn = [
@@ -135,29 +141,26 @@ def learn(
     texts = (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
         .join(F.broadcast(drawn[0].union(drawn[1])), "id")
-        .select("label", "text")
+        .select("id", "label", F.xxhash64("text").alias("hash"), "text")
     )
 
     def run(batches):
         for batch in batches:
-            found = np.array([term_counts(t.as_py()) for t in batch.column(1)], np.float32).reshape(-1, TERMS)
+            found = np.array([term_counts(t.as_py()) for t in batch.column(3)], np.float32).reshape(-1, TERMS)
             places = [np.flatnonzero(row) for row in found]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    *batch.columns[:3],
                     pa.array([p.tolist() for p in places], pa.list_(pa.int32())),
                     pa.array([row[p].tolist() for row, p in zip(found, places)], pa.list_(pa.float32())),
                 ],
-                ["label", "terms", "counts"],
+                [*schema.names],
             )
 
-    rows = (
-        texts.mapInArrow(run, "label int, terms array<int>, counts array<float>")
-        # An id that repeats must not enlarge the fit.
-        .limit(2 * per_label)
-        .toArrow()
-        .to_pylist()
-    )
+    schema = texts.drop("text").schema.add("terms", T.ArrayType(T.IntegerType())).add("counts", T.ArrayType(T.FloatType()))
+    one = F.min(F.struct("hash", "label", "terms", "counts")).alias("one")
+    drawn_rows = texts.mapInArrow(run, schema).groupBy("id").agg(one).select("one.label", "one.terms", "one.counts")
+    rows = drawn_rows.toArrow().to_pylist()
     rows.sort(key=lambda r: (r["label"], r["terms"], r["counts"]))
     counts = np.zeros((len(rows), TERMS), np.float32)
     for i, row in enumerate(rows):
@@ -179,7 +182,8 @@ def quality_scores(
 
     The score comes from the text alone. A null or empty text, and one like no labelled text, scores the share of
     label 1 among the labelled rows, 0.5 if there are none. Labels other than 0 and 1 and labels without an id are
-    ignored; rows that repeat an id are scored each by its own text.
+    ignored; rows that repeat an id are scored each by its own text. Of neighbours equally near at the last place
+    some vote. Very long texts are counted whole; columns of ``docs`` may have any names.
     """
     space = docs.sparkSession.sparkContext.broadcast(
         learn(docs, labels, id_col, text_col, label_col, per_label, dimensions)

@@ -79,3 +79,18 @@ def test_nothing_to_learn_from(spark):
     got = quality_scores(documents(spark, [(1, "a b c"), (2, None)]), none).collect()
     assert [r.score for r in got] == [0.5, 0.5]
     assert quality_scores(documents(spark, []), none).count() == 0
+
+
+def test_repeated_ids_and_labels_crowd_nothing_out(spark):
+    """Many documents under one label-0 id, its label many times over: the other label keeps its say."""
+    rng = random.Random(3)
+    good = lambda: " ".join(rng.choice("the rain falls over town and she walks home".split()) for _ in range(40))
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    spam, fine = ids[0], ids[1:39]
+    rows = [(spam, "!! ".join(good().upper().split())) for _ in range(60)] + [(i, good()) for i in fine]
+    labels = [(spam, 0, 0)] * 30 + [(i, 1, 0) for i in fine] + [(ids[50], 0, 0), (ids[50], 1, 0)]
+    space = quality.learn(documents(spark, rows), spark.createDataFrame(labels, LABELS), "doc_id", "text", "quality", 8, 4)
+    assert sorted(space.labels.tolist()) == [0.0] + [1.0] * 8
+    assert np.isclose(space.prior, 38 / 39)
+    again = quality.learn(documents(spark, rows[::-1]).repartition(5), spark.createDataFrame(labels, LABELS), "doc_id", "text", "quality", 8, 4)
+    assert np.allclose(space.vectors, again.vectors)

@@ -157,45 +157,57 @@ def copied_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) ->
         .agg(F.min(F.struct("sid", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )
-    later = runs.join(first, interval).where(F.struct("sid", "pos") != F.col("first")).select("sid", "pos", "m")
+    # A copy that overlaps the first one loses only what lies beyond the first one's end.
+    beyond = F.when(F.col("first.sid") == F.col("sid"), F.col("first.pos") + F.col("m")).otherwise(F.lit(0))
+    later = (
+        runs.join(first, interval)
+        .where(F.struct("sid", "pos") != F.col("first"))
+        .select("sid", F.greatest("pos", beyond).alias("from"), (F.col("pos") + F.col("m") - 1).alias("to"))
+    )
     return (
         later.join(stretches, "sid")
-        .select(
-            "doc",
-            F.get("lines", F.col("pos"))["line"].alias("start"),
-            F.get("lines", F.col("pos") + F.col("m") - 1)["line"].alias("end"),
-        )
+        .select("doc", F.get("lines", F.col("from"))["line"].alias("start"), F.get("lines", F.col("to"))["line"].alias("end"))
         .groupBy("doc")
         .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("start", "end")))).alias("drops"))
     )
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows and columns of ``docs``, the text without later copies of line runs, and ``n_dropped`` lines.
+def line_dedup(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    min_words: int = MIN_WORDS,
+    dropped: str | None = "n_dropped",
+) -> DataFrame:
+    """All rows and columns of ``docs``, the text without later copies of line runs, and ``dropped``, how many lines.
+
+    A column of ``docs`` that is named like ``dropped`` gives way to it; None adds no column.
 
     A run is a sequence of lines of one document with ``min_words`` words or more; lines without words stand in no
     run's way, go with the line before them and do not count. Lines are equal when identical but for white space at their ends. Of
-    a run's copies the first in the order of (id, text digest, line) stays, null being the smallest id. Rows that
+    a run's copies the first in the order of (id, text digest, line) stays, null being the smallest id, and of one that
+    overlaps it only the lines beyond its end go. Very long texts and lines are lines like others. Rows that
     repeat both id and text are one document and keep or lose the same lines. A null text stays null, an empty text
     empty; an empty table gives an empty result. A text that loses no line stays as it is.
     """
-    own = [F.col(f"row.`{c}`") for c in docs.columns]
+    columns = [c for c in docs.columns if c != dropped]
     text = F.col(f"row.`{text_col}`")
     drops = copied_lines(docs, id_col, text_col, min_words)
     lines = F.split(text, BREAK)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drops"))
     kept = F.array_join(F.transform(left, lambda i: F.get(F.col("lines"), i)), "\n")
-    return (
+    cleaned = (
         docs.select(F.struct("*").alias("row"), doc_key(id_col, text_col).alias("key"))
         .join(drops.withColumnRenamed("doc", "copied"), F.col("key").eqNullSafe(F.col("copied")), "left")
         .select("row", "drops", F.when(F.col("drops").isNotNull(), lines).alias("lines"))
         .select(
             "row",
             F.when(F.col("drops").isNull(), text).otherwise(kept).alias("cleaned"),
-            F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
+            F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("gone"),
         )
-        .select(*[F.col("cleaned").alias(c) if c == text_col else own[i] for i, c in enumerate(docs.columns)], "n_dropped")
     )
+    own = [F.col("cleaned").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in columns]
+    return cleaned.select(*own, *([F.col("gone").alias(dropped)] if dropped else []))
 
 
 @query(
@@ -225,8 +237,12 @@ bodies AS (
   FROM runs r JOIN lines l ON l.doc_id = r.doc_id AND l.line BETWEEN r.line AND r.line + r.m - 1
   GROUP BY r.doc_id, r.line, r.m
 ),
-later AS (SELECT * FROM bodies QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, line) > 1),
-drops AS (SELECT DISTINCT doc_id, unnest(range(line, line + m)) AS line FROM later),
+later AS (
+  SELECT *, first_value(doc_id) OVER copies AS first_doc, first_value(line) OVER copies AS first_line FROM bodies
+  WINDOW copies AS (PARTITION BY body ORDER BY doc_id, line) QUALIFY row_number() OVER copies > 1),
+drops AS (
+  SELECT DISTINCT doc_id, unnest(range(CASE WHEN first_doc = doc_id THEN greatest(line, first_line + m) ELSE line END,
+                                       line + m)) AS line FROM later),
 kept AS (
   SELECT r.doc_id, string_agg(r.body, chr(10) ORDER BY r.place) FILTER (WHERE d.line IS NULL) AS text,
          count(DISTINCT d.line) AS n_dropped

@@ -20,13 +20,13 @@ def units(text):
 
 
 def brute(rows, min_words):
-    """Drop every line in a run of enough words that occurred before, trying all runs of all documents."""
+    """Drop every line in a run of enough words that occurred before and ended before, trying all runs of all documents."""
     bodies = {}
     for i, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0], r[1] or "")):
         if text is not None:
             lines = [s.strip(" \t\n\r\x0b\x0c") for s in units(text)]
             bodies[i, text] = [(n, s, len(re.findall(r"[^\x20\x09-\x0D]+", s))) for n, s in enumerate(lines) if s]
-    seen, drops = set(), {}
+    seen, drops = {}, {}
     for key, lines in bodies.items():
         for a in range(len(lines)):
             for b in range(a, len(lines)):
@@ -34,8 +34,10 @@ def brute(rows, min_words):
                 if sum(w for _, _, w in lines[a : b + 1]) < min_words:
                     continue
                 if run in seen:
-                    drops.setdefault(key, set()).update(range(lines[a][0], lines[b][0] + 1))
-                seen.add(run)
+                    first, end = seen[run]
+                    start = max(a, end + 1) if first == key else a
+                    drops.setdefault(key, set()).update(n for n, _, _ in lines[start : b + 1])
+                seen.setdefault(run, (key, b))
     out = []
     for i, text in rows:
         gone = drops.get((i, text), set())
@@ -94,3 +96,20 @@ def test_words_are_counted_whatever_is_between(spark):
     lines = ["a", "a b", "a  b", "a\tb c", "é ü\x0bx", "a \t b", "a\x0cb"]
     got = spark.createDataFrame([(t,) for t in lines], "body string").select("body", words_in(F.col("body")).alias("n"))
     assert {r.body: r.n for r in got.collect()} == {t: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in lines}
+
+
+def test_a_first_copy_is_not_cut_by_copies_that_overlap_it(spark):
+    line = " ".join(f"w{k}" for k in range(10))
+    rows = [(1, "\n".join([line] * 6)), (2, "\n".join([line] * 12))]
+    assert found(documents(spark, rows[:1]), 50) == [(1, "\n".join([line] * 5), 1)]
+    assert found(documents(spark, rows), 50) == brute(rows, 50) == [(1, "\n".join([line] * 5), 1), (2, "", 12)]
+
+
+def test_a_column_of_the_same_name(spark):
+    text = "word " * 60
+    docs = documents(spark, [(1, text, "x"), (2, text, "y")], "doc_id long, text string, n_dropped string")
+    assert line_dedup(docs).columns == ["doc_id", "text", "n_dropped"]
+    assert {r.doc_id: r.n_dropped for r in line_dedup(docs).collect()} == {1: 0, 2: 1}
+    kept = line_dedup(docs, dropped=None)
+    assert kept.columns == docs.columns
+    assert {r.doc_id: (r.text, r.n_dropped) for r in kept.collect()} == {1: (text, "x"), 2: ("", "y")}

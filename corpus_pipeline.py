@@ -20,7 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without later copies of line runs; ``n_chars`` follows the text."""
-    cleaned = line_dedup(docs).drop("n_dropped")
+    cleaned = line_dedup(docs, dropped=None)
     return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

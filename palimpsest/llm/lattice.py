@@ -14,6 +14,7 @@ Word counts are a table, never a broadcast: only words with more than 1/``FREQUE
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -31,7 +32,6 @@ DISCOUNT = 0.75
 START = "▁"
 END = "</s>"
 HELD_WORDS = 300_000
-LONGEST = 4096
 
 
 def default_model() -> str:
@@ -129,31 +129,28 @@ class Lattice:
         return total_log(terms[len(chars)])
 
     def expect(self, word: str, n: int, into: Counter) -> None:
-        """Add the expected number of each piece in ``n`` occurrences of a word, in parts of bounded size."""
-        whole = START + word
-        for at in range(0, len(whole), LONGEST):
-            chars = whole[at : at + LONGEST]
-            edges = [self.leaving(chars, i) for i in range(len(chars))]
-            terms: list[list[float]] = [[] for _ in range(len(chars) + 1)]
-            terms[0].append(0.0)
-            alpha = []
-            for i, found in enumerate(edges):
-                alpha.append(total_log(terms[i]))
-                for j, log in found:
-                    terms[j].append(alpha[i] + log)
-            every = total_log(terms[-1])
-            beta = [0.0] * (len(chars) + 1)
-            for i in range(len(chars) - 1, -1, -1):
-                beta[i] = total_log([log + beta[j] for j, log in edges[i]])
-                for j, log in edges[i]:
-                    share = n * math.exp(alpha[i] + log + beta[j] - every)
-                    piece = chars[i:j]
-                    if self.table.get(piece, PREFIX) != PREFIX:
-                        into[piece] += share
-                    else:
-                        for octet in self.spelled(piece)[1]:
-                            into[octet] += share
+        """Add the expected number of each piece in ``n`` occurrences of a word.
 
+        Two numbers a character are held, whatever the word's length; the pieces are looked up once each way.
+        """
+        chars = START + word
+        alpha = array("d", [-math.inf]) * (len(chars) + 1)
+        beta = array("d", [-math.inf]) * (len(chars) + 1)
+        alpha[0] = beta[len(chars)] = 0.0
+        for i in range(len(chars)):
+            for j, log in self.leaving(chars, i):
+                alpha[j] = log_add(alpha[j], alpha[i] + log)
+        every = alpha[len(chars)]
+        for i in range(len(chars) - 1, -1, -1):
+            for j, log in self.leaving(chars, i):
+                beta[i] = log_add(beta[i], log + beta[j])
+                share = n * math.exp(alpha[i] + log + beta[j] - every)
+                piece = chars[i:j]
+                if self.table.get(piece, PREFIX) != PREFIX:
+                    into[piece] += share
+                else:
+                    for octet in self.spelled(piece)[1]:
+                        into[octet] += share
 
     def edges(self, chars: np.ndarray):
         """For each length, the piece that starts at each place of each word (-1: none) and its logarithm."""
@@ -214,6 +211,13 @@ class Lattice:
                             into[len(self.pieces) + octet] += share[chars == i].sum()
 
 
+def log_add(a: float, b: float) -> float:
+    """The logarithm of the sum of two numbers, of their logarithms."""
+    if a < b:
+        a, b = b, a
+    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
+
+
 def log_sum(terms: list[np.ndarray]) -> np.ndarray:
     if len(terms) == 1:
         return terms[0]

@@ -146,3 +146,25 @@ def test_long_learned_words_have_a_finite_score(spark, frequent):
     for i, text in extra:
         wanted = sum(edge(counts[w], model.log_word(w.decode())) for w in text.encode().lower().split()) + edge(ends, model.end)
         assert math.isclose(got[i], wanted, rel_tol=1e-9)
+
+
+def test_a_long_word_is_counted_whole():
+    """A word beyond any block: the counts of the recursion in columns, and as many characters as the word has."""
+    model = Lattice(zipf(*read_pieces(default_model())))
+    word = "".join("abcdefghij"[(k * k) % 10] for k in range(5_000))
+    found, columns = Counter(), np.zeros(len(model.pieces) + 256)
+    model.expect(word, 1, found)
+    chars = np.frombuffer((START + word).encode("utf-32-le"), np.uint32).reshape(1, -1)
+    edges = model.edges(chars)
+    alpha = model.forward(edges, *chars.shape)
+    beta = np.full(chars.shape[1] + 1, -np.inf)
+    beta[-1] = 0.0
+    for i in range(chars.shape[1] - 1, -1, -1):
+        beta[i] = np.logaddexp.reduce([edges[n - 1][1][0, i] + beta[i + n] for n in range(1, min(len(edges), chars.shape[1] - i) + 1)])
+    for n, (place, logs) in enumerate(edges, 1):
+        share = np.exp(alpha[0, : chars.shape[1] - n + 1] + logs[0] + beta[n:] - alpha[0, -1])
+        known = place[0] >= 0
+        columns[: len(model.pieces)] += np.bincount(place[0][known], share[known], len(model.pieces))
+    wanted = {p: c for p, c in zip(model.pieces, columns) if c > 1e-9}
+    assert all(math.isclose(found[p], c, rel_tol=1e-6, abs_tol=1e-9) for p, c in wanted.items())
+    assert math.isclose(sum(len(p) * c for p, c in found.items()), chars.shape[1], rel_tol=1e-6)

@@ -24,14 +24,19 @@ def test_query_matches_oracle(spark, connection, name):
     assert compare(spark, SF, name, QUERIES[name], ORACLES[name], connection) is None
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("op11_", "op12_"))])
 def test_queries_return_a_row_per_input_row(spark, name):
     source = "pages" if "page_id" in (rows := QUERIES[name](spark, SF)).columns else "documents"
     assert rows.count() == spark.read.parquet(f"{SF}/{source}.parquet").count()
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
+def test_whitening_has_a_row_per_vector_and_component(spark):
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    assert QUERIES["op12_embedding_whitening"](spark, SF).count() == 4 * vectors
+
+
+def test_all_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))
 
 
 def fixture_tables(spark, folder):

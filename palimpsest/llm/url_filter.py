@@ -21,10 +21,38 @@ RULES = [
     ("net", "/fr/", "block"),
 ]
 
-LINK_TAG = r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-META_TAG = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)"
+# Patterns that Java's and DuckDB's regular expressions read alike.
+COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+HINT = r"(?is)<link\b[^>]*canonical|<meta\b[^>]*refresh"
+TAG = r"(?is)<(?:link|meta)\b[^>]*>"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
+IN_CONTENT = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
+# Character references that stand in addresses; the ampersand comes last.
+REFERENCES = [
+    (r"&quot;|&#0*34;|&#[xX]0*22;", '"'),
+    (r"&apos;|&#0*39;|&#[xX]0*27;", "'"),
+    (r"&period;|&#0*46;|&#[xX]0*2[eE];", "."),
+    (r"&sol;|&#0*47;|&#[xX]0*2[fF];", "/"),
+    (r"&colon;|&#0*58;|&#[xX]0*3[aA];", ":"),
+    (r"&lt;|&#0*60;|&#[xX]0*3[cC];", "<"),
+    (r"&equals;|&#0*61;|&#[xX]0*3[dD];", "="),
+    (r"&gt;|&#0*62;|&#[xX]0*3[eE];", ">"),
+    (r"&quest;|&#0*63;|&#[xX]0*3[fF];", "?"),
+    (r"&amp;|&#0*38;|&#[xX]0*26;", "&"),
+]
+
+
+def attribute_pattern(name: str) -> str:
+    """An attribute's value in quotes of either kind or none, each a group."""
+    return rf"(?is)[\s\"'/]{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute of a tag without character references; empty if it is not there."""
+    found = F.concat(*[F.regexp_extract(tag, attribute_pattern(name), k) for k in (1, 2, 3)])
+    for reference, character in REFERENCES:
+        found = F.regexp_replace(found, reference, character)
+    return F.regexp_replace(found, r"^\s+|\s+$", "")
 
 
 def after_scheme(url: Column) -> Column:
@@ -47,17 +75,42 @@ def alias_key(url: Column) -> Column:
     )
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/")
+    nothing = F.array().cast("array<string>")
+    folded = F.aggregate(
+        F.slice(parts, F.lit(2), F.size(parts)),
+        nothing,
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    last = F.element_at(parts, -1)
+    whole = F.when(last.isin(".", ".."), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
+    return F.when(path.contains("/."), F.concat(F.lit("/"), F.array_join(whole, "/"))).otherwise(path)
+
+
 def absolute(link: Column, base: Column) -> Column:
-    """A link as an absolute address, seen from the page at ``base``; null where there is none."""
+    """A link as an absolute address, seen from the page at ``base``; null where there is none.
+
+    Links within the page itself and to what has no host, as ``mailto:``, are none.
+    """
     origin = F.regexp_extract(base, r"^([^/]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"^([^/]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    return (
-        F.when((link == "") | link.isNull() | ~base.contains("://"), F.lit(None).cast("string"))
-        .when(link.contains("://"), link)
+    path = path_of(base)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, r"^.*/", 0), F.lit("")), F.lit("/"))
+    whole = (
+        F.when((link == "") | link.isNull() | ~base.contains("://") | link.startswith("#"), F.lit(None).cast("string"))
         .when(link.startswith("//"), F.concat(F.regexp_extract(base, r"^([^/]*:)//", 1), link))
+        .when(link.rlike(SCHEME + "//"), link)
+        .when(link.rlike(SCHEME), F.lit(None).cast("string"))
         .when(link.startswith("/"), F.concat(origin, link))
-        .when(folder.endswith("/") & (F.length(folder) > F.length(origin)), F.concat(folder, link))
-        .otherwise(F.concat(origin, F.lit("/"), link))
+        .when(link.startswith("?"), F.concat(origin, path, link))
+        .otherwise(F.concat(origin, folder, link))
+    )
+    split = r"(?s)^([^/]*://[^/?#]*)([^?#]*)(.*)$"
+    return F.concat(
+        F.regexp_extract(whole, split, 1), without_dots(F.regexp_extract(whole, split, 2)), F.regexp_extract(whole, split, 3)
     )
 
 
@@ -73,14 +126,18 @@ def rule_of(host: Column, path: Column, rules) -> Column:
 
 
 def page_links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(from, to) of every canonical link and refresh redirect."""
-    url, html = F.col(url_col), F.col(html_col)
-    canonical = F.regexp_extract(F.regexp_extract(html, LINK_TAG, 0), HREF, 1)
-    refresh = F.regexp_extract(F.regexp_extract(html, META_TAG, 0), REFRESH, 1)
+    """(from, to) of every canonical link and refresh redirect outside of comments."""
+    url, html, tag = F.col(url_col), F.col(html_col), F.col("tag")
+    tags = F.regexp_extract_all(F.regexp_replace(html, COMMENT, " "), F.lit(TAG), F.lit(0))
+    canonical = F.concat(F.lit(" "), F.lower(attribute(tag, "rel")), F.lit(" ")).rlike(r"\scanonical\s")
+    refresh = F.lower(attribute(tag, "http-equiv")) == "refresh"
+    link = F.when(tag.rlike("(?i)^<link"), F.when(canonical, attribute(tag, "href"))).otherwise(
+        F.when(refresh, F.regexp_extract(attribute(tag, "content"), IN_CONTENT, 1))
+    )
     return (
-        pages.where(html.rlike(LINK_TAG) | html.rlike(META_TAG))
-        .select(url.alias("from"), F.explode(F.array(canonical, refresh)).alias("link"))
-        .select("from", absolute(F.col("link"), F.col("from")).alias("to"))
+        pages.where(html.rlike(HINT))
+        .select(url.alias("from"), F.explode(tags).alias("tag"))
+        .select("from", absolute(link, F.col("from")).alias("to"))
         .where("to is not null")
     )
 
@@ -128,7 +185,8 @@ def judge_urls(
     longest rule wins. A page that no rule fits takes its aliases' decision: allow if one of them is explicitly
     allowed, else block if one is blocked, else allow. ``redirects`` may add (from, to) addresses to the links
     found in the pages. A null url or one without ``://`` has empty host and path and is allowed; null html has no
-    links; repeated rows are judged alike, and an empty table gives an empty result.
+    links; repeated rows are judged alike, and an empty table gives an empty result. Very long pages are read like
+    others; columns of ``pages`` may have any names.
     """
     links = page_links(pages, url_col, html_col)
     if redirects is not None:
@@ -160,30 +218,66 @@ def filter_urls(pages: DataFrame, rules=RULES, id_col="page_id", url_col="url",
     return pages.join(blocked, pages[id_col].eqNullSafe(blocked["blocked_id"]), "left_anti")
 
 
-@query(
-    r"""
-WITH RECURSIVE rules(site, under, verdict) AS (
-  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
-         ('net', '/es/', 'block'), ('net', '/fr/', 'block')
-),
+def quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def attribute_sql(name: str) -> str:
+    """``attribute`` for DuckDB."""
+    value = " || ".join(f"regexp_extract(tag, {quoted(attribute_pattern(name))}, {k})" for k in (1, 2, 3))
+    for reference, character in REFERENCES:
+        value = f"regexp_replace({value}, {quoted(reference)}, {quoted(character)}, 'g')"
+    return rf"regexp_replace({value}, '^\s+|\s+$', '', 'g')"
+
+
+LINKS_SQL = rf"""
 tags AS (
-  SELECT page_id, url,
-         unnest([regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0),
-                   '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-                 regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0),
-                   '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS link
+  SELECT url, unnest(regexp_extract_all(regexp_replace(html, {quoted(COMMENT)}, ' ', 'g'), {quoted(TAG)}, 0)) AS tag
   FROM pages
 ),
+found AS (
+  SELECT url, CASE
+      WHEN regexp_matches(tag, '(?i)^<link') THEN
+        CASE WHEN regexp_matches(' ' || lower({attribute_sql("rel")}) || ' ', '\scanonical\s') THEN {attribute_sql("href")} END
+      WHEN lower({attribute_sql("http-equiv")}) = 'refresh'
+        THEN regexp_extract({attribute_sql("content")}, {quoted(IN_CONTENT)}, 1) END AS link,
+    regexp_extract(url, '^([^/]*://[^/?#]*)', 1) AS origin,
+    regexp_extract(url, '^[^/]*://[^/?#]*([^?#]*)', 1) AS path
+  FROM tags WHERE contains(url, '://')
+),
+whole AS (
+  SELECT url, CASE
+      WHEN link = '' OR link IS NULL OR starts_with(link, '#') THEN NULL
+      WHEN starts_with(link, '//') THEN regexp_extract(url, '^([^/]*:)//', 1) || link
+      WHEN regexp_matches(link, {quoted(SCHEME + "//")}) THEN link
+      WHEN regexp_matches(link, {quoted(SCHEME)}) THEN NULL
+      WHEN starts_with(link, '/') THEN origin || link
+      WHEN starts_with(link, '?') THEN origin || path || link
+      ELSE origin || coalesce(nullif(regexp_extract(path, '^.*/', 0), ''), '/') || link END AS b
+  FROM found
+),
+cut AS (
+  SELECT url, regexp_extract(b, '^([^/]*://[^/?#]*)', 1) AS origin, regexp_extract(b, '^[^/]*://[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(b, '(?s)^[^/]*://[^?#]*(.*)$', 1) AS tail
+  FROM whole WHERE b IS NOT NULL
+),
 links AS (
-  SELECT url AS a,
-         CASE WHEN contains(link, '://') THEN link
-              WHEN starts_with(link, '//') THEN regexp_extract(url, '^([^/]*:)//', 1) || link
-              WHEN starts_with(link, '/') THEN regexp_extract(url, '^([^/]*://[^/?#]*)', 1) || link
-              WHEN regexp_matches(url, '^[^/]*://[^/?#]*/')
-              THEN regexp_extract(url, '^([^/]*://[^/?#]*(?:/[^?#]*/|/)?)', 1) || link
-              ELSE regexp_extract(url, '^([^/]*://[^/?#]*)', 1) || '/' || link END AS b
-  FROM tags WHERE link <> '' AND contains(url, '://')
+  SELECT url AS a, origin || CASE WHEN contains(path, '/.') THEN '/' || array_to_string(list_reduce(
+           list_prepend([]::VARCHAR[], list_transform(string_split(path, '/')[2:], lambda x: [x])),
+           lambda done, x: CASE WHEN x[1] = '.' THEN done WHEN x[1] = '..' THEN done[1:len(done) - 1] ELSE done || x END)
+           || CASE WHEN string_split(path, '/')[-1] IN ('.', '..') THEN [''] ELSE []::VARCHAR[] END, '/')
+         ELSE path END || tail AS b
+  FROM cut
+)"""
+
+
+@query(
+    rf"""
+WITH RECURSIVE rules(site, under, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+         ('net', '/es/', 'block'), ('net', '/fr/', 'block')
 ),
+{LINKS_SQL},
 urls AS (SELECT url FROM pages UNION SELECT b FROM links),
 parsed AS (
   SELECT url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM urls

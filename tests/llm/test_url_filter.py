@@ -1,5 +1,7 @@
+import duckdb
 import pytest
 
+from palimpsest.llm.common import ORACLES
 from palimpsest.llm.components import connected_components
 from palimpsest.llm.url_filter import filter_urls, judge_urls
 from tests.llm.helpers import with_clashes
@@ -99,3 +101,63 @@ def test_components(spark, edges):
         for u, v in edges:
             want[u] = want[v] = min(want[u], want[v])
     assert got == want
+
+
+# Pages at a.org that are aliases of a blocked page, one for each form of link, and pages that are none.
+ALIASES = [
+    '<link rel="canonical" href="http://a.org/me"><link href="http://b.net/es/1" rel="canonical">',
+    "<link rel='alternate canonical' href='http://b.net/es/1'>",
+    "<link rel=canonical href=http://b.net/es/1>",
+    '<LINK\n  HREF = "http://b.net/es/1"\n  REL = "CANONICAL" />',
+    '<link rel="canonical" href="http://b.net/es/?a=1&amp;b=2">',
+    '<link rel="canonical" href="http://b.net/es/?a=1&#38;b=2">',
+    '<link rel="canonical" href="http:&#x2F;&#47;b.net/es/1">',
+    '<link rel="canonical" href=" http://b.net/de/.././es/1 ">',
+    '<link rel="canonical" href="//b.net/fr/../es/1">',
+    '<link rel="canonical" href="../../x/blocked">',
+    '<link rel="canonical" href="/y/../x/./blocked#part">',
+    '<link rel="canonical" href="?blocked">',
+    '<meta content="0; URL=http://b.net/es/1" http-equiv="Refresh">',
+    "<meta http-equiv=refresh content=0;url=http://b.net/es/1>",
+    '<meta http-equiv="refresh" content="5;url=\'/x/blocked\'">',
+    '<!-- a --><link rel="canonical" href="http://b.net/es/1"><!-- b -->',
+]
+NONE = [
+    '<!-- <link rel="canonical" href="http://b.net/es/1"> -->',
+    '<!-- never closed <link rel="canonical" href="http://b.net/es/1">',
+    '<link rel="alternate" href="http://b.net/es/1">',
+    '<link rel="noncanonical" href="http://b.net/es/1">',
+    '<link data-rel="canonical" href="http://b.net/es/1">',
+    '<a rel="canonical" href="http://b.net/es/1">',
+    '<link rel="canonical" data-href="http://b.net/es/1">',
+    '<meta name="refresh" content="0;url=http://b.net/es/1">',
+    '<link rel="canonical" href="mailto:x@b.net">',
+    '<link rel="canonical" href="#blocked">',
+    '<link rel="canonical" href="/go?to=http://b.net/es/1">',
+    '<link rel="canonical" href="">',
+    "<link rel=canonical>",
+]
+
+
+def planted():
+    rows = [(1, "http://b.net/es/1", None), (2, "http://b.net/es/?a=1&b=2", None), (3, "http://a.org/x/blocked", link("http://b.net/es/1"))]
+    rows += [(100 + i, f"http://a.org/p/q{i}/r{i}", html) for i, html in enumerate(ALIASES)]
+    rows += [(200 + i, f"http://a.org/p/n{i}/r{i}", html) for i, html in enumerate(NONE)]
+    rows += [(300, f"http://a.org/p/q{ALIASES.index(ALIASES[11])}/r11?blocked", link("http://b.net/es/1"))]
+    return rows + [(400, None, ALIASES[0]), (401, "no address", ALIASES[0]), (402, "http://c.org", '<link rel="canonical" href="x/../es">')]
+
+
+def test_every_form_of_link_carries_the_block(spark):
+    got = verdicts(spark, planted())
+    wrong = [(html, got[100 + i][3]) for i, html in enumerate(ALIASES) if got[100 + i][3] != "block"]
+    assert wrong == []
+    assert [(html, got[200 + i][3]) for i, html in enumerate(NONE) if got[200 + i][3] != "allow"] == []
+    assert {got[i][3] for i in (400, 401, 402)} == {"allow"}
+
+
+def test_the_oracle_sees_the_same_links(spark, tmp_path):
+    spark.createDataFrame(planted(), PAGES).write.parquet(str(tmp_path / "pages"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages/*.parquet')")
+    rows = connection.execute(ORACLES["op5_url_filters"]).fetchall()
+    assert {r[0]: r[1:] for r in rows} == verdicts(spark, planted())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from palimpsest.operators.dedup import keep_first
@@ -22,6 +24,30 @@ def flatten(records: DataFrame, column: str, prefix: str = "", separator: str =
     return records.select(*others, *leaves(records.schema[column].dataType, []))
 
 
+def found_schema(records: DataFrame, text: str) -> T.DataType:
+    """The schema of JSON texts as they are: one pass, of which each task returns the fields it has seen.
+
+    Fields of several types are read as text. The driver sees field names alone.
+    """
+    seen = records.agg(F.schema_of_variant_agg(F.try_parse_json(text))).first()[0]
+    if not seen or not seen.startswith("OBJECT"):
+        return T.StructType()
+    plain = re.sub(r"\bOBJECT<", "STRUCT<", re.sub(r"\b(VARIANT|VOID)\b(?=[,>]|$)", "STRING", seen))
+    return T.DataType.fromDDL(plain)
+
+
+def flatten_found(records: DataFrame, text: str, prefix: str = "", separator: str = ".") -> DataFrame:
+    """Replace JSON text by one column for every leaf that any record has, named by its path.
+
+    The fields need not be known. Arrays stay whole, records without a field have NULL; text that is no JSON object
+    has no fields.
+    """
+    schema = found_schema(records, text)
+    if not schema.fields:
+        return records.drop(text)
+    return flatten(records.withColumn(text, F.from_json(text, schema)), text, prefix, separator)
+
+
 def typed(source: Column, kind: str, lenient: bool = False) -> Column:
     """Cast to ``kind``; a lenient one turns values that do not parse into NULL instead of stopping."""
     return source.try_cast(kind) if lenient else source.cast(kind)

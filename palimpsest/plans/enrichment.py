@@ -21,8 +21,9 @@ TOPIC_TABLE = T.StructType(
     _KEY + [T.StructField(TOPIC, T.StringType()), T.StructField(SCORE, T.DoubleType())] + _AT
 )
 SUMMARY_TABLE = T.StructType(_KEY + [T.StructField(SUMMARY, T.StringType())] + _AT)
-# Jobs of a run, each of which keeps what it finished.
+# Jobs of a run, each of which keeps what it finished; slices of a short queue share one.
 SLICES = 8
+JOB_ROWS = 20_000
 SLICE = "_slice"
 # Rows of a model task, of which there are then enough for all cores and no long ones.
 TASK_ROWS = 10_000
@@ -90,10 +91,10 @@ def _enrich(
     at: datetime,
     slices: int,
 ) -> None:
-    """Inherit, then work off the queue in ``slices`` jobs.
+    """Inherit, then work off the queue in up to ``slices`` jobs.
 
     The log is read twice, once to inherit and once for the queue, which is stored by slice. Every job reads its
-    slice alone and appends what it finished, so a run that is cut off resumes with what is left.
+    slices alone, few of a long queue and all of a short one, and appends what it finished, so a run that is cut off resumes with what is left.
     """
 
     def labelled() -> DataFrame:
@@ -108,8 +109,19 @@ def _enrich(
         sliced.write.partitionBy(SLICE).parquet(folder)
         kept = read_or_empty(spark, folder, sliced.schema)
         sizes = {r[SLICE]: r["n"] for r in kept.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).collect()}
-        for part, rows in sorted(sizes.items()):
-            _keep(apply(kept.filter(F.col(SLICE) == part).drop(SLICE), _tasks(spark, rows)), table, path, at)
+        for parts, rows in _jobs(sizes):
+            _keep(apply(kept.filter(F.col(SLICE).isin(parts)).drop(SLICE), _tasks(spark, rows)), table, path, at)
+
+
+def _jobs(sizes: dict[int, int]) -> list[tuple[list[int], int]]:
+    """Slices put together, with their rows, as long as these are no more than ``JOB_ROWS``."""
+    jobs: list[tuple[list[int], int]] = []
+    for part, rows in sorted(sizes.items()):
+        if jobs and jobs[-1][1] + rows <= JOB_ROWS:
+            jobs[-1] = ([*jobs[-1][0], part], jobs[-1][1] + rows)
+        else:
+            jobs.append(([part], rows))
+    return jobs
 
 
 def classify_propositions(

@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from palimpsest.operators import bucketed, history
+from palimpsest.operators import bucketed, evolution, history
 from palimpsest.operators.dedup import keep_first
 from palimpsest.plans import silver
 from palimpsest.plans.entities import SPECS
@@ -263,3 +263,27 @@ def keyless_count(spark, sf_dir):
     """How many versions carry no key."""
     keyed = versions(spark, sf_dir).withColumn("pk", F.when(F.col("event_type") != "error", F.col("user_id")))
     return history.keyless_count(keyed, "pk")
+
+
+@query(f"""WITH {VERSIONS_SQL}
+SELECT event_id, CAST(batch AS VARCHAR) AS batch,
+       CASE WHEN batch < DATE '2024-01-10' THEN CAST(user_id AS VARCHAR)
+            WHEN batch < DATE '2024-01-20' THEN CAST(user_id + 5000000000 AS VARCHAR)
+            ELSE event_type || '-' || user_id END AS code,
+       CASE WHEN batch < DATE '2024-01-10' THEN -1 ELSE CAST(round(value * 100) AS BIGINT) END AS amount
+FROM versions""")
+def schema_changed_types(spark, sf_dir):
+    """A column that was a whole number, then a long one, then text, and one that came late; one schema for all."""
+    log = version_table(spark, sf_dir).withColumn("batch", F.col("batch").cast("string"))
+    root, user, day = scratch_path(spark, "evolving"), F.col("user_id"), F.col("batch")
+    amount = F.round(F.col("value") * 100)
+    phases = [
+        (day < "2024-01-10", [user.cast("int").alias("code")]),
+        ((day >= "2024-01-10") & (day < "2024-01-20"), [(user + F.lit(5_000_000_000)).alias("code"), amount.cast("int").alias("amount")]),
+        (day >= "2024-01-20", [F.concat_ws("-", "event_type", user).alias("code"), amount.cast("bigint").alias("amount")]),
+    ]
+    # The last days are delivered as numbers first and replaced by text.
+    evolution.append_batches(log.filter(phases[2][0]).select("event_id", "batch", *phases[0][1]), root)
+    for days, columns in phases:
+        evolution.append_batches(log.filter(days).select("event_id", "batch", *columns), root)
+    return evolution.read_log(spark, root).select("event_id", "batch", "code", F.coalesce("amount", F.lit(-1)).alias("amount"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from palimpsest.operators import shaping
 from palimpsest.operators.dedup import keep_first
 from palimpsest.operators.shaping import flatten, json_text, project, typed
 from palimpsest.plans import silver
@@ -35,6 +36,26 @@ def flatten_json(spark, sf_dir):
     return flatten(nested, "detail", prefix="detail.")
 
 
+@query("""
+SELECT event_id, event_type AS "detail.kind",
+       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS "detail.props.k",
+       CASE WHEN event_type = 'error' THEN CAST(user_id AS BIGINT) END AS "detail.failure.user",
+       CASE WHEN event_type = 'error' THEN 'a,' || event_id END AS "detail.failure.tags",
+       CASE WHEN event_type = 'error' THEN CAST(event_id AS VARCHAR) ELSE event_type END AS "detail.mixed"
+FROM events""")
+def flatten_found(spark, sf_dir):
+    """JSON whose fields no schema names: found in the data, one column per leaf."""
+    events, failed = table(spark, sf_dir, "events"), F.col("event_type") == "error"
+    failure = F.struct(F.col("user_id").alias("user"), F.array(F.lit("a"), F.col("event_id").cast("string")).alias("tags"))
+    number = F.to_json(F.struct(F.col("event_type").alias("kind"), failure.alias("failure"), F.col("event_id").alias("mixed")))
+    plain = F.to_json(
+        F.struct(F.col("event_type").alias("kind"), F.from_json("props", "struct<k:bigint>").alias("props"), F.col("event_type").alias("mixed"))
+    )
+    found = shaping.flatten_found(events.select("event_id", F.when(failed, number).otherwise(plain).alias("detail")), "detail", "detail.")
+    tags = F.col("`detail.failure.tags`")
+    return found.withColumn("detail.failure.tags", F.when(tags.isNotNull(), F.array_join(tags, ",")))
+
+
 @query("""
 SELECT c_custkey AS id, c_name AS nome, CAST(c_nationkey AS BIGINT) AS estado, c_mktsegment AS partido FROM customer""")
 def project_rename(spark, sf_dir):

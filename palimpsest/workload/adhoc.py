@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from palimpsest.functions.sqlguard import BLOCKED
-from palimpsest.plans import adhoc
+from palimpsest.plans import adhoc, postings
+from palimpsest.session import scratch_path
 from palimpsest.sources.landing import spread_input
 from palimpsest.workload.registry import query, table
 
@@ -91,6 +92,18 @@ def keyword_search(spark, sf_dir):
     )
 
 
+@query("""
+SELECT doc_id, source FROM documents WHERE text ILIKE '%ThE sECRET%' OR text ILIKE '%eauxtion%' OR source ILIKE '%ThE sECRET%'
+   OR source ILIKE '%eauxtion%' OR text ILIKE '%tion%ier_é%' OR source ILIKE '%tion%ier_é%'""")
+def keyword_index_search(spark, sf_dir):
+    """The same by an index of letter triples, for rare terms and a pattern."""
+    root = scratch_path(spark, "keywords")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    postings.index(documents, "doc_id", ["text", "source"], root, parts=64)
+    found = postings.search(spark, root, "doc_id", ["text", "source"], ["ThE sECRET", "eauxtion", "tion%ier_é"])
+    return found.select("doc_id", "source")
+
+
 @query("""
 SELECT o_orderkey AS id, o_orderstatus AS situacao FROM orders
 WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1997 ORDER BY o_orderkey LIMIT 50""")

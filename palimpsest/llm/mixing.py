@@ -118,12 +118,17 @@ def flight(units: list[list], rng: random.Random, stop: int) -> None:
 
 
 def with_reserve(units: list[list], reserve: int) -> list[list]:
-    """The units by falling size, but last, for the landing, up to ``reserve`` of sizes that halve from the largest."""
-    kept, most = [], units[0][0] / 2
-    for i, unit in enumerate(units[1:], 1):
-        if len(kept) < reserve and unit[0] <= most:
+    """The units by falling size, but last, for the landing, up to ``reserve`` of them.
+
+    Half of these are the largest after the first, which together make up for one large unit that stays open; the
+    sizes of the others halve from there, to come close.
+    """
+    coarse = min(reserve // 2, len(units) - 1)
+    kept, most = list(range(1, coarse + 1)), units[coarse][0] / 2
+    for i in range(coarse + 1, len(units)):
+        if len(kept) < reserve and units[i][0] <= most:
             kept.append(i)
-            most = unit[0] / 2
+            most = units[i][0] / 2
     held = set(kept)
     return [u for i, u in enumerate(units) if i not in held] + [units[i] for i in kept]
 

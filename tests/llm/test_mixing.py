@@ -129,3 +129,9 @@ def test_small_and_odd_tables(spark):
     assert [(r.size, r.target, r.copies) for r in nothing] == [(0, 0.0, 0)] * 2
     rows = [(1, "a " * 200_000, "a"), (2, "b c", "b"), (3, None, "b"), (4, "É é x", "c")]
     check(rows, mix_plan(docs(spark, rows)).collect(), near=0.5)
+
+
+def test_a_very_long_document_does_not_keep_its_source_off_its_target(spark):
+    rng = random.Random(10)
+    rows = [(i, "Wort " * rng.randint(100, 900), rng.choice("abc")) for i in range(900)] + [(2000, "Wort " * 20_000, "b")]
+    check(rows, mix_plan(docs(spark, rows)).collect(), near=0.001)

@@ -48,8 +48,9 @@ def sample(n, d, seed, spread=lambda k: 1.0):
     return [(i, [rng.gauss(0.3, 1) * s for s in scales]) for i in range(n)]
 
 
-@pytest.mark.parametrize("d, spread", [(64, lambda k: 1.0), (20, lambda k: 2.0**-k), (3, lambda k: 1.0), (1, lambda k: 1.0)])
-def test_components_are_those_of_the_whole_covariance(spark, d, spread):
+@pytest.mark.parametrize("d, spread", [(30, lambda k: 1.0), (12, lambda k: 2.0**-k), (3, lambda k: 1.0), (1, lambda k: 1.0)])
+def test_components_are_those_of_the_whole_covariance(spark, monkeypatch, d, spread):
+    monkeypatch.setattr(whitening, "CHECKS", 2)
     rows = sample(300, d, d, spread)
     rows += [(1000 + i, rows[0][1]) for i in range(200)]
     check(rows, whitened(vectors(spark, rows)).collect())
@@ -57,8 +58,9 @@ def test_components_are_those_of_the_whole_covariance(spark, d, spread):
 
 def test_restarts_and_few_steps(spark, monkeypatch):
     monkeypatch.setattr(whitening, "SPACE", 1)
-    rows = sample(400, 60, 5)
-    fit = whitening.Fit(whitening.stored(vectors(spark, rows).select(whitening.grid(whitening.F.col("embedding"), 256).alias("x")).distinct(), "t"), 60)
+    monkeypatch.setattr(whitening, "CHECKS", 1)
+    rows = sample(300, 40, 5)
+    fit = whitening.Fit(whitening.stored(vectors(spark, rows).select(whitening.grid(whitening.F.col("embedding"), 256).alias("x")).distinct(), "t"), 40)
     values, lead, done = whitening.leading_pairs(fit, 4, space=24, steps=4)
     _, _, _, wanted, truth, _ = plain(rows)
     assert np.allclose(values, wanted[:4], rtol=1e-12)

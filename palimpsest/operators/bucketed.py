@@ -31,7 +31,10 @@ def _name() -> str:
 
 
 def register(spark: SparkSession, path: str, schema: T.StructType, buckets: Buckets, partition: str | None = None) -> str:
-    """Name under which the session's catalog knows the bucketed table at ``path``; its files stay as they are."""
+    """Name under which the session's catalog knows the bucketed table at ``path``; its files stay as they are.
+
+    The name is new for each call and serves as long as its readers: a persistent catalog should drop it after them.
+    """
     name = _name()
     quoted = lambda c: f"`{c.replace('`', '``')}`"
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)

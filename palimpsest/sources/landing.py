@@ -1,8 +1,8 @@
 """Landed batches: scan, discovery, latest-batch selection, list pages and the batch sinks.
 
-A batch is what one run delivered. API files are JSON arrays (one file per batch, one task per file, since
-an array cannot be split); larger feeds land as JSON Lines or Parquet in ``batch=<name>/`` folders, which
-split freely.
+A batch is what one run delivered. API files are JSON arrays (one file per batch, read by one task unless the file
+is large, see ``read_indented_batches`` and ``arrays``); larger feeds land as JSON Lines or Parquet in
+``batch=<name>/`` folders, which split freely.
 """
 
 from __future__ import annotations

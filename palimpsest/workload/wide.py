@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from palimpsest.operators import history
 from palimpsest.plans import gold, silver
 from palimpsest.plans.entities import SPECS
+from palimpsest.sources.landing import deal_rows
 from palimpsest.workload.registry import bronze_record, query, table, time_text
 
 # By parent path the fields of each feed, as field>column where the names differ; :n marks numbers,
@@ -91,7 +92,8 @@ def value(path, kind, key):
 def records(spark, sf_dir, feed):
     """Records with every field of the feed, each delivered twice; the second copy has other contents."""
     name, key = SOURCES[feed]
-    rows = table(spark, sf_dir, name).select(F.col(key).cast("long").alias("key"), F.explode(F.array(F.lit(0), F.lit(1))).alias("_ordinal"))
+    keys = deal_rows(table(spark, sf_dir, name).select(F.col(key).cast("long").alias("key")))
+    rows = keys.select("key", F.explode(F.array(F.lit(0), F.lit(1))).alias("_ordinal"))
     seed = F.col("key") + F.col("_ordinal")
     values = {path: value(path, kind, seed) for path, _, kind in fields(feed)} | {"id": F.col("key")}
     if feed != "parties":

@@ -8,13 +8,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from palimpsest.operators import history, inherit as carry
+from palimpsest.operators import history, inherit as carry, summaries
 from palimpsest.operators.models import apply_model
 from palimpsest.operators.summaries import extractive_summary
 from palimpsest.operators.topics import nearest_topic, similarities
 from palimpsest.plans import enrichment
 from palimpsest.plans.entities import TOPICS
-from tests.conftest import tuples
+from tests.conftest import plan_of, tuples
 
 LOG = "id bigint, batch string, ementa string, ementaDetalhada string, tema string, is_current boolean"
 
@@ -212,3 +212,42 @@ def test_extractive_summary_by_hand(spark):
     assert tuples(extractive_summary(rows, "id", "text")) == sorted(wanted, key=repr)
     salted = extractive_summary(rows, "id", "text", hot={"the": 3_000_000})
     assert tuples(salted) == sorted(wanted, key=repr)
+
+
+def test_inheritance_moves_no_texts(spark, tmp_path, monkeypatch):
+    kept, plain = [], enrichment._keep
+    monkeypatch.setattr(enrichment, "_keep", lambda rows, *more: kept.append(plan_of(rows.select("id", "batch", enrichment.TOPIC))) or plain(rows, *more))
+    rows = spark.createDataFrame(
+        [(1, "1", "a", None), (1, "2", "a", None), (2, "2", "b", None), (3, "2", "", None), (None, "2", "c", None)],
+        "id bigint, batch string, ementa string, ementaDetalhada string",
+    )
+    path = f"{tmp_path}/log"
+    rows.withColumn("loaded_at", F.to_timestamp(F.concat(F.lit("2024-01-0"), F.col("batch")))).write.parquet(path)
+    texts = enrichment.with_digest(spark.read.parquet(path))
+    flags = history.flag_current(texts, "id", "batch", "delta")
+    made = enrichment.classify_propositions(spark, flags, f"{tmp_path}/topics", embed, datetime(2024, 1, 1, tzinfo=timezone.utc), texts=texts)
+    assert tuples(made, "id", "batch") == [(1, "2"), (2, "2")]
+    exchanges = [line for line in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: (.*)", kept[0])]
+    assert exchanges and not any("ementa#" in line for line in exchanges)
+
+
+def test_queue_rows_without_a_batch_name_stay(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, None, "a", None, True), (2, "", "b", None, True)],
+        "id bigint, batch string, ementa string, ementaDetalhada string, is_current boolean",
+    ).withColumn("loaded_at", F.to_timestamp(F.lit("2024-01-01")))
+    made = enrichment.classify_propositions(spark, rows, f"{tmp_path}/topics", embed, datetime(2024, 1, 1, tzinfo=timezone.utc))
+    assert tuples(made, "id", "batch") == [(1, None), (2, "")]
+
+
+def test_only_rare_words_are_joined(spark, monkeypatch):
+    texts = {i: f"The law of number{i}. The tax. A school of law number{i % 7}x." for i in range(40)}
+    rows = spark.createDataFrame(list(texts.items()), "id int, text string")
+    moved, plain = [], summaries.salted_join
+    monkeypatch.setattr(summaries, "salted_join", lambda left, *more: moved.extend(r["word"] for r in left.collect()) or plain(left, *more))
+    monkeypatch.setattr(summaries, "VOCABULARY_ROWS", 12)
+    wanted = [(i, s) for i, s in by_hand(texts).items()]
+    assert tuples(extractive_summary(rows, "id", "text")) == sorted(wanted, key=repr)
+    assert moved and not {"the", "law", "of", "tax"} & set(moved)
+    monkeypatch.setattr(summaries, "VOCABULARY_ROWS", 1)
+    assert tuples(extractive_summary(rows, "id", "text")) == sorted(wanted, key=repr)

@@ -291,3 +291,17 @@ def test_large_files_are_checked_in_pieces(spark, tmp_path, monkeypatch):
     assert loaded == [("delta_compact.json", 1), ("delta_good.json", 5), ("delta_several.json", 6)]
     assert tuples(silver.quarantined(spark, book), "file_name") == [(f"delta_{n}.json",) for n in ("junk", "number", "tail")]
     assert {p.rsplit("/", 1)[1] for p in read_whole} == {"delta_compact.json", "delta_several.json"}
+
+
+def test_few_batches_are_written_as_they_are_spread(spark, tmp_path, monkeypatch):
+    root, book = paths(tmp_path)
+    bronze = tmp_path / "bronze"
+    bronze.mkdir()
+    moved, plain = [], landing.append_batches
+    monkeypatch.setattr(landing, "append_batches", lambda rows, to, spread=False: moved.append(not spread) or plain(rows, to, spread))
+    for days in (range(2), range(2, 2 + silver.FEW_BATCHES + 1)):
+        for day in days:
+            (bronze / f"delta_{day}.json").write_text(json.dumps([{"id": f"r{i}"} for i in range(3)]))
+        loaded = silver.run(spark, SPECS["votings"], str(bronze), root, book, AT)
+        assert tuples(loaded) == [(f"delta_{day}.json", 3) for day in days]
+    assert moved == [False, True]

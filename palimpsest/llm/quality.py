@@ -111,8 +111,11 @@ def fit_space(counts: np.ndarray, labels: np.ndarray, shares: dict[int, float],
     if not len(labels):
         empty = np.zeros((0, dimensions), np.float32)
         return Space(np.ones(TERMS, np.float32), np.zeros((TERMS, dimensions), np.float32), empty, *[np.zeros(0)] * 2, prior)
-    weights = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-    rows = unit(np.log1p(counts) * weights)
+    weights = np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))).astype(np.float32) + 1
+    # In place, as the driver holds them all.
+    rows = np.log1p(counts)
+    rows *= weights
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
     _, axes = np.linalg.eigh(rows.T @ rows)
     axes = np.ascontiguousarray(axes[:, ::-1][:, :dimensions], np.float32)
     taken = {label: max(1, int((labels == label).sum())) for label in (0, 1)}
@@ -160,12 +163,34 @@ def learn(
     schema = texts.drop("text").schema.add("terms", T.ArrayType(T.IntegerType())).add("counts", T.ArrayType(T.FloatType()))
     one = F.min(F.struct("hash", "label", "terms", "counts")).alias("one")
     drawn_rows = texts.mapInArrow(run, schema).groupBy("id").agg(one).select("one.label", "one.terms", "one.counts")
-    rows = drawn_rows.toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["label"], r["terms"], r["counts"]))
-    counts = np.zeros((len(rows), TERMS), np.float32)
-    for i, row in enumerate(rows):
-        counts[i, row["terms"]] = row["counts"]
-    return fit_space(counts, np.array([r["label"] for r in rows], np.int64), shares, dimensions)
+    return fit_space(*in_order(drawn_rows.toArrow()), shares, dimensions)
+
+
+def in_order(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and labels of the drawn rows by label, terms and counts, so that the fit does not depend on their order.
+
+    The lists stay arrays: as Python numbers they would take the driver ten times the memory. Terms and counts are
+    never negative, so their big-endian bytes sort as they do.
+    """
+    rows = rows.combine_chunks()
+    labels = rows.column("label").to_numpy().astype(np.int64)
+    terms, found = (column.chunk(0) if column.num_chunks else None for column in (rows.column("terms"), rows.column("counts")))
+    if not len(labels):
+        return np.zeros((0, TERMS), np.float32), labels
+    ends = terms.offsets.to_numpy()
+    places, values = terms.values.to_numpy(), found.values.to_numpy()
+    shift = found.offsets.to_numpy()[0] - ends[0]
+
+    def key(i):
+        at, end = ends[i], ends[i + 1]
+        return labels[i], places[at:end].astype(">i4").tobytes(), values[at + shift : end + shift].astype(">f4").tobytes()
+
+    order = sorted(range(len(labels)), key=key)
+    counts = np.zeros((len(order), TERMS), np.float32)
+    for to, i in enumerate(order):
+        at, end = ends[i], ends[i + 1]
+        counts[to, places[at:end]] = values[at + shift : end + shift]
+    return counts, labels[order]
 
 
 def quality_scores(

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from palimpsest.llm import quality
@@ -94,3 +95,20 @@ def test_repeated_ids_and_labels_crowd_nothing_out(spark):
     assert np.isclose(space.prior, 38 / 39)
     again = quality.learn(documents(spark, rows[::-1]).repartition(5), spark.createDataFrame(labels, LABELS), "doc_id", "text", "quality", 8, 4)
     assert np.allclose(space.vectors, again.vectors)
+
+
+def test_drawn_rows_are_ordered_as_lists_are():
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(60):
+        terms = sorted(rng.choice(quality.TERMS, rng.integers(0, 4), replace=False).tolist())
+        rows.append({"label": i % 2, "terms": terms, "counts": [float(c) for c in rng.integers(1, 400, len(terms))]})
+    rows += [dict(r, counts=[c + 1 for c in r["counts"]]) for r in rows]
+    table = pa.Table.from_pylist(rows, pa.schema({"label": pa.int32(), "terms": pa.list_(pa.int32()), "counts": pa.list_(pa.float32())}))
+    wanted = sorted(rows, key=lambda r: (r["label"], r["terms"], r["counts"]))
+    for part in (table, pa.concat_tables([table[:50], table[50:]])):
+        counts, labels = quality.in_order(part)
+        assert labels.tolist() == [r["label"] for r in wanted]
+        for row, r in zip(counts, wanted):
+            assert np.flatnonzero(row).tolist() == r["terms"] and row[r["terms"]].tolist() == r["counts"]
+    assert quality.in_order(table[:0])[0].shape == (0, quality.TERMS)

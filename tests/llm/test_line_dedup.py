@@ -4,7 +4,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from palimpsest.llm.line_dedup import line_dedup, words_in
+from tests.conftest import plan_of
+from palimpsest.llm.line_dedup import line_dedup, lines_of, words_in
 from tests.llm.helpers import documents, with_clashes
 
 
@@ -113,3 +114,16 @@ def test_a_column_of_the_same_name(spark):
     kept = line_dedup(docs, dropped=None)
     assert kept.columns == docs.columns
     assert {r.doc_id: (r.text, r.n_dropped) for r in kept.collect()} == {1: (text, "x"), 2: ("", "y")}
+
+
+def test_words_are_counted_with_a_pattern_only_where_needed(spark):
+    rows = spark.createDataFrame([("a b c",), ("a\tb  c",), ("a\rb",), ("a\x0bb\x0cc",), ("\u00e4 \u00f6",)], "body string")
+    counted = rows.select("body", words_in(F.col("body")).alias("n"))
+    assert {r["body"]: r["n"] for r in counted.collect()} == {"a b c": 3, "a\tb  c": 3, "a\rb": 2, "a\x0bb\x0cc": 3, "\u00e4 \u00f6": 2}
+    assert "RLIKE" not in plan_of(counted)
+
+
+def test_keys_are_made_once_a_document(spark):
+    made = lines_of(spark.createDataFrame([(1, "a b\nc")], "doc_id long, text string"), "doc_id", "text")
+    above, below = made._jdf.queryExecution().optimizedPlan().toString().split("Generate ", 1)
+    assert "md5(cast(text#" in below and "md5(cast(text#" not in above

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.sources import landing
-from palimpsest.workload import silver, wide
+from palimpsest.workload import history, silver, wide
 
 ROWS = 400
 
@@ -42,3 +42,33 @@ def test_deputies_are_made_in_bounded_tasks(spark, tables, monkeypatch):
     records = silver.deputy_records(spark, tables)
     assert records.count() == 4 * ROWS
     assert largest_task(records) <= 4 * 60
+
+
+def plan(rows):
+    return rows._jdf.queryExecution().optimizedPlan().toString() + rows._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_dealing_holds_no_split(spark, tmp_path):
+    """Rows go as they are read: a sort of a whole split, as dealing by number alone does, would hold a row group."""
+    keys = spark.range(ROWS, numPartitions=1).select(F.nullif(F.col("id") % 7, F.lit(0)).alias("key"))
+    keys.write.parquet(f"{tmp_path}/keys")
+    rows = spark.read.parquet(f"{tmp_path}/keys").select(F.col("key").cast("string").alias("name"))
+    dealt = landing.deal_rows(rows, 50)
+    assert "RoundRobin" not in plan(dealt)
+    assert dealt.columns == ["name"]
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+    assert dealt.groupBy(F.spark_partition_id()).count().agg(F.min("count"), F.max("count")).first()[:] == (50, 50)
+
+
+def test_many_short_files_are_dealt_evenly(spark, tmp_path):
+    """Each file begins at a task of its own."""
+    spark.range(ROWS, numPartitions=80).write.parquet(f"{tmp_path}/ids")
+    assert largest_task(landing.deal_rows(spark.read.parquet(f"{tmp_path}/ids"), 134)) <= 180
+
+
+def test_snapshots_are_loaded_from_dealt_rows(spark, tables, monkeypatch):
+    monkeypatch.setattr(landing, "WIDE_ROWS", 50)
+    loaded, load = [], history.silver.load
+    monkeypatch.setattr(history.silver, "load", lambda rows, *more: loaded.append(plan(rows)) or load(rows, *more))
+    assert history.snapshot_replay(spark, tables).count() == ROWS
+    assert "RepartitionByExpression" in loaded[0] and "RoundRobin" not in loaded[0]

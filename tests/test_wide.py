@@ -72,3 +72,10 @@ def test_snapshots_are_loaded_from_dealt_rows(spark, tables, monkeypatch):
     monkeypatch.setattr(history.silver, "load", lambda rows, *more: loaded.append(plan(rows)) or load(rows, *more))
     assert history.snapshot_replay(spark, tables).count() == ROWS
     assert "RepartitionByExpression" in loaded[0] and "RoundRobin" not in loaded[0]
+
+
+def test_wide_propositions_come_of_dealt_rows(spark, tables, monkeypatch):
+    monkeypatch.setattr(landing, "WIDE_ROWS", 50)
+    rows = wide.silver_propositions_wide(spark, tables)
+    assert "RepartitionByExpression" in plan(rows) and "RoundRobin" not in plan(rows)
+    assert sorted(r["id"] for r in rows.select("id").collect()) == list(range(ROWS))

@@ -79,3 +79,10 @@ def test_wide_propositions_come_of_dealt_rows(spark, tables, monkeypatch):
     rows = wide.silver_propositions_wide(spark, tables)
     assert "RepartitionByExpression" in plan(rows) and "RoundRobin" not in plan(rows)
     assert sorted(r["id"] for r in rows.select("id").collect()) == list(range(ROWS))
+
+
+def test_wide_serving_rows_come_of_dealt_rows(spark, tables, monkeypatch):
+    monkeypatch.setattr(landing, "WIDE_ROWS", 50)
+    rows = wide.gold_deputies_wide(spark, tables)
+    assert "RepartitionByExpression" in plan(rows) and "RoundRobin" not in plan(rows)
+    assert sorted(r["id"] for r in rows.select("id").collect()) == list(range(ROWS))

@@ -86,3 +86,10 @@ def test_wide_serving_rows_come_of_dealt_rows(spark, tables, monkeypatch):
     rows = wide.gold_deputies_wide(spark, tables)
     assert "RepartitionByExpression" in plan(rows) and "RoundRobin" not in plan(rows)
     assert sorted(r["id"] for r in rows.select("id").collect()) == list(range(ROWS))
+
+
+def test_nested_deputies_come_of_dealt_rows(spark, tables, monkeypatch):
+    monkeypatch.setattr(landing, "WIDE_ROWS", 50)
+    rows = silver.silver_deputies(spark, tables)
+    assert "RepartitionByExpression" in plan(rows) and "RoundRobin" not in plan(rows)
+    assert sorted(r["id"] for r in rows.select("id").collect()) == [i for i in range(ROWS) for _ in range(2)]

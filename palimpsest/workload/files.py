@@ -99,7 +99,7 @@ def array_file_replay(spark, sf_dir):
     bronze, root, book = (scratch_path(spark, p) for p in ("arrays", "silver", "files"))
     for k, records in enumerate(_weeks(spark, sf_dir)):
         land_arrays(records, bronze, f"delta_{k}", indented=k % 2 == 0)
-    silver.run(spark, SPECS["votings"], bronze, root, book, AT, whole_bytes=0)
+    silver.run(spark, SPECS["votings"], bronze, root, book, AT, whole_bytes=0, range_bytes=0)
     return voting_columns(silver.current(spark, SPECS["votings"], root))
 
 

@@ -121,3 +121,25 @@ def test_silver_reads_large_files_of_any_layout_in_pieces(spark, tmp_path, small
         assert tuples(silver.quarantined(spark, book), "file_name") == [("delta_3.json",)]
         results.append(tuples(silver.current(spark, spec, root), "id", "descricao", "aprovacao", landing.SOURCE_FILE))
     assert results[0] == results[1] and len(results[0]) == 20
+
+
+def test_ranges_are_asked_for_by_a_size_of_their_own(spark, tmp_path, small_ranges, monkeypatch):
+    from datetime import datetime, timezone
+
+    bronze = tmp_path / "bronze"
+    bronze.mkdir()
+    compact = [{"id": f"v{i}", "descricao": "a } b", "aprovacao": i % 2} for i in range(20)]
+    (bronze / "delta_1.json").write_text(json.dumps(compact))
+    (bronze / "delta_2.json").write_text(json.dumps(compact)[:-9])
+    (bronze / "delta_3.json").write_text(json.dumps([{"id": "v2", "descricao": "later"}], indent=2))
+    at, spec = datetime(2024, 2, 1, tzinfo=timezone.utc), SPECS["votings"]
+    asked, plain, results = [], arrays.split_files, []
+    monkeypatch.setattr(arrays, "split_files", lambda s, files: asked.append([n.rsplit("/", 1)[1] for n, _ in files]) or plain(s, files))
+    for n, least in enumerate((None, 0)):
+        root, book = str(tmp_path / f"silver{n}"), str(tmp_path / f"files{n}")
+        counts = silver.run(spark, spec, str(bronze), root, book, at, whole_bytes=0, range_bytes=least)
+        assert tuples(counts) == [("delta_1.json", 20), ("delta_3.json", 1)]
+        assert tuples(silver.quarantined(spark, book), "file_name") == [("delta_2.json",)]
+        results.append(tuples(silver.current(spark, spec, root), "id", "descricao", "aprovacao", landing.SOURCE_FILE))
+    assert asked == [["delta_1.json", "delta_2.json"]]
+    assert results[0] == results[1] and len(results[0]) == 20

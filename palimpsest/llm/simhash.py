@@ -169,8 +169,9 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK)
     probes = segments.select("fp", F.explode(F.transform(flips, lambda m: F.col("key").bitwiseOR(m))).alias("key"))
     looked_up = probes.withColumn("owner", F.lit(False)).unionByName(segments.withColumn("owner", F.lit(True)))
     home = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    # Spark sizes the probes as if the explode made one row of each, and would broadcast all of them.
     met = (
-        looked_up.join(owned, "key")
+        looked_up.join(owned.hint("merge"), "key")
         .select("key", "fp", "owner", home.alias("home"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
         .select("key", "block", (F.col("owner") & (F.col("home") == F.col("block"))).alias("owner"), "fp")
     )

@@ -4,9 +4,12 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from palimpsest.llm import simhash
 from palimpsest.llm.simhash import fingerprint, near_links, simhash_dedup, simhash_groups
+from palimpsest.session import stored
+from tests.conftest import plan_of
 from tests.llm.helpers import by_id, documents, with_clashes
 
 LINES = ["the cat sat on the mat", "a dog ran off with my shoe", "rain fell on the old town all night long"]
@@ -82,6 +85,16 @@ def test_links_connect_what_differs_in_three_bits(spark, block):
     assert group == closure({i: p % (1 << 64) for p, i in ids.items()})
 
 
+def test_probes_are_not_broadcast(spark):
+    """The file of the fingerprints is small, their probes are many; both the first and the final plan are looked at."""
+    links = near_links(stored(spark.range(3000).select(F.xxhash64("id").alias("fp")), "fingerprints"))
+    before = plan_of(links)
+    links.collect()
+    for plan in (before, plan_of(links)):
+        assert "Broadcast" not in plan
+        assert "SortMergeJoin" in plan
+
+
 def test_more_bits_are_refused(spark):
     with pytest.raises(ValueError):
         near_links(spark.createDataFrame([(1,)], "fp long"), max_bits=4)

@@ -100,7 +100,8 @@ def ranked(rows: DataFrame, keys: list[str], level: int) -> DataFrame:
     """``rows`` with the order of their keys as ``rank``: equal for equal keys, larger for larger ones.
 
     Only distinct keys are sorted, so a frequent one costs partial counts and a join that splits, not a task's sort.
-    The places are stored: they must not change when a lost task runs again.
+    The places are stored: they must not change when a lost task runs again. Their files say little about their size
+    in memory, here as in ``copied_lines``, so Spark is not left to broadcast them.
     """
     places = stored(
         rows.groupBy(*keys)
@@ -109,7 +110,7 @@ def ranked(rows: DataFrame, keys: list[str], level: int) -> DataFrame:
         .select(*keys, F.monotonically_increasing_id().alias("rank")),
         f"ranks-{level}",
     )
-    return rows.join(places, keys).drop(*keys)
+    return rows.join(places.hint("merge"), keys).drop(*keys)
 
 
 def shared_runs(stretches: DataFrame, min_words: int) -> DataFrame:
@@ -165,12 +166,12 @@ def copied_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) ->
     # A copy that overlaps the first one loses only what lies beyond the first one's end.
     beyond = F.when(F.col("first.sid") == F.col("sid"), F.col("first.pos") + F.col("m")).otherwise(F.lit(0))
     later = (
-        runs.join(first, interval)
+        runs.join(first.hint("merge"), interval)
         .where(F.struct("sid", "pos") != F.col("first"))
         .select("sid", F.greatest("pos", beyond).alias("from"), (F.col("pos") + F.col("m") - 1).alias("to"))
     )
     return (
-        later.join(stretches, "sid")
+        later.join(stretches.hint("merge"), "sid")
         .select("doc", F.get("lines", F.col("from"))["line"].alias("start"), F.get("lines", F.col("to"))["line"].alias("end"))
         .groupBy("doc")
         .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("start", "end")))).alias("drops"))

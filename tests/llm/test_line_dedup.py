@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from palimpsest.llm.line_dedup import line_dedup, lines_of, words_in
+from palimpsest.llm.line_dedup import copied_lines, line_dedup, lines_of, ranked, words_in
+from palimpsest.session import stored
 from tests.llm.helpers import documents, with_clashes
 
 
@@ -127,3 +128,17 @@ def test_keys_are_made_once_a_document(spark):
     made = lines_of(spark.createDataFrame([(1, "a b\nc")], "doc_id long, text string"), "doc_id", "text")
     above, below = made._jdf.queryExecution().optimizedPlan().toString().split("Generate ", 1)
     assert "md5(cast(text#" in below and "md5(cast(text#" not in above
+
+
+def test_stored_runs_are_not_broadcast(spark):
+    """Their files are small, what they hold may not be."""
+    passage = "\n".join(f"line {i} of a passage" for i in range(20))
+    copies = copied_lines(documents(spark, [(i, f"own {i}\n{passage}") for i in range(5)]), "doc_id", "text", 50)
+    places = ranked(stored(spark.range(100).selectExpr("id", "id % 7 as key"), "rows"), ["key"], 0)
+    for rows, joins in ((copies, 2), (places, 1)):
+        plan = plan_of(rows)
+        assert "Broadcast" not in plan
+        assert plan.count("SortMergeJoin Inner") == joins
+    assert sorted((r["doc"].doc_id, sorted(r["drops"])) for r in copies.collect()) == [(i, [*range(1, 21)]) for i in range(1, 5)]
+    ranks = {r["id"] % 7: r["rank"] for r in places.collect()}
+    assert sorted(ranks, key=ranks.get) == [*range(7)]
